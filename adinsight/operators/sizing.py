@@ -1,0 +1,23 @@
+"""Broadcast only what has a checked size."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Upper bound on rows of a request-derived frame that may be broadcast.  A
+# request row is a few hundred bytes, so this stays far below executor memory.
+MAX_BROADCAST_ROWS = 200_000
+
+
+def broadcast_if_within(df: DataFrame, rows: int | None,
+                        max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Hint a broadcast when ``rows`` (a checked upper bound) is small enough.
+
+    Beyond the bound the frame is left to a shuffle join, where adaptive
+    execution still converts it to a broadcast if its runtime size turns out
+    small, and splits skewed partitions otherwise.
+    """
+    if rows is not None and rows <= max_rows:
+        return F.broadcast(df)
+    return df
