@@ -34,8 +34,19 @@ def id_list(c: str | Column) -> Column:
     return F.array_distinct(F.filter(ids, lambda x: x.isNotNull()))
 
 
+def ratio_sql(num: str, den: str) -> str:
+    """SQL text of ``num * 100 / den`` in percent, 0 when ``den`` is 0.
+
+    The product stays integral and exact; one division in double follows.
+    """
+    return (f"CASE WHEN {den} = 0 THEN CAST(0 AS DOUBLE) "
+            f"ELSE ({num} * 100) / CAST({den} AS DOUBLE) END")
+
+
 def guarded_ratio(num: str | Column, den: str | Column) -> Column:
     """``num * 100 / den`` as a percentage, 0 when ``den`` is 0."""
+    if isinstance(num, str) and isinstance(den, str):
+        return F.expr(ratio_sql(num, den))
     n, d = _col(num), _col(den)
     return F.when(d == 0, F.lit(0.0)).otherwise((n * 100) / d.cast("double"))
 

@@ -6,7 +6,7 @@ must stay separate: rows with a NULL anywhere are dropped between them.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -44,12 +44,15 @@ def extract(scoped: DataFrame, keys: Sequence[str], carry: Sequence[str] = ()) -
 
 
 def extract_grains(scoped: DataFrame, grains: dict[str, Sequence[str]],
-                   carry: Sequence[str] = ()) -> dict[str, DataFrame]:
+                   carry: Sequence[str] = (),
+                   cut: Callable[[DataFrame], DataFrame] | None = None) -> dict[str, DataFrame]:
     """Several extracts of one fact from a single scan (GROUPING SETS).
 
     Each grain becomes one grouping set; ``grouping_id`` tells a genuine NULL
     key apart from a column rolled up by another set, so every grain equals
     its own ``extract``.  One scan, one shuffle, instead of one per grain.
+    ``cut`` (e.g. a checkpoint) is applied to the combined aggregate so the
+    grains share one materialized result.
     """
     base = ["request_id", *carry]
     all_keys: list[str] = []
@@ -62,6 +65,8 @@ def extract_grains(scoped: DataFrame, grains: dict[str, Sequence[str]],
     sets = [[F.col(c) for c in base + list(keys)] for keys in grains.values()]
     agg = scoped.groupingSets(sets, *[F.col(c) for c in cols]).agg(
         *measure_sums(), F.grouping_id().alias("_gid"))
+    if cut is not None:
+        agg = cut(agg)
     out = {}
     for name, keys in grains.items():
         gid = sum(1 << (n - 1 - i) for i, c in enumerate(cols) if c not in base and c not in keys)

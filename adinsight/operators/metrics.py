@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adinsight.functions.columns import guarded_ratio, guarded_share
+from adinsight.functions.columns import ratio_sql
 from adinsight.operators.sizing import broadcast_if_within
 
 METRIC_COLUMNS = [
@@ -32,7 +32,8 @@ def with_metrics(df: DataFrame, dims: Sequence[str],
 
     ``scopes_bound`` is a checked upper bound on the number of distinct
     ``share_by`` values; within the broadcast limit the totals are broadcast.
-    ``extra`` columns (e.g. sort helpers) are kept after the report columns.
+    ``extra`` are SQL expressions (e.g. sort helpers) kept after the report
+    columns.
     """
     share_by = list(share_by)
     totals = df.groupBy(*share_by).agg(
@@ -42,15 +43,15 @@ def with_metrics(df: DataFrame, dims: Sequence[str],
     totals = broadcast_if_within(totals, scopes_bound)
     j = df.join(totals, share_by, "inner")
     keep = ["request_id"] + [c for c in share_by if c != "request_id" and c not in dims]
-    return j.select(
+    return j.selectExpr(
         *keep, *dims,
-        F.col("impressions"),
-        guarded_share("impressions", "_t_imp").alias("Percentage_Impression_share"),
-        F.col("clicks"),
-        guarded_share("clicks", "_t_clk").alias("Percentage_Click_share"),
-        guarded_ratio("clicks", "impressions").alias("Percentage_CTR"),
-        F.col("conversions"),
-        guarded_share("conversions", "_t_conv").alias("Percentage_Conversion_share"),
-        guarded_ratio("conversions", "impressions").alias("Percentage_CVR"),
+        "impressions",
+        f"{ratio_sql('impressions', '_t_imp')} AS Percentage_Impression_share",
+        "clicks",
+        f"{ratio_sql('clicks', '_t_clk')} AS Percentage_Click_share",
+        f"{ratio_sql('clicks', 'impressions')} AS Percentage_CTR",
+        "conversions",
+        f"{ratio_sql('conversions', '_t_conv')} AS Percentage_Conversion_share",
+        f"{ratio_sql('conversions', 'impressions')} AS Percentage_CVR",
         *extra,
     )

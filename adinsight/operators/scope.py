@@ -44,6 +44,7 @@ def request_keys(requests: DataFrame) -> DataFrame:
 @dataclass
 class KeyStats:
     rows: int
+    requests: int
     min_from: object
     max_to: object
     advertiser_ids: list | None  # None when above MAX_PUSHDOWN_IDS
@@ -52,6 +53,7 @@ class KeyStats:
 def key_stats(keys: DataFrame) -> KeyStats:
     """Size check and scan bounds of the request side (a small control frame)."""
     row = keys.agg(F.count(F.lit(1)).alias("n"),
+                   F.count_distinct("r_request_id").alias("nr"),
                    F.min("r_from_dt").alias("lo"),
                    F.max("r_to_dt").alias("hi"),
                    F.approx_count_distinct("r_advertiser_id").alias("nd")).first()
@@ -59,7 +61,7 @@ def key_stats(keys: DataFrame) -> KeyStats:
     if row["n"] <= MAX_PUSHDOWN_IDS * 4 and row["nd"] <= MAX_PUSHDOWN_IDS:
         got = [r[0] for r in keys.select("r_advertiser_id").distinct().collect()]
         ids = got if len(got) <= MAX_PUSHDOWN_IDS else None
-    return KeyStats(row["n"], row["lo"], row["hi"], ids)
+    return KeyStats(row["n"], row["nr"], row["lo"], row["hi"], ids)
 
 
 def _optional_in(values: Column, x: Column) -> Column:
@@ -81,19 +83,22 @@ def scope(fact: DataFrame, requests: DataFrame, *, match_timezone: bool = False,
     rows.  The result then also carries the request ``timezone``.
 
     ``apply_*`` switch off single optional predicates; they exist so each
-    predicate can be exercised on its own.  Returns the scoped frame and the
-    checked size of the request side.
+    predicate can be exercised on its own.  ``stats`` (from ``key_stats`` on
+    ``request_keys(requests)``) may be passed in to reuse one size check for
+    several facts.  Returns the scoped frame and the checked statistics.
     """
     spark = fact.sparkSession
     keys = request_keys(requests)
+    if stats is None:
+        stats = key_stats(keys)
+    bound = stats.rows
     if match_country:
         keys = keys.join(
             dims.lookup(dims.countries(spark)).withColumnRenamed("timezone", "r_timezone")
             .withColumnRenamed("de_country_name", "r_country"),
             "r_timezone", "inner")
-    if stats is None:
-        stats = key_stats(keys)
-    keys = broadcast_if_within(keys, stats.rows, max_broadcast_rows)
+        bound = stats.rows * dims.max_spellings_per_zone()
+    keys = broadcast_if_within(keys, bound, max_broadcast_rows)
 
     # Literal bounds from the request side reach the parquet scan as pushed
     # filters / partition pruning; the join below stays the exact test.

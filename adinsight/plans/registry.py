@@ -68,12 +68,12 @@ def _region_join(tz: str) -> Query:
 
 def _share_global(spark, sf):
     job = job_for(spark, sf)
-    return with_metrics(job.extract("device"), ["device_type"], scopes_bound=job.n_requests)
+    return with_metrics(job.materialized("device"), ["device_type"], scopes_bound=job.n_requests)
 
 
 def _share_within_group(spark, sf):
     job = job_for(spark, sf)
-    return with_metrics(job.extract("os"), ["device_type", "os_name"],
+    return with_metrics(job.materialized("os"), ["device_type", "os_name"],
                         share_by=("request_id", "device_type"), scopes_bound=None)
 
 

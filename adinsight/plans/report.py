@@ -7,22 +7,29 @@ Flow per fact (see the sheet module for the sheets themselves)::
     scoped --groupBy / GROUPING SETS--> extracts --complete cases--> sheets
 
 Each fact is scanned once: the system fact feeds four grains and the geo fact
-two through one GROUPING SETS aggregate.  Sheets that share an extract share
-the physical exchange when they run in one plan (``report_long``).
+two through one GROUPING SETS aggregate.  The per-fact aggregates are then
+materialized (checkpointed to the shared ``spark.checkpoint.dir``): the sheets
+push different filters into their inputs, so without the cut Catalyst would
+re-plan -- and re-scan -- the fact once per sheet.  The checkpoint also makes
+the report stage independent of the fact scans if executors are lost.
 """
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
+from pyspark import StorageLevel
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adinsight.functions.columns import day_of_week
 from adinsight.operators.extract import extract, extract_grains
-from adinsight.operators.scope import scope
+from adinsight.operators.scope import KeyStats, key_stats, request_keys, scope
 from adinsight.operators.sizing import MAX_BROADCAST_ROWS
 from adinsight.plans import sheets as S
+from adinsight.session import checkpoint_dir
 from adinsight.sources import requests as R
 
 # The delivery mail.
@@ -66,37 +73,45 @@ class ReportJob:
 
     ``facts`` maps ``placement_hour, inventory, system, geo`` to DataFrames.
     ``first_only`` serves only the earliest pending request (one per run),
-    otherwise every pending request is served.
+    otherwise every pending request is served.  ``materialize`` is how the
+    extracts are cut from the fact scans: ``checkpoint`` (reliable, default),
+    ``persist`` (executor storage) or ``none`` (one lazy plan).
     """
 
     def __init__(self, spark: SparkSession, facts: dict[str, DataFrame],
                  requests_raw: DataFrame, *, first_only: bool = False,
-                 max_broadcast_rows: int = MAX_BROADCAST_ROWS):
+                 max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+                 materialize: str = "checkpoint"):
         self.spark = spark
+        self.materialize = materialize
+        if materialize == "checkpoint":
+            checkpoint_dir(spark)
+        self._extracts: dict[str, DataFrame] = {}
         self.facts = facts
         self.requests_raw = requests_raw
         self.parsed = R.parse_requests(requests_raw)
         served = R.pending(self.parsed)
         self.requests = R.first_only(served) if first_only else served
         self.max_broadcast_rows = max_broadcast_rows
-        self._stats: dict[str, object] = {}
 
     # -- sizes --------------------------------------------------------------
+    @cached_property
+    def stats(self) -> KeyStats:
+        """One size check of the request side, shared by every fact scan."""
+        return key_stats(request_keys(self.requests))
+
     @cached_property
     def n_requests(self) -> int:
-        """Checked number of served requests: bounds every per-request frame."""
-        return self.requests.count()
+        """Checked number of requests with keys: bounds every per-request frame."""
+        return self.stats.requests
 
     # -- scoping ------------------------------------------------------------
     def scoped(self, fact: str, **flags) -> DataFrame:
         kw = {"placement_hour": {"match_timezone": True},
               "geo": {"match_country": True}}.get(fact, {})
         kw.update(flags)
-        key = (fact, tuple(sorted(kw.items())))
-        df, stats = scope(self.facts[fact], self.requests,
-                          max_broadcast_rows=self.max_broadcast_rows,
-                          stats=self._stats.get(key), **kw)
-        self._stats[key] = stats
+        df, _ = scope(self.facts[fact], self.requests,
+                      max_broadcast_rows=self.max_broadcast_rows, stats=self.stats, **kw)
         if fact == "placement_hour":
             df = df.withColumn("dw", day_of_week("dt"))
         if fact == "geo":
@@ -109,45 +124,78 @@ class ReportJob:
         return ["timezone"] if fact == "geo" else []
 
     def extract(self, name: str) -> DataFrame:
-        """One extract on its own (its own scan and aggregate)."""
+        """One extract on its own (its own scan and aggregate), lazy."""
         fact, keys = EXTRACT_GRAINS[name]
         return extract(self.scoped(fact), keys, self._carry(fact))
 
+    def _cut(self, df: DataFrame) -> DataFrame:
+        if self.materialize == "checkpoint":
+            return df.checkpoint(eager=True)
+        if self.materialize == "persist":
+            df = df.persist(StorageLevel.MEMORY_AND_DISK)
+            df.count()
+            return df
+        return df
+
+    def materialized(self, name: str) -> DataFrame:
+        """Extract ``name`` computed once and cut from the fact scan."""
+        if name not in self._extracts:
+            self._extracts[name] = self._cut(self.extract(name))
+        return self._extracts[name]
+
     @cached_property
     def shared_extracts(self) -> dict[str, DataFrame]:
-        """All eight extracts with one scan per fact (grouping sets)."""
+        """All eight extracts, one scan per fact (grouping sets), materialized.
+
+        The four fact aggregates are independent jobs and are submitted
+        concurrently.
+        """
         by_fact: dict[str, dict[str, list[str]]] = {}
         for name, (fact, keys) in EXTRACT_GRAINS.items():
             by_fact.setdefault(fact, {})[name] = keys
-        out: dict[str, DataFrame] = {}
-        for fact, grains in by_fact.items():
+        self.stats  # one size check before the concurrent jobs
+
+        def build(fact: str) -> dict[str, DataFrame]:
+            grains = by_fact[fact]
             if len(grains) == 1:
                 (name, keys), = grains.items()
-                out[name] = extract(self.scoped(fact), keys, self._carry(fact))
-            else:
-                out.update(extract_grains(self.scoped(fact), grains, self._carry(fact)))
+                return {name: self._cut(extract(self.scoped(fact), keys, self._carry(fact)))}
+            parts = extract_grains(self.scoped(fact), grains, self._carry(fact),
+                                   cut=self._cut)
+            return parts
+
+        out: dict[str, DataFrame] = {}
+        with ThreadPoolExecutor(max_workers=len(by_fact)) as pool:
+            for part in pool.map(build, list(by_fact)):
+                out.update(part)
+        self._extracts.update(out)
         return out
 
     # -- sheets -------------------------------------------------------------
-    def sheet(self, name: str, *, shared: bool = False, order: bool = True) -> DataFrame:
+    def sheet(self, name: str, *, order: bool = True) -> DataFrame:
+        """One sheet for every served request."""
         builder, ext = SHEET_BUILDERS[name]
-        source = self.shared_extracts[ext] if shared else self.extract(ext)
-        return S.finish(builder(source, self.n_requests), name, order=order)
+        return S.finish(builder(self.materialized(ext), self.n_requests), name, order=order)
 
     def report_long(self) -> DataFrame:
-        """All sheets of all requests as one long table with a ``sheet`` column."""
-        parts = []
+        """All sheets of all requests as one long table with a ``sheet`` column.
+
+        Each sheet is padded to the common column list (NULL for dimensions it
+        does not have) and the sheets are appended positionally.
+        """
+        metrics = [c for c in S.sheet_columns("DOW") if c not in ("request_id", "day_name")]
+        types = {"day_hour": "int"}
+        out = None
         for name in S.SHEET_NAMES:
             builder, ext = SHEET_BUILDERS[name]
             df = S.finish(builder(self.shared_extracts[ext], self.n_requests), name, order=False)
-            parts.append(df.withColumn("sheet", F.lit(name)))
-        out = parts[0]
-        for p in parts[1:]:
-            out = out.unionByName(p, allowMissingColumns=True)
-        dim_cols = [c for c in REPORT_DIMS]
-        return out.select("request_id", "sheet", *[
-            F.col(c) if c in out.columns else F.lit(None).alias(c) for c in dim_cols
-        ], *[c for c in S.sheet_columns("DOW") if c not in ("request_id", "day_name")])
+            have = set(S.SHEET_DIMS[name])
+            cols = ["request_id", f"'{name}' AS sheet"] + [
+                c if c in have else f"CAST(NULL AS {types.get(c, 'string')}) AS {c}"
+                for c in REPORT_DIMS] + metrics
+            df = df.selectExpr(*cols)
+            out = df if out is None else out.unionAll(df)
+        return out
 
     # -- delivery -----------------------------------------------------------
     def delivery_manifest(self, report: DataFrame | None = None) -> DataFrame:

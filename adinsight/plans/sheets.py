@@ -100,7 +100,7 @@ def dow(tod: DataFrame, bound: int | None = None) -> DataFrame:
     """Day of week, all hours."""
     g = label_days(tod).groupBy("request_id", "day_name", "day_order").agg(*resum())
     return with_metrics(g, ["day_name"], scopes_bound=bound,
-                        extra=[F.col("day_order").alias("_day_order")])
+                        extra=["day_order AS _day_order"])
 
 
 # --- site domains -----------------------------------------------------------
@@ -140,7 +140,7 @@ def creative_size(size: DataFrame, bound: int | None = None) -> DataFrame:
     """Creative size label ``<width>x<height>``."""
     s = size.withColumn("size", size_label("width", "height"))
     return with_metrics(s, ["size"], scopes_bound=bound,
-                        extra=[F.col("width").alias("_width"), F.col("height").alias("_height")])
+                        extra=["width AS _width", "height AS _height"])
 
 
 # --- geo: city / region / postcode (extracts carry the request timezone) ----

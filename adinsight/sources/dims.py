@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from adinsight.sources.local import local_table
+
 # ---------------------------------------------------------------------------
 # Fixed values.  These must equal the reference report's lookups exactly
 # (matching is case-sensitive).
@@ -103,7 +105,19 @@ LOWERCASE_REGION_ZONES = ["NZST"]
 # ---------------------------------------------------------------------------
 
 
+def _cached(spark: SparkSession, key, build) -> DataFrame:
+    """Lookup frames are immutable literals: build each once per session."""
+    cache = spark.__dict__.setdefault("_adinsight_lookups", {})
+    if key not in cache:
+        cache[key] = build()
+    return cache[key]
+
+
 def days(spark: SparkSession) -> DataFrame:
+    return _cached(spark, "days", lambda: _build_days(spark))
+
+
+def _build_days(spark: SparkSession) -> DataFrame:
     """``dw`` (0 = Sunday) -> ``day_name``, ``day_order`` (Monday = 1)."""
     rows = [(i, name, DAY_ORDER.index(name) + 1) for i, name in enumerate(DAY_NAMES)]
     schema = T.StructType([
@@ -111,31 +125,55 @@ def days(spark: SparkSession) -> DataFrame:
         T.StructField("day_name", T.StringType(), False),
         T.StructField("day_order", T.IntegerType(), False),
     ])
-    return spark.createDataFrame(rows, schema)
+    return local_table(spark, rows, schema)
 
 
 def day_set(spark: SparkSession, names: list[str]) -> DataFrame:
+    return _cached(spark, ("day_set", tuple(names)), lambda: _build_day_set(spark, names))
+
+
+def _build_day_set(spark: SparkSession, names: list[str]) -> DataFrame:
     schema = T.StructType([T.StructField("day_name", T.StringType(), False)])
-    return spark.createDataFrame([(n,) for n in names], schema)
+    return local_table(spark, [(n,) for n in names], schema)
 
 
 def device_classes(spark: SparkSession) -> DataFrame:
+    return _cached(spark, "device_classes", lambda: _build_device_classes(spark))
+
+
+def _build_device_classes(spark: SparkSession) -> DataFrame:
     schema = T.StructType([
         T.StructField("device_type", T.StringType(), False),
         T.StructField("device_types", T.StringType(), False),
     ])
-    return spark.createDataFrame(DEVICE_CLASSES, schema)
+    return local_table(spark, DEVICE_CLASSES, schema)
 
 
 def countries(spark: SparkSession) -> DataFrame:
+    return _cached(spark, "countries", lambda: _build_countries(spark))
+
+
+def _build_countries(spark: SparkSession) -> DataFrame:
     schema = T.StructType([
         T.StructField("timezone", T.StringType(), False),
         T.StructField("de_country_name", T.StringType(), False),
     ])
-    return spark.createDataFrame(COUNTRIES, schema)
+    return local_table(spark, COUNTRIES, schema)
+
+
+def max_spellings_per_zone() -> int:
+    """Most country spellings any time zone has (bounds the geo key fan-out)."""
+    counts: dict[str, int] = {}
+    for tz, _ in COUNTRIES:
+        counts[tz] = counts.get(tz, 0) + 1
+    return max(counts.values())
 
 
 def region_codes(spark: SparkSession) -> DataFrame:
+    return _cached(spark, "region_codes", lambda: _build_region_codes(spark))
+
+
+def _build_region_codes(spark: SparkSession) -> DataFrame:
     """(timezone, region_key) -> (regions, region_code), both countries.
 
     The two-step lookup of the reports (spelling -> name -> code) is folded
@@ -152,7 +190,7 @@ def region_codes(spark: SparkSession) -> DataFrame:
         T.StructField("regions", T.StringType(), False),
         T.StructField("region_code", T.StringType(), False),
     ])
-    return spark.createDataFrame(rows, schema)
+    return local_table(spark, rows, schema)
 
 
 def lookup(df: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from adinsight import schemas
+from adinsight.sources.local import local_table
 
 # (sheet_row, Advertiser_ID, Insertion_Order_ID, Conversion_Pixel_ID,
 #  Segment_Pixel_ID, From, To, Timezone, Insight_Flag, To_email_address)
@@ -28,5 +29,4 @@ REQUEST_ROWS = [
 
 
 def request_table(spark: SparkSession, rows=None) -> DataFrame:
-    return spark.createDataFrame(rows if rows is not None else REQUEST_ROWS,
-                                 schemas.REQUEST_RAW)
+    return local_table(spark, rows if rows is not None else REQUEST_ROWS, schemas.REQUEST_RAW)
