@@ -19,14 +19,14 @@ from adinsight.operators.scope import scope
 from adinsight.plans.report import EXTRACT_GRAINS, ReportJob
 from adinsight.sources import dims
 from adinsight.sources import requests as R
-from adinsight.sources.facts import testdata_facts
+from adinsight.sources.facts import facts_from_testdata
 from adinsight.sources.fixtures import request_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def job_for(spark: SparkSession, sf_dir: str, **kw) -> ReportJob:
-    return ReportJob(spark, testdata_facts(spark, sf_dir), request_table(spark), **kw)
+    return ReportJob(spark, facts_from_testdata(spark, sf_dir), request_table(spark), **kw)
 
 
 def _sheet(name: str) -> Query:

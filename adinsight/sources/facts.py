@@ -75,7 +75,7 @@ def read_fact(spark: SparkSession, name: str, path: str, fmt: str = "parquet") -
     return spark.read.schema(schemas.FACT_SCHEMAS[name]).format(fmt).load(path)
 
 
-def testdata_fact(spark: SparkSession, name: str, sf_dir: str) -> DataFrame:
+def fact_from_testdata(spark: SparkSession, name: str, sf_dir: str) -> DataFrame:
     """Fact ``name`` projected from the driver's test tables in ``sf_dir``.
 
     Only the referenced source columns are read (the projection prunes the
@@ -86,5 +86,5 @@ def testdata_fact(spark: SparkSession, name: str, sf_dir: str) -> DataFrame:
     return src.selectExpr(*exprs)
 
 
-def testdata_facts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {name: testdata_fact(spark, name, sf_dir) for name in FACTS}
+def facts_from_testdata(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    return {name: fact_from_testdata(spark, name, sf_dir) for name in FACTS}

@@ -22,7 +22,7 @@ from adinsight.plans.registry import job_for  # noqa: E402
 from adinsight.plans.report import ReportJob  # noqa: E402
 from adinsight.plans.sheets import SHEET_NAMES  # noqa: E402
 from adinsight.session import get_spark  # noqa: E402
-from adinsight.sources.facts import testdata_facts  # noqa: E402
+from adinsight.sources.facts import facts_from_testdata  # noqa: E402
 from adinsight.sources.fixtures import REQUEST_ROWS, request_table  # noqa: E402
 
 
@@ -52,7 +52,7 @@ def main() -> None:
         times[f"sheet_{name}"] = _timed(lambda n=name: _run(job_for(spark, sf_dir).sheet(n)))
 
     # The same pending requests served one job each (the reference's mode).
-    facts = testdata_facts(spark, sf_dir)
+    facts = facts_from_testdata(spark, sf_dir)
 
     def serial():
         for row in REQUEST_ROWS:

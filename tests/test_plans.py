@@ -1,0 +1,63 @@
+"""Physical plan checks: joins, broadcasts, exchanges, pushdown."""
+
+from __future__ import annotations
+
+from adinsight.operators.scope import scope
+from adinsight.operators.sizing import broadcast_if_within
+from adinsight.plans.registry import job_for
+from tests.conftest import SF_SMALL
+
+
+def plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_scoping_is_an_equi_hash_join(spark):
+    job = job_for(spark, SF_SMALL)
+    for fact, kw in (("system", {}), ("placement_hour", {"match_timezone": True}),
+                     ("geo", {"match_country": True})):
+        p = plan(scope(job.facts[fact], job.requests, **kw)[0])
+        assert "BroadcastHashJoin" in p
+        assert "NestedLoop" not in p and "Cartesian" not in p
+
+
+def test_scan_gets_pushed_date_bounds_and_pruned_columns(spark):
+    job = job_for(spark, SF_SMALL)
+    p = plan(scope(job.facts["system"], job.requests)[0])
+    assert "PushedFilters: [IsNotNull(l_shipdate), GreaterThanOrEqual(l_shipdate" in p
+    assert "l_extendedprice" not in p and "l_comment" not in p
+
+
+def test_lookups_are_broadcast(spark):
+    job = job_for(spark, SF_SMALL)
+    for name in ("DOW", "Device_type", "City_Region"):
+        p = plan(job.sheet(name, order=False))
+        assert "BroadcastHashJoin" in p and "SortMergeJoin" not in p, name
+
+
+def test_no_single_partition_exchange_for_large_sheets(spark):
+    job = job_for(spark, SF_SMALL)
+    for name in ("Site_Domains", "City_Region", "City_postal_code"):
+        p = plan(job.sheet(name, order=False))
+        assert "SinglePartition" not in p, name
+        assert "Window" not in p, name
+
+
+def test_broadcast_only_within_checked_bound(spark):
+    df = spark.range(10)
+    assert "broadcast" in broadcast_if_within(df, 10, max_rows=10)._jdf.queryExecution() \
+        .logical().toString().lower()
+    assert broadcast_if_within(df, 11, max_rows=10) is df
+    assert broadcast_if_within(df, None, max_rows=10) is df
+
+
+def test_large_request_side_falls_back_to_shuffle_join(spark):
+    job = job_for(spark, SF_SMALL)
+    scoped, _ = scope(job.facts["system"], job.requests, max_broadcast_rows=0)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        p = scoped._jdf.queryExecution().sparkPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" in p or "ShuffledHashJoin" in p
+    assert "NestedLoop" not in p
