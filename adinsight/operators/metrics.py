@@ -27,16 +27,18 @@ METRIC_COLUMNS = [
 def with_metrics(df: DataFrame, dims: Sequence[str],
                  share_by: Sequence[str] = ("request_id",),
                  scopes_bound: int | None = None,
-                 extra: Sequence[str] = ()) -> DataFrame:
+                 extra: Sequence[str] = (),
+                 totals_from: DataFrame | None = None) -> DataFrame:
     """Add CTR, CVR and the three shares; select the report columns.
 
     ``scopes_bound`` is a checked upper bound on the number of distinct
     ``share_by`` values; within the broadcast limit the totals are broadcast.
     ``extra`` are SQL expressions (e.g. sort helpers) kept after the report
-    columns.
+    columns.  ``totals_from`` may give the rows ``df`` was summed from (same
+    scope totals): the totals then no longer wait for ``df``'s aggregate.
     """
     share_by = list(share_by)
-    totals = df.groupBy(*share_by).agg(
+    totals = (totals_from if totals_from is not None else df).groupBy(*share_by).agg(
         F.sum("impressions").alias("_t_imp"),
         F.sum("clicks").alias("_t_clk"),
         F.sum("conversions").alias("_t_conv"))

@@ -43,25 +43,27 @@ def request_keys(requests: DataFrame) -> DataFrame:
 
 @dataclass
 class KeyStats:
-    rows: int
-    requests: int
+    rows: int               # request keys (request x advertiser id)
+    requests: int           # upper bound on requests with keys (= rows)
     min_from: object
     max_to: object
     advertiser_ids: list | None  # None when above MAX_PUSHDOWN_IDS
 
 
 def key_stats(keys: DataFrame) -> KeyStats:
-    """Size check and scan bounds of the request side (a small control frame)."""
+    """Size check and scan bounds of the request side (a small control frame).
+
+    One global aggregate; the advertiser id list for the scan filter is only
+    gathered when the row count already bounds it.
+    """
     row = keys.agg(F.count(F.lit(1)).alias("n"),
-                   F.count_distinct("r_request_id").alias("nr"),
                    F.min("r_from_dt").alias("lo"),
-                   F.max("r_to_dt").alias("hi"),
-                   F.approx_count_distinct("r_advertiser_id").alias("nd")).first()
+                   F.max("r_to_dt").alias("hi")).first()
+    n = row["n"]
     ids = None
-    if row["n"] <= MAX_PUSHDOWN_IDS * 4 and row["nd"] <= MAX_PUSHDOWN_IDS:
-        got = [r[0] for r in keys.select("r_advertiser_id").distinct().collect()]
-        ids = got if len(got) <= MAX_PUSHDOWN_IDS else None
-    return KeyStats(row["n"], row["nr"], row["lo"], row["hi"], ids)
+    if 0 < n <= MAX_PUSHDOWN_IDS:
+        ids = keys.agg(F.array_sort(F.collect_set("r_advertiser_id"))).first()[0]
+    return KeyStats(n, n, row["lo"], row["hi"], ids)
 
 
 def _optional_in(values: Column, x: Column) -> Column:

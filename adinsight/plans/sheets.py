@@ -83,7 +83,7 @@ def _tod(tod: DataFrame, days: list[str], bound: int | None) -> DataFrame:
     hours = label_days(tod).filter(F.col("day_hour") > FIRST_HOUR_EXCLUDED_UPTO)
     kept = keep_days(hours, days)
     g = kept.groupBy("request_id", "day_hour").agg(*resum())
-    return with_metrics(g, ["day_hour"], scopes_bound=bound)
+    return with_metrics(g, ["day_hour"], scopes_bound=bound, totals_from=kept)
 
 
 def tod_weekday(tod: DataFrame, bound: int | None = None) -> DataFrame:
@@ -98,9 +98,10 @@ def tod_weekend(tod: DataFrame, bound: int | None = None) -> DataFrame:
 
 def dow(tod: DataFrame, bound: int | None = None) -> DataFrame:
     """Day of week, all hours."""
-    g = label_days(tod).groupBy("request_id", "day_name", "day_order").agg(*resum())
+    labelled = label_days(tod)
+    g = labelled.groupBy("request_id", "day_name", "day_order").agg(*resum())
     return with_metrics(g, ["day_name"], scopes_bound=bound,
-                        extra=["day_order AS _day_order"])
+                        extra=["day_order AS _day_order"], totals_from=labelled)
 
 
 # --- site domains -----------------------------------------------------------
@@ -115,15 +116,17 @@ def site_domains(site: DataFrame, bound: int | None = None) -> DataFrame:
 
 def device_type(device: DataFrame, bound: int | None = None) -> DataFrame:
     """Device class."""
-    g = label_device_class(device).groupBy("request_id", "device_types").agg(*resum())
-    return with_metrics(g, ["device_types"], scopes_bound=bound)
+    labelled = label_device_class(device)
+    g = labelled.groupBy("request_id", "device_types").agg(*resum())
+    return with_metrics(g, ["device_types"], scopes_bound=bound, totals_from=labelled)
 
 
 def _within_class(ext: DataFrame, dim: str, bound: int | None) -> DataFrame:
-    g = label_device_class(ext).groupBy("request_id", "device_types", dim).agg(*resum())
+    labelled = label_device_class(ext)
+    g = labelled.groupBy("request_id", "device_types", dim).agg(*resum())
     n = None if bound is None else bound * len({c for _, c in dims.DEVICE_CLASSES})
-    return with_metrics(g, ["device_types", dim],
-                        share_by=("request_id", "device_types"), scopes_bound=n)
+    return with_metrics(g, ["device_types", dim], share_by=("request_id", "device_types"),
+                        scopes_bound=n, totals_from=labelled)
 
 
 def device_os(os_ext: DataFrame, bound: int | None = None) -> DataFrame:
@@ -148,7 +151,7 @@ def creative_size(size: DataFrame, bound: int | None = None) -> DataFrame:
 def _geo(ext: DataFrame, keys: list[str], bound: int | None) -> DataFrame:
     labelled = label_regions(lower_city(ext))
     g = labelled.groupBy("request_id", *keys).agg(*resum())
-    m = with_metrics(g, keys, scopes_bound=bound)
+    m = with_metrics(g, keys, scopes_bound=bound, totals_from=ext)
     # Unmapped regions count in the shares and are dropped afterwards.
     return m.filter(F.col("city").isNotNull() & F.col("regions").isNotNull())
 
@@ -162,7 +165,7 @@ def regions(city: DataFrame, bound: int | None = None) -> DataFrame:
     """Region; unmapped regions dropped before the shares."""
     labelled = label_regions(city).filter(F.col("regions").isNotNull())
     g = labelled.groupBy("request_id", "regions", "region_code").agg(*resum())
-    return with_metrics(g, ["regions", "region_code"], scopes_bound=bound)
+    return with_metrics(g, ["regions", "region_code"], scopes_bound=bound, totals_from=labelled)
 
 
 def city_postcode(postcode: DataFrame, bound: int | None = None) -> DataFrame:
