@@ -205,12 +205,29 @@ SHEET_CTE = {
 }
 
 
-def _report_long(first_only: bool = False) -> str:
+# Sheet order (total within a request), for the row numbers.
+SHEET_ORDER_SQL = {
+    "TOD_Weekday": "day_hour", "TOD_Weekend": "day_hour",
+    "DOW": "CASE day_name " + " ".join(
+        f"WHEN '{d}' THEN {i}" for i, d in enumerate(dims.DAY_ORDER)) + " END",
+    "Site_Domains": "Percentage_Impression_share DESC, site_domain",
+    "Device_type": "device_types", "Device_Os": "device_types, os_name",
+    "Browser": "device_types, browser_name",
+    "Creative_Size": "CAST(split_part(size, 'x', 1) AS INTEGER), CAST(split_part(size, 'x', 2) AS INTEGER)",
+    "City_Region": "Percentage_Impression_share DESC, city, regions, region_code",
+    "Regions": "region_code",
+    "City_postal_code": "Percentage_Impression_share DESC, city, regions, region_code, postal_code",
+}
+
+
+def _report_long(first_only: bool = False, row_ids: bool = False) -> str:
     parts = []
     for sheet, cte in SHEET_CTE.items():
         src = f"(SELECT * FROM {cte} WHERE request_id IN (SELECT request_id FROM served_first))" \
             if first_only else cte
-        parts.append(f"SELECT '{sheet}' AS sheet, * FROM {src}")
+        rn = (f", ROW_NUMBER() OVER (PARTITION BY request_id ORDER BY {SHEET_ORDER_SQL[sheet]}) AS row_id"
+              if row_ids else "")
+        parts.append(f"SELECT '{sheet}' AS sheet, *{rn} FROM {src}")
     return " UNION ALL BY NAME ".join(parts)
 
 
@@ -305,5 +322,6 @@ def oracle_queries() -> dict[str, str]:
         FROM req_raw r LEFT JOIN ({_manifest_body()}) m ON m.request_id = r.sheet_row""")
     # report
     q["report_long"] = _with(_report_long())
+    q["report_row_ids"] = _with(_report_long(row_ids=True))
     q["delivery_manifest"] = _with(_manifest_body())
     return q

@@ -145,6 +145,7 @@ def queries() -> dict[str, Query]:
     q["requests_first"] = lambda spark, sf: job_for(spark, sf, first_only=True).report_long()
     q["requests_claimed"] = _requests_claimed
     q["report_long"] = lambda spark, sf: job_for(spark, sf).report_long()
+    q["report_row_ids"] = lambda spark, sf: job_for(spark, sf).report_long(row_ids=True)
     q["delivery_manifest"] = lambda spark, sf: job_for(spark, sf).delivery_manifest()
     return q
 

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from adinsight.functions.columns import day_of_week
 from adinsight.operators.extract import extract, extract_grains
+from adinsight.operators.rownum import number_rows
 from adinsight.operators.scope import KeyStats, key_stats, request_keys, scope
 from adinsight.operators.sizing import MAX_BROADCAST_ROWS
 from adinsight.plans import sheets as S
@@ -177,24 +178,34 @@ class ReportJob:
         builder, ext = SHEET_BUILDERS[name]
         return S.finish(builder(self.materialized(ext), self.n_requests), name, order=order)
 
-    def report_long(self) -> DataFrame:
+    def report_long(self, row_ids: bool = False) -> DataFrame:
         """All sheets of all requests as one long table with a ``sheet`` column.
 
         Each sheet is padded to the common column list (NULL for dimensions it
-        does not have) and the sheets are appended positionally.
+        does not have) and the sheets are appended positionally.  With
+        ``row_ids`` every row gets its 1-based position in its request's sheet
+        (one distributed sort for the whole report) and the output is ordered
+        by request, sheet and row.
         """
         metrics = [c for c in S.sheet_columns("DOW") if c not in ("request_id", "day_name")]
         types = {"day_hour": "int"}
         out = None
         for name in S.SHEET_NAMES:
             builder, ext = SHEET_BUILDERS[name]
-            df = S.finish(builder(self.shared_extracts[ext], self.n_requests), name, order=False)
+            df = builder(self.shared_extracts[ext], self.n_requests)
             have = set(S.SHEET_DIMS[name])
             cols = ["request_id", f"'{name}' AS sheet"] + [
                 c if c in have else f"CAST(NULL AS {types.get(c, 'string')}) AS {c}"
                 for c in REPORT_DIMS] + metrics
+            if row_ids:
+                cols += S.sort_keys(name)
             df = df.selectExpr(*cols)
             out = df if out is None else out.unionAll(df)
+        if row_ids:
+            out = number_rows(out, ["request_id", "sheet"], [F.col(c) for c in S.SORT_COLUMNS],
+                              groups_bound=self.n_requests * len(S.SHEET_NAMES),
+                              cut=None if self.materialize == "none" else self._cut)
+            out = out.drop(*S.SORT_COLUMNS)
         return out
 
     # -- delivery -----------------------------------------------------------
@@ -241,9 +252,10 @@ class ReportJob:
         out = out_dir.rstrip("/")
         paths = {"report": f"{out}/report", "manifest": f"{out}/manifest",
                  "requests": f"{out}/requests"}
-        report = self.report_long()
-        (report.sortWithinPartitions("request_id", "sheet")
-               .write.mode("overwrite").partitionBy("request_id", "sheet")
+        # Row-numbered rows arrive range-partitioned and sorted by request,
+        # sheet and row, so each written file holds consecutive rows.
+        report = self.report_long(row_ids=True)
+        (report.write.mode("overwrite").partitionBy("request_id", "sheet")
                .parquet(paths["report"]))
         written = self.spark.read.parquet(paths["report"])
         self.delivery_manifest(written).write.mode("overwrite").parquet(paths["manifest"])

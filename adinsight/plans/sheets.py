@@ -66,6 +66,35 @@ def sheet_order(name: str) -> list[Column]:
     }[name]
 
 
+def sort_keys(name: str) -> list[str]:
+    """The sheet order as SQL expressions over six shared sort columns
+    (two numeric, four text; all ascending), so every sheet of a report can
+    be numbered in one sort.  Shares sort descending through negation."""
+    neg = "-Percentage_Impression_share"
+    spec = {
+        "TOD_Weekday": ["day_hour"],
+        "TOD_Weekend": ["day_hour"],
+        "DOW": ["_day_order"],
+        "Site_Domains": [neg, None, "site_domain"],
+        "Device_type": [None, None, "device_types"],
+        "Device_Os": [None, None, "device_types", "os_name"],
+        "Browser": [None, None, "device_types", "browser_name"],
+        "Creative_Size": ["_width", "_height"],
+        "City_Region": [neg, None, "city", "regions", "region_code"],
+        "Regions": [None, None, "region_code"],
+        "City_postal_code": [neg, None, "city", "regions", "region_code", "postal_code"],
+    }[name]
+    spec = spec + [None] * (6 - len(spec))
+    out = []
+    for i, e in enumerate(spec):
+        t = "double" if i < 2 else "string"
+        out.append(f"CAST({e or 'NULL'} AS {t}) AS _o{i + 1}")
+    return out
+
+
+SORT_COLUMNS = [f"_o{i}" for i in range(1, 7)]
+
+
 def sheet_columns(name: str) -> list[str]:
     return ["request_id", *SHEET_DIMS[name], *METRIC_COLUMNS]
 
