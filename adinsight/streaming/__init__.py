@@ -1,0 +1,5 @@
+"""Serving report requests as they arrive (Structured Streaming)."""
+
+from adinsight.streaming.request_stream import serve_request_stream
+
+__all__ = ["serve_request_stream"]

@@ -1,0 +1,56 @@
+"""Request folder -> reports, as a Structured Streaming query.
+
+The reference is a poller: each run reads the request sheet, serves the next
+flagged row and marks it done.  Here request files landing in a folder are a
+file stream; every micro-batch serves all pending requests it contains with
+the batch report job (``foreachBatch``), writing report, manifest and the
+claimed control rows under ``batch=<id>``.  Output paths are derived from the
+batch id and written in overwrite mode, so a batch replayed after a failure
+rewrites the same output (exactly-once per batch together with the stream
+checkpoint).
+"""
+
+from __future__ import annotations
+
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
+
+from adinsight import schemas
+from adinsight.plans.report import ReportJob
+from adinsight.session import checkpoint_dir
+
+
+def serve_request_stream(spark: SparkSession, request_dir: str, facts: dict[str, DataFrame],
+                         out_dir: str, *, fmt: str = "csv", checkpoint: str | None = None,
+                         available_now: bool = True, processing_time: str | None = None,
+                         max_files_per_trigger: int | None = None) -> StreamingQuery:
+    """Start serving request files from ``request_dir``; returns the query.
+
+    ``available_now`` processes what is there and stops (scheduled runs, like
+    the reference); otherwise ``processing_time`` (e.g. ``"1 minute"``) keeps
+    polling.  The stream checkpoint defaults to a folder under the shared
+    ``spark.checkpoint.dir``.
+    """
+    reader = spark.readStream.schema(schemas.REQUEST_RAW).format(fmt)
+    if fmt == "csv":
+        reader = reader.option("header", True)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    requests = reader.load(request_dir)
+    out = out_dir.rstrip("/")
+
+    def serve(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            ReportJob(batch.sparkSession, facts, batch).write(f"{out}/batch={batch_id}")
+        finally:
+            batch.unpersist()
+
+    location = checkpoint or f"{checkpoint_dir(spark).rstrip('/')}/request-stream"
+    writer = requests.writeStream.foreachBatch(serve).option("checkpointLocation", location)
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    elif processing_time:
+        writer = writer.trigger(processingTime=processing_time)
+    return writer.start()

@@ -1,0 +1,43 @@
+"""Request files served by the streaming poller."""
+
+from __future__ import annotations
+
+import csv
+import os
+import tempfile
+
+from adinsight.schemas import REQUEST_RAW
+from adinsight.sources.facts import facts_from_testdata
+from adinsight.sources.fixtures import REQUEST_ROWS
+from adinsight.streaming import serve_request_stream
+from tests.conftest import SF_SMALL
+
+
+def _write(path, rows):
+    with open(path, "w", newline="") as f:
+        w = csv.writer(f)
+        w.writerow(REQUEST_RAW.fieldNames())
+        for r in rows:
+            w.writerow(["" if v is None else v for v in r])
+
+
+def test_stream_serves_each_file_once(spark):
+    base = tempfile.mkdtemp(prefix="adinsight-stream-")
+    inbox, out, ckpt = (os.path.join(base, d) for d in ("inbox", "out", "ckpt"))
+    os.makedirs(inbox)
+    _write(os.path.join(inbox, "a.csv"), REQUEST_ROWS[:2])
+    facts = facts_from_testdata(spark, SF_SMALL)
+    q = serve_request_stream(spark, inbox, facts, out, checkpoint=ckpt)
+    q.awaitTermination(600)
+    _write(os.path.join(inbox, "b.csv"), REQUEST_ROWS[2:4])
+    q = serve_request_stream(spark, inbox, facts, out, checkpoint=ckpt)
+    q.awaitTermination(600)
+    batches = sorted(d for d in os.listdir(out) if d.startswith("batch="))
+    assert len(batches) == 2
+    served = []
+    for b in batches:
+        m = spark.read.parquet(os.path.join(out, b, "manifest"))
+        served.append(sorted(r["request_id"] for r in m.collect()))
+    assert served == [[1, 2], [3, 4]]
+    report = spark.read.parquet(os.path.join(out, batches[1], "report"))
+    assert report.filter("request_id = 3 AND sheet = 'Regions'").count() > 0
