@@ -49,3 +49,22 @@ def test_claim_flips_only_served_rows(spark):
 def test_bad_dates_make_request_invalid(spark):
     p = parsed(spark, [request(start="2024-13-01")])
     assert p[1]["from_dt"] is None and p[1]["status"] == "invalid"
+
+
+def test_read_requests_csv(spark, tmp_path):
+    import csv
+    from adinsight.schemas import REQUEST_RAW
+    path = tmp_path / "requests.csv"
+    with open(path, "w", newline="") as f:
+        w = csv.writer(f)
+        w.writerow(REQUEST_RAW.fieldNames())
+        for r in REQUEST_ROWS:
+            w.writerow(["" if v is None else v for v in r])
+    raw = R.read_requests(spark, str(path))
+    assert raw.schema == REQUEST_RAW
+    got = {r["request_id"]: r for r in R.parse_requests(raw).collect()}
+    want = {r["request_id"]: r for r in R.parse_requests(request_table(spark)).collect()}
+    assert got.keys() == want.keys()
+    for k in got:
+        assert got[k]["advertiser_ids"] == want[k]["advertiser_ids"]
+        assert got[k]["pending"] == want[k]["pending"]
