@@ -21,6 +21,13 @@ from adinsight.sources import dims
 # literal IN list (parquet row-group pruning); above it the join alone filters.
 MAX_PUSHDOWN_IDS = 2_000
 
+# When the request side is too large to broadcast, the join shuffles both
+# sides on the advertiser id.  One advertiser may hold a large part of the
+# facts, so the fact rows are spread over this many salt buckets (a hash of
+# the row, so a recomputed task gets the same salt) and the request side is
+# replicated once per bucket.
+SKEW_SALTS = 16
+
 
 def request_keys(requests: DataFrame) -> DataFrame:
     """One row per (request, distinct advertiser id).
@@ -100,6 +107,7 @@ def scope(fact: DataFrame, requests: DataFrame, *, match_timezone: bool = False,
             .withColumnRenamed("de_country_name", "r_country"),
             "r_timezone", "inner")
         bound = stats.rows * dims.max_spellings_per_zone()
+    broadcast = bound <= max_broadcast_rows
     keys = broadcast_if_within(keys, bound, max_broadcast_rows)
 
     # Literal bounds from the request side reach the parquet scan as pushed
@@ -110,7 +118,14 @@ def scope(fact: DataFrame, requests: DataFrame, *, match_timezone: bool = False,
     if stats.advertiser_ids is not None:
         pre = pre.filter(F.col("advertiser_id").isin(stats.advertiser_ids))
 
+    if not broadcast:
+        keys = keys.withColumn("r_salt", F.explode(F.sequence(F.lit(0), F.lit(SKEW_SALTS - 1))))
+        pre = pre.withColumn("_salt", F.pmod(
+            F.xxhash64(*[F.col(c) for c in fact.columns]), F.lit(SKEW_SALTS)).cast("int"))
+
     cond = pre["advertiser_id"] == keys["r_advertiser_id"]
+    if not broadcast:
+        cond = cond & (pre["_salt"] == keys["r_salt"])
     if apply_dates:
         cond = cond & (pre["dt"] >= keys["r_from_dt"]) & (pre["dt"] <= keys["r_to_dt"])
     if apply_io:

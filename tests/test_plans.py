@@ -51,13 +51,18 @@ def test_broadcast_only_within_checked_bound(spark):
     assert broadcast_if_within(df, None, max_rows=10) is df
 
 
-def test_large_request_side_falls_back_to_shuffle_join(spark):
+def test_large_request_side_falls_back_to_salted_shuffle_join(spark):
     job = job_for(spark, SF_SMALL)
     scoped, _ = scope(job.facts["system"], job.requests, max_broadcast_rows=0)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        p = scoped._jdf.queryExecution().sparkPlan().toString()
+        p = scoped._jdf.queryExecution().executedPlan().toString()
+        salted = sorted(scoped.collect())
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert "SortMergeJoin" in p or "ShuffledHashJoin" in p
-    assert "NestedLoop" not in p
+    assert "NestedLoop" not in p and "xxhash64" in p
+    # same rows as the broadcast path
+    assert salted == sorted(scope(job.facts["system"], job.requests)[0].collect())
