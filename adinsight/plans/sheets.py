@@ -16,7 +16,7 @@ from adinsight.functions.columns import size_label
 from adinsight.operators.extract import resum
 from adinsight.operators.labels import (
     keep_days, label_days, label_device_class, label_regions, lower_city)
-from adinsight.operators.metrics import METRIC_COLUMNS, with_metrics
+from adinsight.operators.metrics import METRIC_COLUMNS, resum_by_request, with_metrics
 from adinsight.sources import dims
 
 # The threshold (in percent) a site's impression share must
@@ -111,8 +111,8 @@ def finish(sheet: DataFrame, name: str, order: bool = True) -> DataFrame:
 def _tod(tod: DataFrame, days: list[str], bound: int | None) -> DataFrame:
     hours = label_days(tod).filter(F.col("day_hour") > FIRST_HOUR_EXCLUDED_UPTO)
     kept = keep_days(hours, days)
-    g = kept.groupBy("request_id", "day_hour").agg(*resum())
-    return with_metrics(g, ["day_hour"], scopes_bound=bound, totals_from=kept)
+    g = resum_by_request(kept, ["day_hour"])
+    return with_metrics(g, ["day_hour"], totals="window")
 
 
 def tod_weekday(tod: DataFrame, bound: int | None = None) -> DataFrame:
@@ -127,10 +127,8 @@ def tod_weekend(tod: DataFrame, bound: int | None = None) -> DataFrame:
 
 def dow(tod: DataFrame, bound: int | None = None) -> DataFrame:
     """Day of week, all hours."""
-    labelled = label_days(tod)
-    g = labelled.groupBy("request_id", "day_name", "day_order").agg(*resum())
-    return with_metrics(g, ["day_name"], scopes_bound=bound,
-                        extra=["day_order AS _day_order"], totals_from=labelled)
+    g = resum_by_request(label_days(tod), ["day_name", "day_order"])
+    return with_metrics(g, ["day_name"], extra=["day_order AS _day_order"], totals="window")
 
 
 # --- site domains -----------------------------------------------------------
@@ -145,17 +143,14 @@ def site_domains(site: DataFrame, bound: int | None = None) -> DataFrame:
 
 def device_type(device: DataFrame, bound: int | None = None) -> DataFrame:
     """Device class."""
-    labelled = label_device_class(device)
-    g = labelled.groupBy("request_id", "device_types").agg(*resum())
-    return with_metrics(g, ["device_types"], scopes_bound=bound, totals_from=labelled)
+    g = resum_by_request(label_device_class(device), ["device_types"])
+    return with_metrics(g, ["device_types"], totals="window")
 
 
 def _within_class(ext: DataFrame, dim: str, bound: int | None) -> DataFrame:
-    labelled = label_device_class(ext)
-    g = labelled.groupBy("request_id", "device_types", dim).agg(*resum())
-    n = None if bound is None else bound * len({c for _, c in dims.DEVICE_CLASSES})
+    g = resum_by_request(label_device_class(ext), ["device_types", dim])
     return with_metrics(g, ["device_types", dim], share_by=("request_id", "device_types"),
-                        scopes_bound=n, totals_from=labelled)
+                        totals="window")
 
 
 def device_os(os_ext: DataFrame, bound: int | None = None) -> DataFrame:
@@ -170,9 +165,9 @@ def browser(browser_ext: DataFrame, bound: int | None = None) -> DataFrame:
 
 def creative_size(size: DataFrame, bound: int | None = None) -> DataFrame:
     """Creative size label ``<width>x<height>``."""
-    s = size.withColumn("size", size_label("width", "height"))
-    return with_metrics(s, ["size"], scopes_bound=bound,
-                        extra=["width AS _width", "height AS _height"])
+    s = size.withColumn("size", size_label("width", "height")).repartition("request_id")
+    return with_metrics(s, ["size"], extra=["width AS _width", "height AS _height"],
+                        totals="window")
 
 
 # --- geo: city / region / postcode (extracts carry the request timezone) ----
@@ -193,8 +188,8 @@ def city_region(city: DataFrame, bound: int | None = None) -> DataFrame:
 def regions(city: DataFrame, bound: int | None = None) -> DataFrame:
     """Region; unmapped regions dropped before the shares."""
     labelled = label_regions(city).filter(F.col("regions").isNotNull())
-    g = labelled.groupBy("request_id", "regions", "region_code").agg(*resum())
-    return with_metrics(g, ["regions", "region_code"], scopes_bound=bound, totals_from=labelled)
+    g = resum_by_request(labelled, ["regions", "region_code"])
+    return with_metrics(g, ["regions", "region_code"], totals="window")
 
 
 def city_postcode(postcode: DataFrame, bound: int | None = None) -> DataFrame:
