@@ -12,13 +12,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adinsight.operators.extract import aggregate, extract
+from adinsight.operators.extract import aggregate
 from adinsight.operators.labels import keep_days, label_days, label_device_class, label_regions
 from adinsight.operators.metrics import with_metrics
-from adinsight.operators.scope import scope
+from adinsight.operators.scope import key_stats, request_keys, scope
 from adinsight.plans.report import EXTRACT_GRAINS, ReportJob
 from adinsight.sources import dims
-from adinsight.sources import requests as R
 from adinsight.sources.facts import facts_from_testdata
 from adinsight.sources.fixtures import request_table
 
@@ -89,9 +88,10 @@ def requests_overview(job: ReportJob, pending_only: bool) -> DataFrame:
     """
     parsed = job.parsed
     out = parsed.filter(F.col("pending")) if pending_only else parsed
+    stats = key_stats(request_keys(parsed))
     for fact, kw in (("placement_hour", {"match_timezone": True}), ("inventory", {}),
                      ("system", {}), ("geo", {"match_country": True})):
-        scoped, _ = scope(job.facts[fact], parsed, **kw)
+        scoped, _ = scope(job.facts[fact], parsed, stats=stats, **kw)
         counts = scoped.groupBy("request_id").agg(F.count(F.lit(1)).alias(f"rows_{fact}"))
         out = out.join(counts, "request_id", "left")
     return out.select(
@@ -150,4 +150,4 @@ def queries() -> dict[str, Query]:
     return q
 
 
-__all__ = ["queries", "job_for", "requests_overview", "R", "extract"]
+__all__ = ["queries", "job_for", "requests_overview"]

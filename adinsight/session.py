@@ -57,7 +57,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if spark.sparkContext.getCheckpointDir() is None:
             spark.sparkContext.setCheckpointDir(current)
         return current
+    existing = spark.sparkContext.getCheckpointDir()
+    if existing:
+        return existing
     path = tempfile.mkdtemp(prefix="adinsight-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
+    try:
+        spark.conf.set("spark.checkpoint.dir", path)
+    except Exception:  # core config not settable at runtime: the context has it
+        pass
     return path
