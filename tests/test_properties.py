@@ -99,3 +99,26 @@ def test_materialize_modes_agree(spark, report, mode):
     got = [r.asDict() for r in job.report_long().collect()]
     key = lambda r: tuple(sorted((k, repr(v)) for k, v in r.items()))
     assert sorted(map(key, got)) == sorted(map(key, report))
+
+
+def test_first_only_is_request_one_of_the_batch(spark, report):
+    first = [r.asDict() for r in job_for(spark, SF_SMALL, first_only=True).report_long().collect()]
+    key = lambda r: tuple(sorted((k, repr(v)) for k, v in r.items()))
+    assert sorted(map(key, first)) == sorted(map(key, [r for r in report if r["request_id"] == 1]))
+
+
+def test_row_ids_are_consecutive_and_follow_sheet_order(spark):
+    rows = [r.asDict() for r in job_for(spark, SF_SMALL).report_long(row_ids=True).collect()]
+    groups = defaultdict(list)
+    for r in rows:
+        groups[(r["request_id"], r["sheet"])].append(r)
+    assert groups
+    for (rid, sheet), items in groups.items():
+        items.sort(key=lambda r: r["row_id"])
+        assert [r["row_id"] for r in items] == list(range(1, len(items) + 1)), (rid, sheet)
+        if sheet in ("Site_Domains", "City_Region", "City_postal_code"):
+            shares = [r["Percentage_Impression_share"] for r in items]
+            assert shares == sorted(shares, reverse=True)
+        if sheet in ("TOD_Weekday", "TOD_Weekend"):
+            hours = [r["day_hour"] for r in items]
+            assert hours == sorted(hours)
