@@ -75,16 +75,23 @@ def read_fact(spark: SparkSession, name: str, path: str, fmt: str = "parquet") -
     return spark.read.schema(schemas.FACT_SCHEMAS[name]).format(fmt).load(path)
 
 
-def fact_from_testdata(spark: SparkSession, name: str, sf_dir: str) -> DataFrame:
+def fact_from_testdata(spark: SparkSession, name: str, sf_dir: str,
+                       source: DataFrame | None = None) -> DataFrame:
     """Fact ``name`` projected from the driver's test tables in ``sf_dir``.
 
     Only the referenced source columns are read (the projection prunes the
-    parquet scan).
+    parquet scan).  ``source`` may pass the already opened source table.
     """
     table, exprs = TESTDATA_PROJECTIONS[name]
-    src = spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
+    src = source if source is not None else spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
     return src.selectExpr(*exprs)
 
 
 def facts_from_testdata(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {name: fact_from_testdata(spark, name, sf_dir) for name in FACTS}
+    """All four facts; each source table is opened once."""
+    sources: dict[str, DataFrame] = {}
+    for table, _ in TESTDATA_PROJECTIONS.values():
+        if table not in sources:
+            sources[table] = spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
+    return {name: fact_from_testdata(spark, name, sf_dir, sources[TESTDATA_PROJECTIONS[name][0]])
+            for name in FACTS}
