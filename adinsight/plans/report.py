@@ -209,8 +209,13 @@ class ReportJob:
         return out
 
     # -- delivery -----------------------------------------------------------
-    def delivery_manifest(self, report: DataFrame | None = None) -> DataFrame:
-        """One row per served request: mail fields, report name, row count."""
+    def delivery_manifest(self, report: DataFrame | None = None,
+                          report_dir: str | None = None) -> DataFrame:
+        """One row per served request: mail fields, report name, row count.
+
+        With ``report_dir`` (the written report) a ``report_path`` column
+        points at the request's folder in it.
+        """
         report = report if report is not None else self.report_long()
         counts = report.groupBy("request_id").agg(F.count(F.lit(1)).alias("report_rows"))
         r = self.requests
@@ -226,6 +231,9 @@ class ReportJob:
             F.when(F.col("seg_pixel_ids").isNull(), F.lit("")).otherwise(
                 F.concat(F.lit(",segment pixel_id: "), ids("seg_pixel_ids"))),
         )
+        path = [] if report_dir is None else [
+            F.concat(F.lit(report_dir.rstrip("/") + "/request_id="),
+                     F.col("request_id").cast("string")).alias("report_path")]
         return (r.join(F.broadcast(counts) if self.n_requests <= self.max_broadcast_rows else counts,
                        "request_id", "left")
                  .select(
@@ -237,6 +245,7 @@ class ReportJob:
                               F.lit(REPORT_SUFFIX)).alias("report_name"),
                      "status",
                      F.coalesce(F.col("report_rows"), F.lit(0)).cast("bigint").alias("report_rows"),
+                     *path,
                  ))
 
     def claimed(self, served: DataFrame | None = None) -> DataFrame:
@@ -258,6 +267,7 @@ class ReportJob:
         (report.write.mode("overwrite").partitionBy("request_id", "sheet")
                .parquet(paths["report"]))
         written = self.spark.read.parquet(paths["report"])
-        self.delivery_manifest(written).write.mode("overwrite").parquet(paths["manifest"])
+        self.delivery_manifest(written, paths["report"]).write.mode("overwrite") \
+            .parquet(paths["manifest"])
         self.claimed().write.mode("overwrite").parquet(paths["requests"])
         return paths

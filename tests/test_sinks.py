@@ -23,6 +23,7 @@ def test_write_report_manifest_and_claim(spark):
     assert manifest[1]["subject"] == "Automation of Standard Insights"
     assert ", From Date: 2024-01-03, To Date: 2024-01-25" in manifest[1]["body"]
     assert manifest[1]["report_rows"] == report.filter("request_id = 1").count()
+    assert spark.read.parquet(manifest[1]["report_path"]).count() == manifest[1]["report_rows"]
     flags = {r["sheet_row"]: r["Insight_Flag"] for r in spark.read.parquet(paths["requests"]).collect()}
     assert [flags[i] for i in range(1, 8)] == ["No"] * 7
     assert flags[9] == "yes"
