@@ -138,6 +138,14 @@ class ReportJob:
             return df
         return df
 
+    def close(self) -> None:
+        """Release extracts held in executor storage (``persist`` mode)."""
+        if self.materialize == "persist":
+            for df in self._extracts.values():
+                df.unpersist()
+        self._extracts.clear()
+        self.__dict__.pop("shared_extracts", None)
+
     def materialized(self, name: str) -> DataFrame:
         """Extract ``name`` computed once and cut from the fact scan."""
         if name not in self._extracts:

@@ -97,6 +97,7 @@ def test_shared_grains_equal_separate_extracts(spark):
 def test_materialize_modes_agree(spark, report, mode):
     job = ReportJob(spark, facts_from_testdata(spark, SF_SMALL), request_table(spark), materialize=mode)
     got = [r.asDict() for r in job.report_long().collect()]
+    job.close()
     key = lambda r: tuple(sorted((k, repr(v)) for k, v in r.items()))
     assert sorted(map(key, got)) == sorted(map(key, report))
 
