@@ -75,6 +75,16 @@ def read_fact(spark: SparkSession, name: str, path: str, fmt: str = "parquet") -
     return spark.read.schema(schemas.FACT_SCHEMAS[name]).format(fmt).load(path)
 
 
+def write_fact(df: DataFrame, name: str, path: str, mode: str = "overwrite") -> None:
+    """Store a fact partitioned by ``dt`` (for teams that own their facts).
+
+    The request date bounds of ``scope`` then prune whole partitions instead
+    of row groups.
+    """
+    cols = schemas.FACT_SCHEMAS[name].fieldNames()
+    df.select(*cols).write.mode(mode).partitionBy("dt").parquet(path)
+
+
 def fact_from_testdata(spark: SparkSession, name: str, sf_dir: str,
                        source: DataFrame | None = None) -> DataFrame:
     """Fact ``name`` projected from the driver's test tables in ``sf_dir``.

@@ -66,3 +66,19 @@ def test_large_request_side_falls_back_to_salted_shuffle_join(spark):
     assert "NestedLoop" not in p and "xxhash64" in p
     # same rows as the broadcast path
     assert salted == sorted(scope(job.facts["system"], job.requests)[0].collect())
+
+
+def test_date_partitioned_fact_is_pruned(spark, tmp_path):
+    from adinsight.sources.facts import read_fact, write_fact
+    job = job_for(spark, SF_SMALL)
+    path = str(tmp_path / "system")
+    write_fact(job.facts["system"], "system", path)
+    stored = read_fact(spark, "system", path)
+    scoped, stats = scope(stored, job.requests)
+    p = plan(scoped)
+    assert "PartitionFilters: [isnotnull(dt" in p and f"dt#" in p
+    assert str(stats.min_from) in p
+    cols = sorted(scoped.columns)
+    a = sorted(map(repr, scoped.select(*cols).collect()))
+    b = sorted(map(repr, scope(job.facts["system"], job.requests)[0].select(*cols).collect()))
+    assert a == b
