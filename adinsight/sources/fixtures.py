@@ -1,8 +1,10 @@
 """The request fixture used by tests, the bench and the registered queries.
 
-Ten control-table rows covering the request semantics: id lists with pipes,
+Control-table rows covering the request semantics: id lists with pipes,
 optional insertion orders and pixels, AU / NZ / other time zones, a repeated
-advertiser id, a missing advertiser, and three rows that are not pending.
+advertiser id, a missing advertiser, three rows that are not pending, and one
+request for every advertiser over every date, so the whole fact tables flow
+through each operator.
 """
 
 from __future__ import annotations
@@ -25,6 +27,7 @@ REQUEST_ROWS = [
     (8, "2", "NA", "NA", "NA", "1995-01-01", "2001-12-31", "AEST", "No", "q8@example.com"),
     (9, "2", "NA", "NA", "NA", "1995-01-01", "2001-12-31", "AEST", "yes", "q9@example.com"),
     (10, "2", "NA", "NA", "NA", "1995-01-01", "2001-12-31", "AEST", None, "q10@example.com"),
+    (11, "0|1|2|3|4|5|6|7|8|9", "NA", "NA", "NA", "1990-01-01", "2030-12-31", "NZST", "Yes", "q11@example.com"),
 ]
 
 

@@ -29,7 +29,7 @@ def test_id_lists(spark):
 
 def test_pending_is_case_sensitive_substring(spark):
     p = parsed(spark, REQUEST_ROWS)
-    assert sorted(k for k, v in p.items() if v["pending"]) == [1, 2, 3, 4, 5, 6, 7]
+    assert sorted(k for k, v in p.items() if v["pending"]) == [1, 2, 3, 4, 5, 6, 7, 11]
 
 
 def test_first_only(spark):
@@ -43,6 +43,7 @@ def test_claim_flips_only_served_rows(spark):
     out = {r["sheet_row"]: r["Insight_Flag"] for r in R.claim(raw, served).collect()}
     assert out[1] == "No" and out[4] == "No"
     assert out[2] == "Yes" and out[8] == "No" and out[9] == "yes" and out[10] is None
+    assert out[11] == "Yes"
     assert R.claim(raw, served).columns == raw.columns
 
 

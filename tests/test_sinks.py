@@ -17,7 +17,7 @@ def test_write_report_manifest_and_claim(spark):
         "TOD_Weekday", "TOD_Weekend", "DOW", "Site_Domains", "Device_type", "Device_Os",
         "Browser", "Creative_Size", "City_Region", "Regions", "City_postal_code"}
     manifest = {r["request_id"]: r for r in spark.read.parquet(paths["manifest"]).collect()}
-    assert sorted(manifest) == [1, 2, 3, 4, 5, 6, 7]
+    assert sorted(manifest) == [1, 2, 3, 4, 5, 6, 7, 11]
     assert manifest[7]["status"] == "invalid" and manifest[7]["report_rows"] == 0
     assert manifest[1]["report_name"] == "1,2_Report.xlsx"
     assert manifest[1]["subject"] == "Automation of Standard Insights"
@@ -25,5 +25,5 @@ def test_write_report_manifest_and_claim(spark):
     assert manifest[1]["report_rows"] == report.filter("request_id = 1").count()
     assert spark.read.parquet(manifest[1]["report_path"]).count() == manifest[1]["report_rows"]
     flags = {r["sheet_row"]: r["Insight_Flag"] for r in spark.read.parquet(paths["requests"]).collect()}
-    assert [flags[i] for i in range(1, 8)] == ["No"] * 7
+    assert [flags[i] for i in (1, 2, 3, 4, 5, 6, 7, 11)] == ["No"] * 8
     assert flags[9] == "yes"
