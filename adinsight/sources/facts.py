@@ -71,8 +71,16 @@ TESTDATA_PROJECTIONS: dict[str, tuple[str, list[str]]] = {
 
 
 def read_fact(spark: SparkSession, name: str, path: str, fmt: str = "parquet") -> DataFrame:
-    """A production fact table, read with its declared schema."""
-    return spark.read.schema(schemas.FACT_SCHEMAS[name]).format(fmt).load(path)
+    """A production fact table, read with its declared schema.
+
+    ``path`` of the form ``table:<name>`` reads a catalog table instead (its
+    columns are selected and cast to the declared schema).
+    """
+    schema = schemas.FACT_SCHEMAS[name]
+    if path.startswith("table:"):
+        t = spark.table(path[len("table:"):])
+        return t.select(*[t[f.name].cast(f.dataType).alias(f.name) for f in schema.fields])
+    return spark.read.schema(schema).format(fmt).load(path)
 
 
 def write_fact(df: DataFrame, name: str, path: str, mode: str = "overwrite") -> None:

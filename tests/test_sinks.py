@@ -27,3 +27,32 @@ def test_write_report_manifest_and_claim(spark):
     flags = {r["sheet_row"]: r["Insight_Flag"] for r in spark.read.parquet(paths["requests"]).collect()}
     assert [flags[i] for i in (1, 2, 3, 4, 5, 6, 7, 11)] == ["No"] * 8
     assert flags[9] == "yes"
+
+
+def test_command_line_on_test_tables(spark, tmp_path):
+    import csv
+
+    from adinsight.__main__ import main
+    from adinsight.schemas import REQUEST_RAW
+    from adinsight.sources.fixtures import REQUEST_ROWS
+    req = tmp_path / "requests.csv"
+    with open(req, "w", newline="") as f:
+        w = csv.writer(f)
+        w.writerow(REQUEST_RAW.fieldNames())
+        for r in REQUEST_ROWS[:3]:
+            w.writerow(["" if v is None else v for v in r])
+    paths = main(["--requests", str(req), "--testdata", SF_SMALL, "--out", str(tmp_path / "out"),
+                  "--first-only"])
+    served = [r["request_id"] for r in spark.read.parquet(paths["manifest"]).collect()]
+    assert served == [1]
+    flags = {r["sheet_row"]: r["Insight_Flag"] for r in spark.read.parquet(paths["requests"]).collect()}
+    assert flags == {1: "No", 2: "Yes", 3: "Yes"}
+
+
+def test_read_fact_from_catalog_table(spark):
+    from adinsight.schemas import FACT_SCHEMAS
+    from adinsight.sources.facts import fact_from_testdata, read_fact
+    fact_from_testdata(spark, "inventory", SF_SMALL).createOrReplaceTempView("inv_fact")
+    df = read_fact(spark, "inventory", "table:inv_fact")
+    assert df.schema.fieldNames() == FACT_SCHEMAS["inventory"].fieldNames()
+    assert df.count() > 0
