@@ -78,6 +78,8 @@ def test_date_partitioned_fact_is_pruned(spark, tmp_path):
     p = plan(scoped)
     assert "PartitionFilters: [isnotnull(dt" in p and f"dt#" in p
     assert str(stats.min_from) in p
+    # a real advertiser column: the request id list reaches the scan
+    assert "PushedFilters: [In(advertiser_id, [0,1,2,3,4,5,6,7,8,9])" in p
     cols = sorted(scoped.columns)
     a = sorted(map(repr, scoped.select(*cols).collect()))
     b = sorted(map(repr, scope(job.facts["system"], job.requests)[0].select(*cols).collect()))
