@@ -123,3 +123,19 @@ def test_row_ids_are_consecutive_and_follow_sheet_order(spark):
         if sheet in ("TOD_Weekday", "TOD_Weekend"):
             hours = [r["day_hour"] for r in items]
             assert hours == sorted(hours)
+
+
+def test_sheets_have_no_more_rows_than_their_extracts(spark, report):
+    from adinsight.plans.report import SHEET_BUILDERS
+    job = job_for(spark, SF_SMALL)
+    extract_rows = {}
+    for name, df in job.shared_extracts.items():
+        for r in df.groupBy("request_id").count().collect():
+            extract_rows[(name, r["request_id"])] = r["count"]
+    sheet_rows = defaultdict(int)
+    for r in report:
+        sheet_rows[(r["sheet"], r["request_id"])] += 1
+    assert sheet_rows
+    for (sheet, rid), n in sheet_rows.items():
+        ext = SHEET_BUILDERS[sheet][1]
+        assert n <= extract_rows.get((ext, rid), 0), (sheet, rid)
