@@ -5,6 +5,11 @@ cases already applied) and returns the sheet for every request in it:
 ``request_id``, the sheet's dimensions and the eight metric columns, plus
 helper columns starting with ``_`` used only for ordering.  ``finish``
 applies the sheet order and drops the helpers.
+
+Every builder takes ``(extract, bound)``; ``bound`` is the checked upper
+bound on the number of requests.  It decides whether per-request totals are
+broadcast on the sheets that join totals (sites, cities, postcodes); the
+sheets bounded by a fixed dimension use a per-request window and ignore it.
 """
 
 from __future__ import annotations
@@ -46,7 +51,6 @@ SHEET_DIMS = {
 }
 
 
-
 def sheet_order(name: str) -> list[Column]:
     """Row order within one request's sheet (all orders are total)."""
     _SHARE = F.col("Percentage_Impression_share").desc()
