@@ -274,7 +274,8 @@ class ReportJob:
         report = self.report_long(row_ids=True)
         (report.write.mode("overwrite").partitionBy("request_id", "sheet")
                .parquet(paths["report"]))
-        written = self.spark.read.parquet(paths["report"])
+        # Explicit schema: an empty report writes no data files to infer from.
+        written = self.spark.read.schema(report.schema).parquet(paths["report"])
         self.delivery_manifest(written, paths["report"]).write.mode("overwrite") \
             .parquet(paths["manifest"])
         self.claimed().write.mode("overwrite").parquet(paths["requests"])

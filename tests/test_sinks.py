@@ -56,3 +56,17 @@ def test_read_fact_from_catalog_table(spark):
     df = read_fact(spark, "inventory", "table:inv_fact")
     assert df.schema.fieldNames() == FACT_SCHEMAS["inventory"].fieldNames()
     assert df.count() > 0
+
+
+def test_no_pending_requests_gives_empty_outputs(spark, tmp_path):
+    from adinsight.plans.report import ReportJob
+    from adinsight.sources.facts import facts_from_testdata
+    from adinsight.sources.fixtures import REQUEST_ROWS, request_table
+    idle = [r for r in REQUEST_ROWS if r[8] is None or "Yes" not in r[8]]
+    job = ReportJob(spark, facts_from_testdata(spark, SF_SMALL), request_table(spark, idle))
+    assert job.report_long().count() == 0
+    assert job.sheet("City_Region").count() == 0
+    paths = job.write(str(tmp_path / "out"))
+    assert spark.read.parquet(paths["manifest"]).count() == 0
+    flags = {r["sheet_row"]: r["Insight_Flag"] for r in spark.read.parquet(paths["requests"]).collect()}
+    assert flags == {r[0]: r[8] for r in idle}
