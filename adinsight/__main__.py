@@ -33,6 +33,7 @@ def main(argv: list[str] | None = None) -> dict[str, str]:
                         help=f"{name} fact: path, or table:<catalog name>")
     ap.add_argument("--first-only", action="store_true", help="serve only the first pending request")
     ap.add_argument("--stream", action="store_true", help="serve request files as a stream")
+    ap.add_argument("--csv-sheets", action="store_true", help="also write each sheet as CSV")
     args = ap.parse_args(argv)
 
     spark = get_spark()
@@ -51,7 +52,7 @@ def main(argv: list[str] | None = None) -> dict[str, str]:
         return {"stream": args.out}
     job = ReportJob(spark, facts, read_requests(spark, args.requests, args.requests_format),
                     first_only=args.first_only)
-    paths = job.write(args.out)
+    paths = job.write(args.out, csv_sheets=args.csv_sheets)
     print(json.dumps(paths))
     return paths
 

@@ -260,11 +260,14 @@ class ReportJob:
         """Next version of the control table: served requests flagged done."""
         return R.claim(self.requests_raw, served if served is not None else self.requests)
 
-    def write(self, out_dir: str) -> dict[str, str]:
+    def write(self, out_dir: str, csv_sheets: bool = False) -> dict[str, str]:
         """Write report, manifest, then the new control-table version.
 
         The report is written first; the control table changes only after it
-        exists, so a failed run leaves its requests pending.
+        exists, so a failed run leaves its requests pending.  With
+        ``csv_sheets`` every sheet is also written as CSV with a header (one
+        folder per sheet, partitioned by request; the sheet's own columns
+        with ``row_id`` first), the tab-per-sheet form of a workbook.
         """
         out = out_dir.rstrip("/")
         paths = {"report": f"{out}/report", "manifest": f"{out}/manifest",
@@ -276,6 +279,15 @@ class ReportJob:
                .parquet(paths["report"]))
         # Explicit schema: an empty report writes no data files to infer from.
         written = self.spark.read.schema(report.schema).parquet(paths["report"])
+        if csv_sheets:
+            for name in S.SHEET_NAMES:
+                path = f"{out}/sheets/{name}"
+                cols = ["row_id", *S.SHEET_DIMS[name], *S.METRIC_COLUMNS, "request_id"]
+                (written.filter(F.col("sheet") == name).select(*cols)
+                        .sortWithinPartitions("request_id", "row_id")
+                        .write.mode("overwrite").partitionBy("request_id")
+                        .option("header", True).csv(path))
+                paths[f"sheet:{name}"] = path
         self.delivery_manifest(written, paths["report"]).write.mode("overwrite") \
             .parquet(paths["manifest"])
         self.claimed().write.mode("overwrite").parquet(paths["requests"])

@@ -42,7 +42,10 @@ def test_command_line_on_test_tables(spark, tmp_path):
         for r in REQUEST_ROWS[:3]:
             w.writerow(["" if v is None else v for v in r])
     paths = main(["--requests", str(req), "--testdata", SF_SMALL, "--out", str(tmp_path / "out"),
-                  "--first-only"])
+                  "--first-only", "--csv-sheets"])
+    dow = spark.read.option("header", True).csv(paths["sheet:DOW"])
+    assert dow.columns[:2] == ["row_id", "day_name"] and "request_id" in dow.columns
+    assert sorted(int(r["row_id"]) for r in dow.collect()) == list(range(1, dow.count() + 1))
     served = [r["request_id"] for r in spark.read.parquet(paths["manifest"]).collect()]
     assert served == [1]
     flags = {r["sheet_row"]: r["Insight_Flag"] for r in spark.read.parquet(paths["requests"]).collect()}
