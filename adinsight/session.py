@@ -36,6 +36,8 @@ def get_spark(master: str | None = None, app: str = "adinsight",
     conf = dict(ENGINE_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or 8)
     conf["spark.driver.memory"] = "8g"
+    # checkpoint files of extracts are deleted once no longer referenced
+    conf["spark.cleaner.referenceTracking.cleanCheckpoints"] = "true"
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)

@@ -2,7 +2,7 @@
 
 Prints one JSON line.  ``value`` is the wall time of the headline query: the
 full report (all eleven sheets) for every pending request in one job, from
-reading the request table to the last sheet row (median of three runs after
+reading the request table to the last sheet row (median of five runs after
 one untimed warm-up run on the same data).  Every query is forced to
 completion through the ``noop`` sink (no collect).  The ``serial`` figure
 runs the same requests one job per request, the way the reference serves
@@ -41,13 +41,13 @@ def _timed(fn) -> float:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    spark = get_spark(master=f"local[{cpus}]", shuffle_partitions=int(cpus) * 2)
+    spark = get_spark(master=f"local[{cpus}]", shuffle_partitions=int(cpus))
     # Warm-up (JVM start, class loading, code generation), not timed.
     _run(job_for(spark, sf_dir).report_long())
 
     times: dict[str, float] = {}
-    runs = sorted(_timed(lambda: _run(job_for(spark, sf_dir).report_long())) for _ in range(3))
-    times["report_all"] = runs[1]
+    runs = sorted(_timed(lambda: _run(job_for(spark, sf_dir).report_long())) for _ in range(5))
+    times["report_all"] = runs[len(runs) // 2]
     # Phases of one more run of the headline query.
     t0 = time.perf_counter()
     job = job_for(spark, sf_dir)
