@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from adinsight.functions.columns import ratio_sql
 from adinsight.operators.sizing import broadcast_if_within
 
+# The metric columns of every sheet, in report order.
 METRIC_COLUMNS = [
     "impressions", "Percentage_Impression_share",
     "clicks", "Percentage_Click_share", "Percentage_CTR",

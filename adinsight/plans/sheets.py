@@ -30,6 +30,7 @@ from adinsight.sources import dims
 SITE_SHARE_THRESHOLD = 0.01
 FIRST_HOUR_EXCLUDED_UPTO = 6
 
+# The sheet names, in report order.
 SHEET_NAMES = [
     "TOD_Weekday", "TOD_Weekend", "DOW", "Site_Domains", "Device_type",
     "Device_Os", "Browser", "Creative_Size", "City_Region", "Regions",
