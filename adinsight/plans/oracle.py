@@ -259,16 +259,20 @@ def _requests_overview(pending_only: bool) -> str:
 
 
 def _manifest_body() -> str:
+    from adinsight.plans import report as K
     ids = lambda c: f"array_to_string({c}, ',')"
-    return f"""SELECT s.request_id, s.to_email AS "to", 'Automation of Standard Insights' AS subject,
-        'Hey,' || chr(10) || 'Attached is the data for your advertiser: ' || COALESCE({ids('s.advertiser_ids')}, '')
-        || CASE WHEN s.io_ids IS NULL THEN '' ELSE ', insertion_order_id: ' || {ids('s.io_ids')} END
-        || ', From Date: ' || COALESCE(CAST(s.from_dt AS VARCHAR), 'NA')
-        || ', To Date: ' || COALESCE(CAST(s.to_dt AS VARCHAR), 'NA')
-        || CASE WHEN s.conv_pixel_ids IS NULL THEN '' ELSE ',conversion pixel_id: ' || {ids('s.conv_pixel_ids')} END
-        || CASE WHEN s.seg_pixel_ids IS NULL THEN '' ELSE ',segment pixel_id: ' || {ids('s.seg_pixel_ids')} END
+    greeting = _lit(K.MAIL_GREETING).replace("\n", "' || chr(10) || '")
+    return f"""SELECT s.request_id, s.to_email AS "to", {_lit(K.MAIL_SUBJECT)} AS subject,
+        {greeting} || COALESCE({ids('s.advertiser_ids')}, '')
+        || CASE WHEN s.io_ids IS NULL THEN '' ELSE {_lit(K.MAIL_IO)} || {ids('s.io_ids')} END
+        || {_lit(K.MAIL_FROM)} || COALESCE(CAST(s.from_dt AS VARCHAR), 'NA')
+        || {_lit(K.MAIL_TO)} || COALESCE(CAST(s.to_dt AS VARCHAR), 'NA')
+        || CASE WHEN s.conv_pixel_ids IS NULL THEN ''
+                ELSE {_lit(K.MAIL_CONV_PIXEL)} || {ids('s.conv_pixel_ids')} END
+        || CASE WHEN s.seg_pixel_ids IS NULL THEN ''
+                ELSE {_lit(K.MAIL_SEG_PIXEL)} || {ids('s.seg_pixel_ids')} END
         AS body,
-        COALESCE({ids('s.advertiser_ids')}, '') || '_Report.xlsx' AS report_name,
+        COALESCE({ids('s.advertiser_ids')}, '') || {_lit(K.REPORT_SUFFIX)} AS report_name,
         s.status, CAST(COALESCE(n.report_rows, 0) AS BIGINT) AS report_rows
         FROM served s LEFT JOIN (SELECT request_id, COUNT(*) AS report_rows FROM ({_report_long()})
         GROUP BY request_id) n USING (request_id)"""

@@ -33,9 +33,15 @@ from adinsight.plans import sheets as S
 from adinsight.session import checkpoint_dir
 from adinsight.sources import requests as R
 
-# The delivery mail.
+# The delivery mail (subject, body labels in body order) and
+# the report name suffix.
 MAIL_SUBJECT = "Automation of Standard Insights"
 MAIL_GREETING = "Hey,\nAttached is the data for your advertiser: "
+MAIL_IO = ", insertion_order_id: "
+MAIL_FROM = ", From Date: "
+MAIL_TO = ", To Date: "
+MAIL_CONV_PIXEL = ",conversion pixel_id: "
+MAIL_SEG_PIXEL = ",segment pixel_id: "
 REPORT_SUFFIX = "_Report.xlsx"
 
 # extract name -> (fact, grain keys)
@@ -231,13 +237,13 @@ class ReportJob:
         body = F.concat(
             F.lit(MAIL_GREETING), F.coalesce(ids("advertiser_ids"), F.lit("")),
             F.when(F.col("io_ids").isNull(), F.lit("")).otherwise(
-                F.concat(F.lit(", insertion_order_id: "), ids("io_ids"))),
-            F.lit(", From Date: "), F.coalesce(F.col("from_dt").cast("string"), F.lit("NA")),
-            F.lit(", To Date: "), F.coalesce(F.col("to_dt").cast("string"), F.lit("NA")),
+                F.concat(F.lit(MAIL_IO), ids("io_ids"))),
+            F.lit(MAIL_FROM), F.coalesce(F.col("from_dt").cast("string"), F.lit("NA")),
+            F.lit(MAIL_TO), F.coalesce(F.col("to_dt").cast("string"), F.lit("NA")),
             F.when(F.col("conv_pixel_ids").isNull(), F.lit("")).otherwise(
-                F.concat(F.lit(",conversion pixel_id: "), ids("conv_pixel_ids"))),
+                F.concat(F.lit(MAIL_CONV_PIXEL), ids("conv_pixel_ids"))),
             F.when(F.col("seg_pixel_ids").isNull(), F.lit("")).otherwise(
-                F.concat(F.lit(",segment pixel_id: "), ids("seg_pixel_ids"))),
+                F.concat(F.lit(MAIL_SEG_PIXEL), ids("seg_pixel_ids"))),
         )
         path = [] if report_dir is None else [
             F.concat(F.lit(report_dir.rstrip("/") + "/request_id="),
