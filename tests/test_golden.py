@@ -162,3 +162,13 @@ def test_day_of_week_order(spark):
     j = job(spark, placement_hour=rows)
     assert [r["day_name"] for r in rows_of(j.sheet("DOW"))] == [
         "Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday"]
+
+
+def test_unmapped_and_null_device_types_leave_device_sheets(spark):
+    j = job(spark, system=[
+        dict(device_type="PC", impressions=1), dict(device_type="Mobile", impressions=2),
+        dict(device_type="tv", impressions=4), dict(device_type=None, impressions=8),
+        dict(device_type="pc or unknown", impressions=16)])
+    (r,) = rows_of(j.sheet("Device_type"))
+    assert (r["device_types"], r["impressions"], r["Percentage_Impression_share"]) == ("pc", 16, 100)
+    assert [x["impressions"] for x in rows_of(j.sheet("Creative_Size"))] == [31]
