@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adinsight.functions.columns import day_of_week
-from adinsight.operators.extract import extract, extract_grains
+from adinsight.operators.extract import extract, grains_aggregate, split_grains
 from adinsight.operators.rownum import number_rows
 from adinsight.operators.scope import KeyStats, key_stats, request_keys, scope
 from adinsight.operators.sizing import MAX_BROADCAST_ROWS
@@ -162,27 +162,29 @@ class ReportJob:
     def shared_extracts(self) -> dict[str, DataFrame]:
         """All eight extracts, one scan per fact (grouping sets), materialized.
 
-        The four fact aggregates are independent jobs and are submitted
-        concurrently.
+        The per-fact plans are built here, one after the other; only their
+        execution (the four checkpoint jobs, which are independent) is
+        submitted concurrently.
         """
         by_fact: dict[str, dict[str, list[str]]] = {}
         for name, (fact, keys) in EXTRACT_GRAINS.items():
             by_fact.setdefault(fact, {})[name] = keys
-        self.stats  # one size check before the concurrent jobs
-
-        def build(fact: str) -> dict[str, DataFrame]:
-            grains = by_fact[fact]
+        plans: dict[str, DataFrame] = {}
+        for fact, grains in by_fact.items():
+            scoped = self.scoped(fact)
             if len(grains) == 1:
                 (name, keys), = grains.items()
-                return {name: self._cut(extract(self.scoped(fact), keys, self._carry(fact)))}
-            parts = extract_grains(self.scoped(fact), grains, self._carry(fact),
-                                   cut=self._cut)
-            return parts
-
+                plans[fact] = extract(scoped, keys, self._carry(fact))
+            else:
+                plans[fact] = grains_aggregate(scoped, grains, self._carry(fact))
+        with ThreadPoolExecutor(max_workers=len(plans)) as pool:
+            cut = dict(zip(plans, pool.map(self._cut, plans.values())))
         out: dict[str, DataFrame] = {}
-        with ThreadPoolExecutor(max_workers=len(by_fact)) as pool:
-            for part in pool.map(build, list(by_fact)):
-                out.update(part)
+        for fact, grains in by_fact.items():
+            if len(grains) == 1:
+                out[next(iter(grains))] = cut[fact]
+            else:
+                out.update(split_grains(cut[fact], grains, self._carry(fact)))
         self._extracts.update(out)
         return out
 
