@@ -6,6 +6,8 @@ it is always safe.
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -105,12 +107,16 @@ LOWERCASE_REGION_ZONES = ["NZST"]
 # ---------------------------------------------------------------------------
 
 
+_LOCK = threading.RLock()
+
+
 def _cached(spark: SparkSession, key, build) -> DataFrame:
     """Lookup frames are immutable literals: build each once per session."""
-    cache = spark.__dict__.setdefault("_adinsight_lookups", {})
-    if key not in cache:
-        cache[key] = build()
-    return cache[key]
+    with _LOCK:
+        cache = spark.__dict__.setdefault("_adinsight_lookups", {})
+        if key not in cache:
+            cache[key] = build()
+        return cache[key]
 
 
 def days(spark: SparkSession) -> DataFrame:

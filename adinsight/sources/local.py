@@ -8,6 +8,7 @@ and control-table fixtures only.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +16,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+# Parameter binding of ``spark.sql`` is not relied on to be thread-safe: all
+# literal tables are created under one lock.
+_LOCK = threading.RLock()
+
+
 def local_table(spark: SparkSession, rows: Sequence[Sequence], schema: T.StructType) -> DataFrame:
+    with _LOCK:
+        return _local_table(spark, rows, schema)
+
+
+def _local_table(spark: SparkSession, rows: Sequence[Sequence], schema: T.StructType) -> DataFrame:
     names = schema.fieldNames()
     if not rows:
         return spark.range(0).select(
