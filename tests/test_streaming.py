@@ -41,3 +41,18 @@ def test_stream_serves_each_file_once(spark):
     assert served == [[1, 2], [3, 4]]
     report = spark.read.parquet(os.path.join(out, batches[1], "report"))
     assert report.filter("request_id = 3 AND sheet = 'Regions'").count() > 0
+
+
+def test_stream_batch_without_pending_requests(spark):
+    base = tempfile.mkdtemp(prefix="adinsight-stream-")
+    inbox, out, ckpt = (os.path.join(base, d) for d in ("inbox", "out", "ckpt"))
+    os.makedirs(inbox)
+    idle = [r for r in REQUEST_ROWS if r[8] is None or "Yes" not in r[8]]
+    _write(os.path.join(inbox, "idle.csv"), idle)
+    q = serve_request_stream(spark, inbox, facts_from_testdata(spark, SF_SMALL), out, checkpoint=ckpt)
+    q.awaitTermination(600)
+    assert q.exception() is None
+    (batch,) = [d for d in os.listdir(out) if d.startswith("batch=")]
+    assert spark.read.parquet(os.path.join(out, batch, "manifest")).count() == 0
+    flags = spark.read.parquet(os.path.join(out, batch, "requests")).collect()
+    assert sorted(r["sheet_row"] for r in flags) == [8, 9, 10]
