@@ -113,6 +113,9 @@ def scope(fact: DataFrame, requests: DataFrame, *, match_timezone: bool = False,
     # Literal bounds from the request side reach the parquet scan as pushed
     # filters / partition pruning; the join below stays the exact test.
     pre = fact
+    if stats.rows == 0:
+        # no request has an advertiser key: Catalyst drops the scan entirely
+        pre = pre.filter(F.lit(False))
     if apply_dates and stats.min_from is not None and stats.max_to is not None:
         pre = pre.filter(F.col("dt").between(F.lit(stats.min_from), F.lit(stats.max_to)))
     if stats.advertiser_ids is not None:

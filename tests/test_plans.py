@@ -84,3 +84,13 @@ def test_date_partitioned_fact_is_pruned(spark, tmp_path):
     a = sorted(map(repr, scoped.select(*cols).collect()))
     b = sorted(map(repr, scope(job.facts["system"], job.requests)[0].select(*cols).collect()))
     assert a == b
+
+
+def test_no_request_keys_means_no_fact_scan(spark):
+    from adinsight.sources.fixtures import REQUEST_ROWS, request_table
+    from adinsight.plans.report import ReportJob
+    from adinsight.sources.facts import facts_from_testdata
+    idle = [r for r in REQUEST_ROWS if r[8] is None or "Yes" not in r[8]]
+    job = ReportJob(spark, facts_from_testdata(spark, SF_SMALL), request_table(spark, idle))
+    scoped = job.scoped("system")
+    assert "FileScan" not in plan(scoped) and scoped.count() == 0
