@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adinsight.llm.common import table
+from adinsight.llm.simhash import near_duplicates
 from adinsight.llm.substring_dedup import remove_repeats
 
 
@@ -18,8 +19,16 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = near_duplicates(table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
+    return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op4_substring_dedup": op4_substring_dedup}
+    return {
+        "op4_substring_dedup": op4_substring_dedup,
+        "op9_simhash_near_dedup": op9_simhash_near_dedup,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
