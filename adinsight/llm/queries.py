@@ -8,10 +8,35 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adinsight.llm.common import table
+from adinsight.llm.line_dedup import BLANKS, MIN_SITES, remove_spread_lines
+from adinsight.llm.quality_rules import judged, labelled_rows, learn
 from adinsight.llm.simhash import near_duplicates
 from adinsight.llm.substring_dedup import remove_repeats
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = remove_spread_lines(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_lines", "n_removed",
+                      F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("text_sha256"))
+
+
+OP3_SQL = f"""
+WITH split AS (
+  SELECT doc_id, source, generate_subscripts(string_split(text, chr(10)), 1) AS pos,
+         unnest(string_split(text, chr(10))) AS line FROM documents),
+bare AS (SELECT *, trim(line, {" || ".join(f"chr({ord(c)})" for c in BLANKS)}) AS b FROM split),
+spread AS (SELECT b FROM bare WHERE b <> '' GROUP BY b HAVING count(DISTINCT source) >= {MIN_SITES}),
+ranked AS (
+  SELECT bare.*, spread.b IS NOT NULL AS hit,
+         row_number() OVER (PARTITION BY bare.b ORDER BY doc_id, pos) AS nth
+  FROM bare LEFT JOIN spread ON bare.b = spread.b)
+SELECT doc_id, CAST(count(*) AS BIGINT) AS n_lines,
+       CAST(count(*) FILTER (WHERE hit AND nth > 1) AS BIGINT) AS n_removed,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT (hit AND nth > 1)), '')) AS text_sha256
+FROM ranked GROUP BY doc_id
+"""
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = remove_repeats(table(spark, sf_dir, "documents"), window=35)
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
@@ -24,12 +49,21 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    rules = learn(labelled_rows(docs, table(spark, sf_dir, "labels")))
+    return judged(docs.select("doc_id", "text"), rules).select(
+        "row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op3_line_dedup": op3_line_dedup,
         "op4_substring_dedup": op4_substring_dedup,
         "op9_simhash_near_dedup": op9_simhash_near_dedup,
+        "op10_quality_rules": op10_quality_rules,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_line_dedup": OP3_SQL}
