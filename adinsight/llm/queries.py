@@ -8,12 +8,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adinsight.llm.common import table
+from adinsight.llm.decontaminate import leaks
 from adinsight.llm.line_dedup import BLANKS, MIN_SITES, remove_spread_lines
+from adinsight.llm.packing import pack
 from adinsight.llm.quality_rules import judged, labelled_rows, learn
 from adinsight.llm.simhash import near_duplicates
 from adinsight.llm.substring_dedup import remove_repeats
 
 
+def ranks_path() -> str:
+    """Where this installation keeps the vocabulary file."""
+    import public_tokenizers
+    return public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
+def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The leaked documents only: a row per document and benchmark item leaked into it."""
+    out = leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "item_id", "coverage", F.size("tiles").cast("long").alias("n_tiles"),
+                      F.lit(True).alias("contaminated"))
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = remove_spread_lines(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_lines", "n_removed",
@@ -44,6 +59,15 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def packed_pieces(pieces: DataFrame) -> DataFrame:
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"),
+                         "doc_tokens", "sequence_id", "offset")
+
+
+def op6_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed_pieces(pack(table(spark, sf_dir, "documents"), ranks_path()))
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = near_duplicates(table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -58,8 +82,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_benchmark_decontamination": op2_benchmark_decontamination,
         "op3_line_dedup": op3_line_dedup,
         "op4_substring_dedup": op4_substring_dedup,
+        "op6_retrieval_packing": op6_retrieval_packing,
         "op9_simhash_near_dedup": op9_simhash_near_dedup,
         "op10_quality_rules": op10_quality_rules,
     }

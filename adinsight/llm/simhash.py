@@ -76,14 +76,16 @@ def fingerprint(text: str | None, size: int) -> int:
     return int(np.packbits(2 * ones > len(h), bitorder="little").view(np.int64)[0])
 
 
-def fingerprints(docs: DataFrame, size: int) -> DataFrame:
-    """``doc_id, fp`` (signed 64-bit) of every row of ``docs``."""
+def fingerprints(docs: DataFrame, size: int, keyed: bool = False) -> DataFrame:
+    """``doc_id, fp`` (signed 64-bit) of every row of ``docs``; ``keyed`` adds ``no_id`` and a hash ``text``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fp = [fingerprint(t.as_py(), size) for t in b["text"]]
-            yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array(fp, pa.int64())], ["doc_id", "fp"])
-    return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-            .mapInArrow(run, "doc_id long, fp long"))
+            yield pa.RecordBatch.from_arrays([b["doc_id"], b["hash"], pa.array(fp, pa.int64())], ["doc_id", "hash", "fp"])
+    each = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
+                        F.xxhash64("text").alias("hash"))
+            .mapInArrow(run, "doc_id long, hash long, fp long"))
+    return each.select("doc_id", "fp", *([F.col("doc_id").isNull().alias("no_id"), F.col("hash").alias("text")] * keyed))
 
 
 def _bits(at: int, n: int) -> Column:
@@ -240,6 +242,13 @@ def links(fps: DataFrame, max_bits: int) -> DataFrame:
             .mapInArrow(search, "a long, b long").distinct())
 
 
+def components_of(each: DataFrame, max_bits: int) -> DataFrame:
+    """``fp, root`` for every fingerprint in ``each``; equal roots are one component."""
+    fps = each.select("fp").distinct()
+    roots = components(links(fps, max_bits))
+    return fps.join(roots, fps["fp"] == roots["node"], "left").select("fp", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> DataFrame:
     """``doc_id, fp, component_id`` for every row of ``docs`` (doc_id, text).
 
@@ -247,10 +256,25 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> Dat
     ``component_id`` is the smallest id in reach.
     """
     each = cut(fingerprints(docs, shingle))
-    fps = each.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    roots = components(links(fps.select("fp"), max_bits))
-    named = fps.join(roots, fps["fp"] == roots["node"], "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root"))
-    least = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    return each.join(named.join(least, "root").select("fp", "component_id"), "fp").select(
+    roots = cut(components_of(each, max_bits))
+    least = (each.groupBy("fp").agg(F.min("doc_id").alias("least")).join(roots, "fp")
+             .groupBy("root").agg(F.min("least").alias("component_id")))
+    return each.join(roots.join(least, "root").select("fp", "component_id"), "fp").select(
         "doc_id", "fp", "component_id")
+
+
+def one_of_each(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> DataFrame:
+    """One row of each component, with all its columns: the smallest (doc_id, text), nulls last.
+
+    Rows that are equal in both are one document and only one of them stays.
+    """
+    key = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").cast("long").alias("id"),
+                   F.xxhash64("text").alias("text"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), key.alias("key"))
+    each = cut(fingerprints(docs, shingle, keyed=True))
+    groups = components_of(each, max_bits)
+    kept = (each.join(groups, "fp").groupBy("root").agg(F.min(F.struct("no_id", F.col("doc_id").alias("id"), "text"))
+                                                       .alias("key")).select("key"))
+    # A key stands for one row unless rows are equal in it; one of those stays.
+    return (rows.join(kept.withColumnRenamed("key", "kept"), rows["key"].eqNullSafe(F.col("kept")), "left_semi")
+            .dropDuplicates(["key"]).select("row.*"))
