@@ -7,9 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adinsight.llm.common import table
+from adinsight.llm.common import crc_fold, table
 from adinsight.llm.decontaminate import leaks
 from adinsight.llm.line_dedup import BLANKS, MIN_SITES, remove_spread_lines
+from adinsight.llm.lm import score_texts
 from adinsight.llm.packing import pack
 from adinsight.llm.quality_rules import judged, labelled_rows, learn
 from adinsight.llm.simhash import near_duplicates
@@ -59,6 +60,12 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = crc_fold(F.col("doc_id"), 10) == 0
+    out = score_texts(table(spark, sf_dir, "documents"), ~held_out)
+    return out.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def packed_pieces(pieces: DataFrame) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"),
                          "doc_tokens", "sequence_id", "offset")
@@ -85,6 +92,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_benchmark_decontamination": op2_benchmark_decontamination,
         "op3_line_dedup": op3_line_dedup,
         "op4_substring_dedup": op4_substring_dedup,
+        "op5_lm_scoring": op5_lm_scoring,
         "op6_retrieval_packing": op6_retrieval_packing,
         "op9_simhash_near_dedup": op9_simhash_near_dedup,
         "op10_quality_rules": op10_quality_rules,

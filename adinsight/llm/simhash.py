@@ -276,5 +276,5 @@ def one_of_each(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> DataFra
     kept = (each.join(groups, "fp").groupBy("root").agg(F.min(F.struct("no_id", F.col("doc_id").alias("id"), "text"))
                                                        .alias("key")).select("key"))
     # A key stands for one row unless rows are equal in it; one of those stays.
-    return (rows.join(kept.withColumnRenamed("key", "kept"), rows["key"].eqNullSafe(F.col("kept")), "left_semi")
+    return (rows.join(kept.withColumnRenamed("key", "kept"), rows["key"] == F.col("kept"), "left_semi")
             .dropDuplicates(["key"]).select("row.*"))
