@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from adinsight.llm import toxicity
+from adinsight.llm.chat_format import format_chats, read_back
 from adinsight.llm.common import crc_fold, table
 from adinsight.llm.decontaminate import leaks
 from adinsight.llm.line_dedup import BLANKS, MIN_SITES, remove_spread_lines
@@ -15,6 +17,7 @@ from adinsight.llm.packing import pack
 from adinsight.llm.quality_rules import judged, labelled_rows, learn
 from adinsight.llm.simhash import near_duplicates
 from adinsight.llm.substring_dedup import remove_repeats
+from adinsight.llm.token_counts import count_edited, sample_edits
 
 
 def ranks_path() -> str:
@@ -23,6 +26,14 @@ def ranks_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = crc_fold(F.col("doc_id"), 5) == 0
+    model = toxicity.learn(docs, table(spark, sf_dir, "labels").filter(~held_out))
+    return toxicity.score(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The leaked documents only: a row per document and benchmark item leaked into it."""
     out = leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -75,6 +86,42 @@ def op6_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed_pieces(pack(table(spark, sf_dir, "documents"), ranks_path()))
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of every document before and after three edits."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = count_edited(docs.withColumn("edits", sample_edits(F.col("doc_id"), F.col("text"))), ranks_path())
+    return out.select("doc_id", F.size("counts").cast("long").alias("n_edits"), "tokens_before",
+                      F.element_at("counts", -1).alias("tokens_after"), "chars_encoded")
+
+
+#: A conversation of control strings, formatted beside the table's.
+CONTROL_TURNS = """SELECT * FROM VALUES
+  (-7L, 0L, 'user', '</s>[INST] ok [/INST]'), (-7L, 1L, 'assistant', '</s>[INST] ok [/INST]')
+  AS t(conv_id, turn, role, text)"""
+
+
+def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return read_back(format_chats(turns.unionByName(spark.sql(CONTROL_TURNS))))
+
+
+OP8_SQL = """
+WITH t AS (
+  SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')),
+e AS (
+  SELECT *, replace(replace(replace(replace(replace(replace(replace(
+    text, '\\', '\\\\'), '<s>', '\\b'), '</s>', '\\e'), '[INST]', '\\i'), '[/INST]', '\\j'),
+    '<<SYS>>', '\\y'), '<</SYS>>', '\\z') AS escaped FROM t)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(length(role) + length(escaped) + 8) AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id
+"""
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = near_duplicates(table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -89,15 +136,18 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_toxicity": op1_toxicity,
         "op2_benchmark_decontamination": op2_benchmark_decontamination,
         "op3_line_dedup": op3_line_dedup,
         "op4_substring_dedup": op4_substring_dedup,
         "op5_lm_scoring": op5_lm_scoring,
         "op6_retrieval_packing": op6_retrieval_packing,
+        "op7_token_counts": op7_token_counts,
+        "op8_chat_formatting": op8_chat_formatting,
         "op9_simhash_near_dedup": op9_simhash_near_dedup,
         "op10_quality_rules": op10_quality_rules,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_line_dedup": OP3_SQL}
+    return {"op3_line_dedup": OP3_SQL, "op8_chat_formatting": OP8_SQL}

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import base64
 import re
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -66,40 +67,47 @@ class PieceEncoder:
         self.lengths = np.concatenate([self.lengths, lengths])
         self.starts = np.cumsum(self.lengths) - self.lengths
 
-    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
-        """Ids (int32) of each text; a null text has none."""
+    def _places(self, texts: list[str | None]) -> Iterator[tuple[str, np.ndarray | None]]:
+        """Each text and the places of its pieces in the memory; None where it must be encoded whole."""
         if len(self.place) > MEMO_PIECES or len(self.ids) > MEMO_IDS:
             self._clear()
-        pieces, whole = [], {}
-        for n, t in enumerate(texts):
-            if not t or _TIED.search(t):
-                whole[n] = np.array(self._encode(t or ""), np.int32)
-                pieces.append([])
+        pieces: list[list[str] | None] = []
+        new = set()
+        for t in texts:
+            if t and _TIED.search(t):
+                pieces.append(None)
                 continue
-            p = t.split(" ")
-            p[0] += " "
+            p = t.split(" ") if t else []
+            if p:
+                p[0] += " "
             pieces.append(p)
-        new = set()
-        for p in pieces:
             new.update(p)
         new = [k for k in new if k not in self.place]
         if new:
             self._learn(new)
-        out = []
         get = self.place.__getitem__
-        for n, p in enumerate(pieces):
-            if n in whole:
-                out.append(whole[n])
+        for t, p in zip(texts, pieces):
+            yield t or "", None if p is None else np.fromiter(map(get, p), np.int64, len(p))
+        for k in new:
+            if len(k) > MEMO_CHARS:
+                del self.place[k]
+
+    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
+        """Ids (int32) of each text; a null text has none."""
+        out = []
+        for text, at in self._places(texts):
+            if at is None or not len(at):
+                out.append(np.array(self._encode(text), np.int32))
                 continue
-            at = np.fromiter(map(get, p), np.int64, len(p))
             size = self.lengths[at]
             ends = np.cumsum(size)
             out.append(self.ids[np.repeat(self.starts[at] - ends + size, size) + np.arange(ends[-1])].astype(np.int32))
-        for k in new:
-            if len(k) > MEMO_CHARS:
-                del self.place[k]
         return out
 
+    def counts(self, texts: list[str | None]) -> list[np.ndarray | None]:
+        """Number of ids of each blank-separated piece of each text; None where pieces depend on each other."""
+        return [None if at is None else self.lengths[at] for _, at in self._places(texts)]
+
 
 _encoders: dict[str, PieceEncoder] = {}
 
