@@ -27,6 +27,8 @@ MIN_SITES = 10
 LG_K = 10
 #: An estimate this many standard errors from the threshold is trusted.
 ERRORS = 4
+#: Shares that the rows of one line are dealt into when they meet the boilerplate lines.
+SALTS = 16
 BLANKS = " \t\r\x0b\x0c"
 
 
@@ -57,7 +59,8 @@ def spread_lines(docs: DataFrame, min_sites: int = MIN_SITES, site: str = "sourc
                 .filter(F.col("sites") >= min_sites * (1 - spread)))
     sure = sketched.filter(F.col("sites") > min_sites * (1 + spread)).select("line")
     near = sketched.filter(F.col("sites") <= min_sites * (1 + spread)).select("line")
-    exact = (lines.select("line", "site").join(near, "line", "left_semi").distinct()
+    # At most one row per line and site meets the near lines.
+    exact = (lines.select("line", "site").distinct().join(near, "line", "left_semi")
              .groupBy("line").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_sites).select("line"))
     return sure.unionByName(exact)
 
@@ -67,10 +70,16 @@ def remove_spread_lines(docs: DataFrame, min_sites: int = MIN_SITES, site: str =
 
     Adds ``n_lines`` and ``n_removed`` in place of columns of these names.
     """
-    hits = _lines(docs, site).select("doc", "pos", "line").join(
-        spread_lines(docs, min_sites, site), "line", "left_semi")
-    first = hits.groupBy("line").agg(F.min(F.struct("doc", "pos")).alias("first"))
-    removed = (hits.join(first, "line")
+    lines = _lines(docs, site).select("line", "doc", "pos").withColumn("salt", F.pmod(F.xxhash64("doc"), F.lit(SALTS)))
+
+    def met(few: DataFrame) -> DataFrame:
+        """Lines in ``few`` (one row a line), dealt by salt as well: a line may be in every document."""
+        return lines.join(few.withColumn("salt", F.explode(F.array(*[F.lit(i).cast("long") for i in range(SALTS)]))),
+                          ["line", "salt"])
+
+    first = (met(spread_lines(docs, min_sites, site)).groupBy("line", "salt").agg(F.min(F.struct("doc", "pos")).alias("first"))
+             .groupBy("line").agg(F.min("first").alias("first")))
+    removed = (met(first)
                .filter(~(F.col("doc").eqNullSafe(F.col("first.doc")) & (F.col("pos") == F.col("first.pos"))))
                .groupBy("doc").agg(F.collect_list("pos").alias("removed")).withColumnRenamed("doc", "key"))
 

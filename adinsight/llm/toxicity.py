@@ -128,6 +128,8 @@ def grammar() -> Transducer:
     return threat.then(negation).then(_speech()).then(_target())
 
 
+QUOTES = "\"“”«»„"
+OPENING, CLOSING, ENDING = (frozenset(x) for x in ("\"“«„", "\"”»“", ".!?;:"))
 _STRIP = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~«»“”„…"
 
 
@@ -137,22 +139,22 @@ def stems_of(bare: str) -> list[str]:
 
 
 class Reader(dict):
-    """Token to (class, weight, whether it quotes, whether it ends a clause)."""
+    """Token to (class, weight, whether it opens or closes a quote, whether it ends a clause)."""
 
     def __init__(self, stems: dict[str, float]):
         self.stems = stems
         self.fixed = {w: c for c, ws in WORD_CLASSES.items() for w in ws.split()}
         self.machine = grammar()
 
-    def __missing__(self, token: str) -> int:
+    def __missing__(self, token: str) -> tuple:
         if len(self) >= MEMO_WORDS:
             self.clear()
         bare = token.strip(_STRIP).lower()
         weight = max((self.stems[s] for s in stems_of(bare) if s in self.stems), default=0.0)
         cls = INSULT if weight else self.fixed.get(bare, OTHER)
-        quotes = any(q in token for q in "\"“”«»„")
-        ends = token[-1] in ".!?;:" if token else False
-        out = self[token] = (cls, weight, quotes, ends)
+        closing = token.rstrip(".,;:!?")[-1:]
+        out = self[token] = (cls, weight, token[:1] in OPENING, closing in CLOSING and len(token) > 1,
+                             token.rstrip(QUOTES)[-1:] in ENDING)
         return out
 
     def clause_scores(self, tokens: list[str]) -> list[float]:
@@ -160,8 +162,8 @@ class Reader(dict):
         if not any(r[0] in (INSULT, HARM) for r in read):
             return []
         classes, weights = [], []
-        for cls, w, quotes, ends in read:
-            for c, x in ((QUOTE, 0.0),) * quotes + ((cls, w),) + ((END, 0.0),) * ends:
+        for cls, w, opens, closes, ends in read:
+            for c, x in ((QUOTE, 0.0),) * opens + ((cls, w),) + ((QUOTE, 0.0),) * closes + ((END, 0.0),) * ends:
                 classes.append(c)
                 weights.append(x)
         out, clause = [], 0.0

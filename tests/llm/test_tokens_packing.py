@@ -1,0 +1,124 @@
+from __future__ import annotations
+
+from collections import defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from adinsight.llm import packing as P
+from adinsight.llm.queries import packed_pieces, ranks_path
+from adinsight.llm.tokens import PieceEncoder, encoder
+
+tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+tokenizer.encode_special_tokens = True
+
+
+def want(text):
+    return tokenizer.encode(text or "", add_special_tokens=False).ids
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.text(alphabet=st.sampled_from("ab'stE 9\n\t \u00a0\x1c\u3000é漢.,-<|>endoftxrvm"), max_size=40), max_size=4))
+def test_pieces_encode_as_the_whole_text(texts):
+    assert [x.tolist() for x in encoder(ranks_path()).encode(texts)] == [want(t) for t in texts]
+
+
+def test_memory_limits_change_nothing(monkeypatch, sample_docs):
+    from adinsight.llm import tokens
+    monkeypatch.setattr(tokens, "MEMO_PIECES", 50)
+    monkeypatch.setattr(tokens, "MEMO_CHARS", 3)
+    enc = PieceEncoder(ranks_path())
+    for r in sample_docs.limit(40).collect():
+        assert enc.encode([r.text, None, "x " + r.text])[0].tolist() == want(r.text)
+
+
+def check(docs, pieces, window):
+    """Every id in one piece, no gaps, sequences whole or a power of two."""
+    rows = docs.collect()
+    ids = {(r.doc_id, len(want(r.text)) + 1): np.array([*want(r.text), 0], "<u4") for r in rows}
+    by_doc, by_seq, total = defaultdict(list), defaultdict(list), 0
+    for p in pieces.collect():
+        x = np.frombuffer(p.ids, "<u4")
+        assert len(x) == p.length > 0
+        by_doc[p.doc_id, p.doc_tokens].append((p.start, x))
+        by_seq[p.sequence_id].append((p.offset, p.length))
+        total += p.length
+    assert total == sum(len(want(r.text)) + 1 for r in rows)
+    assert set(by_doc) == set(ids)
+    copies = defaultdict(int)
+    for r in rows:
+        copies[r.doc_id, len(want(r.text)) + 1] += 1
+    for k, parts in by_doc.items():
+        if copies[k] == 1:
+            parts.sort(key=lambda x: x[0])
+            assert np.concatenate([x for _, x in parts]).tolist() == ids[k].tolist()
+            assert [s for s, _ in parts] == np.cumsum([0, *(len(x) for _, x in parts[:-1])]).tolist()
+    for parts in by_seq.values():
+        at = 0
+        for offset, n in sorted(parts):
+            assert offset == at
+            at += n
+        assert at == window or at < window and at & (at - 1) == 0
+    return by_seq
+
+
+@pytest.mark.parametrize("window, shard", [(1024, 5_000_000), (64, 30_000)])
+def test_packing(monkeypatch, edge_docs, sample_docs, window, shard):
+    monkeypatch.setattr(P, "SHARD_BYTES", shard)
+    for docs in (edge_docs, sample_docs):
+        check(docs, P.pack(docs, ranks_path(), window), window)
+
+
+def test_digest(spark):
+    import zlib
+    docs = spark.createDataFrame([(1, "some words")], "doc_id long, text string")
+    got = packed_pieces(P.pack(docs, ranks_path())).collect()
+    ids = np.array([*want("some words"), 0], "<u4").tobytes()
+    assert sum(r.length for r in got) == len(ids) // 4
+    assert [r.ids_crc32 for r in got] == [zlib.crc32(ids[4 * r.start:4 * (r.start + r.length)]) for r in got]
+
+
+def test_empty_table(no_docs):
+    assert P.pack(no_docs, ranks_path()).collect() == []
+
+
+def test_corpus_counts_are_those_of_all_documents(sample_docs):
+    df, n, mean = P.corpus_counts(sample_docs)
+    want_df, words = np.zeros(P.TERMS, np.int64), 0
+    rows = sample_docs.collect()
+    for r in rows:
+        t, f = P.terms(r.text)
+        want_df[t] += 1
+        words += f.sum()
+    assert (df == want_df).all() and n == len(rows) and mean == words / n
+
+
+def test_neighbours_are_the_best_by_bm25_and_unused(sample_docs):
+    texts = [r.text for r in sample_docs.limit(60).collect()]
+    df, n, mean = P.corpus_counts(sample_docs)
+    idf = np.log1p((n - df + 0.5) / (df + 0.5))
+    index = P.ShardIndex(texts, idf.astype(np.float32), mean)
+    index.unused[[3, 5]] = False
+    docs = [dict(zip(*(x.tolist() for x in P.terms(t)))) for t in texts]
+    weight = lambda d, t: idf[t] * docs[d][t] * (P.K1 + 1) / (
+        docs[d][t] + P.K1 * (1 - P.B + P.B * sum(docs[d].values()) / mean))
+    for seed in (0, 3, 17):
+        query = sorted(docs[seed], key=lambda t: -weight(seed, t))[:P.QUERY_TERMS]
+        score = {d: sum(weight(d, t) for t in query if t in docs[d]) for d in range(len(texts)) if d not in (3, 5)}
+        got = index.neighbours(seed).tolist()
+        assert set(got) == {d for d, s in score.items() if s > 0}
+        assert all(score[a] >= score[b] - 1e-3 for a, b in zip(got, got[1:]))
+
+
+def test_a_window_holds_the_seeds_neighbours(spark):
+    """Two topics in one shard: windows do not mix them before they must."""
+    docs = [(i, " ".join(f"{'red' if i % 2 else 'blue'}{(i * 7 + k) % 9}" for k in range(30))) for i in range(40)]
+    pieces = P.pack(spark.createDataFrame(docs, "doc_id long, text string"), ranks_path(), 512).collect()
+    topics = defaultdict(set)
+    for p in pieces:
+        topics[p.sequence_id].add(p.doc_id % 2)
+    assert sum(len(t) > 1 for t in topics.values()) <= 2
