@@ -26,8 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adinsight.llm.common import cut
-from adinsight.llm.substring_dedup import BASES, WordHashes, window_hashes
+from adinsight.llm.common import cut, word_hashes
+from adinsight.llm.substring_dedup import BASES, window_hashes
 
 SEED = 5
 MIN_COVERAGE = 0.6
@@ -35,7 +35,6 @@ MIN_BITMAP_BITS, MAX_BITMAP_BITS = 20, 27  # as powers of two: 128 KB to 16 MB
 
 _PLAIN = bytes(ord(" ") if chr(b) in "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~" else
                b + 32 if ord("A") <= b <= ord("Z") else b for b in range(256))
-_memo = WordHashes()
 
 
 def plain_words(text: str | None) -> list[bytes]:
@@ -44,7 +43,8 @@ def plain_words(text: str | None) -> list[bytes]:
 
 def seeds(text: str | None) -> np.ndarray:
     """Hash of every run of ``SEED`` words, as signed 64-bit integers."""
-    return window_hashes(_memo.of(plain_words(text)), SEED, BASES[0]).view(np.int64)
+    plain = text.encode("utf-8").translate(_PLAIN) if text else b""
+    return window_hashes(word_hashes(plain), SEED, BASES[0]).view(np.int64)
 
 
 def _bits(seed: np.ndarray, power: int) -> tuple[np.ndarray, np.ndarray]:

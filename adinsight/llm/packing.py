@@ -24,29 +24,33 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adinsight.llm.common import parts, text_bytes, words
-from adinsight.llm.substring_dedup import WordHashes
+from adinsight.llm.common import hashed_words, parts, text_bytes
 from adinsight.llm.tokens import encoder
 
 WINDOW = 1024
 END_ID = 0
-SHARD_BYTES = 5_000_000
+SHARD_BYTES = 4_000_000
 #: Numbers that terms are hashed to, and those in one row of the summed counts.
 TERMS, BLOCK = 1 << 18, 1 << 12
 #: The terms of a seed with the highest weights make up its query.
 QUERY_TERMS = 24
+#: Texts whose terms are counted at once.
+TEXTS_AT_ONCE = 500
 #: Texts are encoded this many characters at a time.
 CHARS_AT_ONCE = 500_000
 K1, B = 1.2, 0.75
 
 RESULT = ("doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")
-_memo = WordHashes()
 
 
-def terms(text: str | None) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct term numbers of a text and how often each occurs."""
-    h = _memo.of(words(text.lower() if text else None)) & np.uint64(TERMS - 1)
-    return np.unique(h.astype(np.int64), return_counts=True)
+def terms(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, term number, occurrences), one entry per distinct term of each text, in order."""
+    each = [t.lower().encode() if t else b"" for t in texts]
+    ends = np.cumsum([len(x) + 1 for x in each])
+    hashes, at = hashed_words(b"\n".join(each))
+    term, text = hashes.astype(np.int64) & (TERMS - 1), np.searchsorted(ends, at, side="right")
+    both, n = np.unique(text * TERMS + term, return_counts=True)
+    return both // TERMS, both % TERMS, n
 
 
 def corpus_counts(docs: DataFrame) -> tuple[np.ndarray, int, float]:
@@ -54,10 +58,11 @@ def corpus_counts(docs: DataFrame) -> tuple[np.ndarray, int, float]:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, n, length = np.zeros(TERMS, np.int64), 0, 0
         for b in batches:
-            for t in b["text"]:
-                term, f = terms(t.as_py())
-                total[term] += 1
-                n, length = n + 1, length + int(f.sum())
+            for at in range(0, b.num_rows, TEXTS_AT_ONCE):
+                texts = b["text"].slice(at, TEXTS_AT_ONCE).to_pylist()
+                _, term, f = terms(texts)
+                total += np.bincount(term, minlength=TERMS)
+                n, length = n + len(texts), length + int(f.sum())
         if n:
             full = np.flatnonzero(total.reshape(-1, BLOCK).any(1))
             yield pa.RecordBatch.from_arrays(
@@ -83,14 +88,10 @@ class ShardIndex:
     """BM25 inverted index over the documents of one shard, with document removal."""
 
     def __init__(self, texts: list[str | None], idf: np.ndarray, mean: float):
-        each = [terms(t) for t in texts]
-        n = np.array([len(t) for t, _ in each])
-        length = np.array([f.sum() for _, f in each], np.float64)
-        term = np.concatenate([t for t, _ in each])
-        f = np.concatenate([f for _, f in each]).astype(np.float64)
-        doc = np.repeat(np.arange(len(texts)), n)
-        norm = K1 * (1 - B + B * length / max(mean, 1e-9))
-        weight = (idf[term] * f * (K1 + 1) / (f + np.repeat(norm, n))).astype(np.float32)
+        doc, term, f = terms(texts)
+        n = np.bincount(doc, minlength=len(texts))
+        norm = K1 * (1 - B + B * np.bincount(doc, f, len(texts)) / max(mean, 1e-9))
+        weight = (idf[term] * f * (K1 + 1) / (f + norm[doc])).astype(np.float32)
         # A document's query: its terms with the highest weights.
         order = np.lexsort((term, -weight, doc))
         rank = np.arange(len(doc)) - np.repeat(np.cumsum(n) - n, n)

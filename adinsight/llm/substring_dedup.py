@@ -38,7 +38,7 @@ WORD_BYTES = 6
 #: Odd multipliers of the two rolling hashes, modulo 2**64.
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 #: Distinct words a task remembers the hash of before it starts anew.
-MEMO_WORDS = 400_000
+MEMO_WORDS = 200_000
 
 RESULT = ("doc_id long, n_words long, spans array<struct<start: long, end: long>>, kept_text string")
 

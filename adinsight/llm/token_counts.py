@@ -37,7 +37,7 @@ LEAF_PIECES, LEAF_CHARS = 32, 2_000
 LOOK_AHEAD = 2
 #: Texts are counted this many characters at a time.
 CHARS_AT_ONCE = 500_000
-MEMO_PIECES = 300_000
+MEMO_PIECES = 100_000
 
 ADDED = "tokens_before long, counts array<long>, chars_encoded long"
 

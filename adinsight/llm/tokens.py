@@ -17,8 +17,8 @@ from functools import lru_cache
 import numpy as np
 import tiktoken
 
-#: Distinct pieces and ids a task remembers before it starts anew.
-MEMO_PIECES, MEMO_IDS = 400_000, 4_000_000
+#: Distinct pieces and ids a task remembers; beyond that it forgets those it met once.
+MEMO_PIECES, MEMO_IDS = 300_000, 2_500_000
 #: Longer pieces are not remembered.
 MEMO_CHARS = 60
 _TIED = re.compile(r"\s (?:\s|\Z)")
@@ -43,34 +43,50 @@ class PieceEncoder:
 
     def _clear(self) -> None:
         self.place: dict[str, int] = {}
-        self.starts = self.lengths = self.ids = np.empty(0, np.int64)
+        self.starts = self.lengths = self.ids = self.hits = np.empty(0, np.int64)
+
+    def _forget(self) -> None:
+        """Keep the pieces met more than once, at most half of what is remembered."""
+        kept = [k for k, p in self.place.items() if self.hits[p] > 1][:MEMO_PIECES // 2]
+        at = np.array([self.place[k] for k in kept], np.int64)
+        lengths, ids = self.lengths[at], self._gather(at)
+        self._clear()
+        if len(ids) <= MEMO_IDS // 2:
+            self._add(kept, lengths, ids)
+
+    def _add(self, keys: list[str], lengths: np.ndarray, ids: np.ndarray) -> None:
+        self.place.update(zip(keys, range(len(self.lengths), len(self.lengths) + len(keys))))
+        self.ids = np.concatenate([self.ids, ids])
+        self.lengths = np.concatenate([self.lengths, lengths])
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.hits = np.concatenate([self.hits, np.zeros(len(keys), np.int64)])
+
+    def _gather(self, at: np.ndarray) -> np.ndarray:
+        """Ids of the pieces at the places ``at``, one after the other."""
+        size = self.lengths[at]
+        ends = np.cumsum(size)
+        return self.ids[np.repeat(self.starts[at] - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)]
 
     def _encode(self, text: str) -> list[int]:
         return self.encoding.encode_ordinary(text)
 
     def _learn(self, keys: list[str]) -> None:
         """Add ``keys``: a piece, which follows a blank, or a piece and a blank, which begins a text."""
-        joined, single = [], []
-        for k in keys:
-            plain = k and k[-1] != " " and not k[0].isspace() and not k[-1].isspace()
-            (joined if plain else single).append(k)
-        ids = np.array(self._encode("".join([" " + k for k in joined])), np.int64)
+        joined = [k for k in keys if k and k.strip() == k]
+        single = [k for k in keys if not k or k.strip() != k]
+        ids = np.array(self._encode(" " + " ".join(joined) if joined else ""), np.int64)
         # Tokens do not cross pieces here, so byte lengths tell where each ends.
-        ends = np.searchsorted(np.cumsum(self.width[ids]), np.cumsum([len(k.encode()) + 1 for k in joined])) + 1
+        size = np.fromiter(map(len, map(str.encode, joined)), np.int64, len(joined)) + 1
+        ends = np.searchsorted(np.cumsum(self.width[ids]), np.cumsum(size)) + 1
         lengths = np.diff(np.r_[0, ends]) if joined else np.empty(0, np.int64)
         more = [self._encode(k[:-1] if k.endswith(" ") else " " + k) for k in single]
-        lengths = np.concatenate([lengths, np.array([len(x) for x in more], np.int64)])
-        ids = np.concatenate([ids, np.array([i for x in more for i in x], np.int64)])
-        for n, k in enumerate(joined + single, len(self.lengths)):
-            self.place[k] = n
-        self.ids = np.concatenate([self.ids, ids])
-        self.lengths = np.concatenate([self.lengths, lengths])
-        self.starts = np.cumsum(self.lengths) - self.lengths
+        self._add(joined + single, np.concatenate([lengths, np.array([len(x) for x in more], np.int64)]),
+                  np.concatenate([ids, np.array([i for x in more for i in x], np.int64)]))
 
     def _places(self, texts: list[str | None]) -> Iterator[tuple[str, np.ndarray | None]]:
         """Each text and the places of its pieces in the memory; None where it must be encoded whole."""
         if len(self.place) > MEMO_PIECES or len(self.ids) > MEMO_IDS:
-            self._clear()
+            self._forget()
         pieces: list[list[str] | None] = []
         new = set()
         for t in texts:
@@ -82,12 +98,15 @@ class PieceEncoder:
                 p[0] += " "
             pieces.append(p)
             new.update(p)
-        new = [k for k in new if k not in self.place]
+        new = list(new.difference(self.place))
         if new:
             self._learn(new)
         get = self.place.__getitem__
         for t, p in zip(texts, pieces):
-            yield t or "", None if p is None else np.fromiter(map(get, p), np.int64, len(p))
+            at = None if p is None else np.fromiter(map(get, p), np.int64, len(p))
+            if p:
+                self.hits[at] += 1  # once a text
+            yield t or "", at
         for k in new:
             if len(k) > MEMO_CHARS:
                 del self.place[k]
@@ -99,9 +118,7 @@ class PieceEncoder:
             if at is None or not len(at):
                 out.append(np.array(self._encode(text), np.int32))
                 continue
-            size = self.lengths[at]
-            ends = np.cumsum(size)
-            out.append(self.ids[np.repeat(self.starts[at] - ends + size, size) + np.arange(ends[-1])].astype(np.int32))
+            out.append(self._gather(at).astype(np.int32))
         return out
 
     def counts(self, texts: list[str | None]) -> list[np.ndarray | None]:

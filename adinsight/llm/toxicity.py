@@ -42,7 +42,7 @@ MAX_STEMS = 2_000
 STEM_LETTERS = range(4, 9)
 #: A stem needs this log rate ratio, and this many toxic texts or this share of them.
 MIN_RATIO, MIN_TEXTS, MIN_TEXT_SHARE = 1.5, 4, 0.004
-MEMO_WORDS = 300_000
+MEMO_WORDS = 200_000
 
 OTHER, INSULT, HARM, INTENT, TARGET, NEGATION, REPORT, QUOTE, END, THREAT = range(10)
 

@@ -91,7 +91,7 @@ def test_corpus_counts_are_those_of_all_documents(sample_docs):
     want_df, words = np.zeros(P.TERMS, np.int64), 0
     rows = sample_docs.collect()
     for r in rows:
-        t, f = P.terms(r.text)
+        _, t, f = P.terms([r.text])
         want_df[t] += 1
         words += f.sum()
     assert (df == want_df).all() and n == len(rows) and mean == words / n
@@ -103,7 +103,7 @@ def test_neighbours_are_the_best_by_bm25_and_unused(sample_docs):
     idf = np.log1p((n - df + 0.5) / (df + 0.5))
     index = P.ShardIndex(texts, idf.astype(np.float32), mean)
     index.unused[[3, 5]] = False
-    docs = [dict(zip(*(x.tolist() for x in P.terms(t)))) for t in texts]
+    docs = [dict(zip(*(x.tolist() for x in P.terms([t])[1:]))) for t in texts]
     weight = lambda d, t: idf[t] * docs[d][t] * (P.K1 + 1) / (
         docs[d][t] + P.K1 * (1 - P.B + P.B * sum(docs[d].values()) / mean))
     for seed in (0, 3, 17):
@@ -122,3 +122,16 @@ def test_a_window_holds_the_seeds_neighbours(spark):
     for p in pieces:
         topics[p.sequence_id].add(p.doc_id % 2)
     assert sum(len(t) > 1 for t in topics.values()) <= 2
+
+
+def test_word_hashes_tell_words_apart(monkeypatch, edge_docs):
+    from adinsight.llm import common
+    for block in (1 << 20, 50):
+        monkeypatch.setattr(common, "_BLOCK", block)
+        seen = {}
+        for r in edge_docs.collect():
+            data = (r.text or "").encode()
+            h = common.word_hashes(data).tolist()
+            assert len(h) == len(data.split())
+            assert all(seen.setdefault(w, x) == x for w, x in zip(data.split(), h))
+        assert len(set(seen.values())) == len(seen)
