@@ -1,12 +1,11 @@
 """Command line: serve the pending requests of a control table.
 
-    python -m adinsight --requests requests.csv --out OUT \\
+    spark-submit ... -m adinsight --requests requests.csv --out OUT \\
         --placement-hour P --inventory P --system P --geo P
 
-or, on the driver's test tables, ``--testdata /root/testdata/sf0.1``.
-Writes ``OUT/report`` (partitioned by request and sheet), ``OUT/manifest``
-and ``OUT/requests`` (the next control-table version).  ``--stream`` serves
-request files arriving in the ``--requests`` folder instead.
+Writes ``OUT/report/run=<id>`` (partitioned by request and sheet),
+``OUT/manifest/run=<id>`` and ``OUT/requests/version=<id>``.  The next run takes
+``--requests OUT/requests``, which is read at its latest complete version.
 """
 
 from __future__ import annotations
@@ -17,7 +16,7 @@ import sys
 
 from adinsight.plans.report import ReportJob
 from adinsight.session import get_spark
-from adinsight.sources.facts import FACTS, facts_from_testdata, read_fact
+from adinsight.sources.facts import FACTS, read_fact
 from adinsight.sources.requests import read_requests
 
 
@@ -26,30 +25,16 @@ def main(argv: list[str] | None = None) -> dict[str, str]:
     ap.add_argument("--requests", required=True, help="control table (file or folder)")
     ap.add_argument("--requests-format", default="csv")
     ap.add_argument("--out", required=True)
-    ap.add_argument("--testdata", help="folder of the driver's test tables")
     ap.add_argument("--fact-format", default="parquet")
     for name in FACTS:
-        ap.add_argument(f"--{name.replace('_', '-')}", dest=name,
+        ap.add_argument(f"--{name.replace('_', '-')}", dest=name, required=True,
                         help=f"{name} fact: path, or table:<catalog name>")
     ap.add_argument("--first-only", action="store_true", help="serve only the first pending request")
-    ap.add_argument("--stream", action="store_true", help="serve request files as a stream")
     ap.add_argument("--csv-sheets", action="store_true", help="also write each sheet as CSV")
     args = ap.parse_args(argv)
 
     spark = get_spark()
-    if args.testdata:
-        facts = facts_from_testdata(spark, args.testdata)
-    else:
-        missing = [n for n in FACTS if not getattr(args, n)]
-        if missing:
-            ap.error("missing fact locations: " + ", ".join(missing))
-        facts = {n: read_fact(spark, n, getattr(args, n), args.fact_format) for n in FACTS}
-
-    if args.stream:
-        from adinsight.streaming import serve_request_stream
-        q = serve_request_stream(spark, args.requests, facts, args.out, fmt=args.requests_format)
-        q.awaitTermination()
-        return {"stream": args.out}
+    facts = {n: read_fact(spark, n, getattr(args, n), args.fact_format) for n in FACTS}
     job = ReportJob(spark, facts, read_requests(spark, args.requests, args.requests_format),
                     first_only=args.first_only)
     paths = job.write(args.out, csv_sheets=args.csv_sheets)

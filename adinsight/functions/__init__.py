@@ -1,8 +1,6 @@
 """Column expressions shared by the operators (all built-in functions)."""
 
 from adinsight.functions.columns import (
-    guarded_ratio,
-    guarded_share,
     id_list,
     missing_to_null,
     size_label,
@@ -10,8 +8,6 @@ from adinsight.functions.columns import (
 )
 
 __all__ = [
-    "guarded_ratio",
-    "guarded_share",
     "id_list",
     "missing_to_null",
     "size_label",

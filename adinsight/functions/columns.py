@@ -21,17 +21,19 @@ def missing_to_null(c: str | Column) -> Column:
     return F.when((t == F.lit("")) | (t == F.lit(MISSING)), F.lit(None)).otherwise(t)
 
 
-def id_list(c: str | Column) -> Column:
+def id_list(c: str | Column, distinct: bool = True) -> Column:
     """Pipe- or comma-separated id text -> distinct ``ARRAY<BIGINT>``.
 
     NULL / NA stays NULL ("no filter").  Tokens that are not integers are
     dropped, so a list of only bad tokens becomes an empty array, which
-    matches nothing.  Duplicates are removed: the list is a set test.
+    matches nothing.  Duplicates are removed (the list is a set test) unless ``distinct``
+    is off.
     """
     text = missing_to_null(c)
     tokens = F.split(F.regexp_replace(text, r"\|", ","), ",")
     ids = F.transform(tokens, lambda t: F.trim(t).try_cast("bigint"))
-    return F.array_distinct(F.filter(ids, lambda x: x.isNotNull()))
+    ids = F.filter(ids, lambda x: x.isNotNull())
+    return F.array_distinct(ids) if distinct else ids
 
 
 def ratio_sql(num: str, den: str) -> str:
@@ -43,19 +45,6 @@ def ratio_sql(num: str, den: str) -> str:
             f"ELSE ({num} * 100) / CAST({den} AS DOUBLE) END")
 
 
-def guarded_ratio(num: str | Column, den: str | Column) -> Column:
-    """``num * 100 / den`` as a percentage, 0 when ``den`` is 0."""
-    if isinstance(num, str) and isinstance(den, str):
-        return F.expr(ratio_sql(num, den))
-    n, d = _col(num), _col(den)
-    return F.when(d == 0, F.lit(0.0)).otherwise((n * 100) / d.cast("double"))
-
-
-def guarded_share(value: str | Column, total: str | Column) -> Column:
-    """Share of a scope total in percent, 0 when the total is 0."""
-    return guarded_ratio(value, total)
-
-
 def size_label(width: str | Column, height: str | Column) -> Column:
     """Creative size label ``<width>x<height>``."""
     return F.concat(_col(width).cast("string"), F.lit("x"), _col(height).cast("string"))

@@ -6,7 +6,7 @@ must stay separate: rows with a NULL anywhere are dropped between them.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -43,54 +43,10 @@ def extract(scoped: DataFrame, keys: Sequence[str], carry: Sequence[str] = ()) -
     return complete_cases(aggregate(scoped, keys, carry), [*keys, *MEASURES])
 
 
-def grains_aggregate(scoped: DataFrame, grains: dict[str, Sequence[str]],
-                     carry: Sequence[str] = ()) -> DataFrame:
-    """One GROUPING SETS aggregate holding every grain of one fact.
+def roll_up(raw: DataFrame, keys: Sequence[str], carry: Sequence[str] = ()) -> DataFrame:
+    """The raw extract at ``keys`` from the raw aggregate of a finer grain.
 
-    Each grain becomes one grouping set; ``grouping_id`` (column ``_gid``)
-    tells a genuine NULL key apart from a column rolled up by another set.
-    One scan, one shuffle, instead of one per grain.
+    Exact because it sums raw groups: rows with a NULL leave only afterwards,
+    at each grain for itself.
     """
-    base = ["request_id", *carry]
-    cols = base + _grain_columns(grains)
-    sets = [[F.col(c) for c in base + list(keys)] for keys in grains.values()]
-    return scoped.groupingSets(sets, *[F.col(c) for c in cols]).agg(
-        *measure_sums(), F.grouping_id().alias("_gid"))
-
-
-def split_grains(agg: DataFrame, grains: dict[str, Sequence[str]],
-                 carry: Sequence[str] = ()) -> dict[str, DataFrame]:
-    """The per-grain extracts of ``grains_aggregate`` (complete cases applied);
-    each equals its own ``extract``."""
-    base = ["request_id", *carry]
-    cols = base + _grain_columns(grains)
-    n = len(cols)
-    out = {}
-    for name, keys in grains.items():
-        gid = sum(1 << (n - 1 - i) for i, c in enumerate(cols) if c not in base and c not in keys)
-        part = agg.filter(F.col("_gid") == gid).select(*base, *keys, *MEASURES)
-        out[name] = complete_cases(part, [*keys, *MEASURES])
-    return out
-
-
-def extract_grains(scoped: DataFrame, grains: dict[str, Sequence[str]],
-                   carry: Sequence[str] = (),
-                   cut: Callable[[DataFrame], DataFrame] | None = None) -> dict[str, DataFrame]:
-    """Several extracts of one fact from a single scan (GROUPING SETS).
-
-    ``cut`` (e.g. a checkpoint) is applied to the combined aggregate so the
-    grains share one materialized result.
-    """
-    agg = grains_aggregate(scoped, grains, carry)
-    if cut is not None:
-        agg = cut(agg)
-    return split_grains(agg, grains, carry)
-
-
-def _grain_columns(grains: dict[str, Sequence[str]]) -> list[str]:
-    cols: list[str] = []
-    for keys in grains.values():
-        for k in keys:
-            if k not in cols:
-                cols.append(k)
-    return cols
+    return raw.groupBy("request_id", *carry, *keys).agg(*resum())

@@ -1,16 +1,9 @@
 """Rates and shares of a report sheet.
 
 A share divides by the total of its scope: the whole sheet of one request
-(W1) or one device class of one request (W2).  Two ways to get the totals:
-
-* ``join`` -- a grouped aggregate joined back (broadcast when the number of
-  scopes is checked small).  No task ever holds a whole sheet; used for the
-  sheets whose size grows with the data (sites, cities, postcodes).
-* ``window`` -- ``SUM(..) OVER (PARTITION BY request_id ..)``.  Used for the
-  sheets bounded by a fixed dimension (hours x days, device classes, OS,
-  browser, creative sizes, regions), where one request's sheet is a few
-  hundred rows at most; ``resum_by_request`` lets the re-aggregation and
-  the window share one shuffle.
+(W1) or one device class of one request (W2).  The totals are a grouped
+aggregate joined back, so rows are summed before they are shuffled and no task
+ever holds a whole sheet.
 """
 
 from __future__ import annotations
@@ -21,7 +14,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adinsight.functions.columns import ratio_sql
-from adinsight.operators.sizing import broadcast_if_within
 
 # The metric columns of every sheet, in report order.
 METRIC_COLUMNS = [
@@ -31,52 +23,23 @@ METRIC_COLUMNS = [
 ]
 
 
-def resum_by_request(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Re-sum labelled rows per (request, keys), shuffled on ``request_id``
-    only, so a following per-request window needs no further exchange.
-    Only for bounded grains (see module doc)."""
-    return df.repartition("request_id").groupBy("request_id", *keys).agg(
-        *[F.sum(m).alias(m) for m in ("impressions", "clicks", "conversions")])
-
-
 def with_metrics(df: DataFrame, dims: Sequence[str],
                  share_by: Sequence[str] = ("request_id",),
-                 scopes_bound: int | None = None,
                  extra: Sequence[str] = (),
-                 totals_from: DataFrame | None = None,
-                 totals: str = "join") -> DataFrame:
+                 totals_from: DataFrame | None = None) -> DataFrame:
     """Add CTR, CVR and the three shares; select the report columns.
 
-    ``scopes_bound`` is a checked upper bound on the number of distinct
-    ``share_by`` values; within the broadcast limit the totals are broadcast.
     ``extra`` are SQL expressions (e.g. sort helpers) kept after the report
     columns.  ``totals_from`` may give the rows ``df`` was summed from (same
     scope totals): the totals then no longer wait for ``df``'s aggregate.
     """
     share_by = list(share_by)
     keep = ["request_id"] + [c for c in share_by if c != "request_id" and c not in dims]
-    if totals == "window":
-        part = f"PARTITION BY {', '.join(share_by)}"
-        t = {m: f"SUM({m}) OVER ({part})" for m in ("impressions", "clicks", "conversions")}
-        return df.selectExpr(
-            *keep, *dims,
-            "impressions",
-            f"{ratio_sql('impressions', t['impressions'])} AS Percentage_Impression_share",
-            "clicks",
-            f"{ratio_sql('clicks', t['clicks'])} AS Percentage_Click_share",
-            f"{ratio_sql('clicks', 'impressions')} AS Percentage_CTR",
-            "conversions",
-            f"{ratio_sql('conversions', t['conversions'])} AS Percentage_Conversion_share",
-            f"{ratio_sql('conversions', 'impressions')} AS Percentage_CVR",
-            *extra,
-        )
     totals = (totals_from if totals_from is not None else df).groupBy(*share_by).agg(
         F.sum("impressions").alias("_t_imp"),
         F.sum("clicks").alias("_t_clk"),
         F.sum("conversions").alias("_t_conv"))
-    totals = broadcast_if_within(totals, scopes_bound)
-    j = df.join(totals, share_by, "inner")
-    return j.selectExpr(
+    return df.join(totals, share_by, "inner").selectExpr(
         *keep, *dims,
         "impressions",
         f"{ratio_sql('impressions', '_t_imp')} AS Percentage_Impression_share",

@@ -11,40 +11,34 @@ partition) gives each group's offset in earlier partitions.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from adinsight.operators.sizing import broadcast_if_within
+from adinsight.operators.snapshot import snapshot
 
 _LOW_BITS = (1 << 33) - 1
 
 
 def number_rows(df: DataFrame, group_cols: Sequence[str], order: Sequence[Column],
-                name: str = "row_id", groups_bound: int | None = None,
-                cut: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+                name: str = "row_id") -> DataFrame:
     """Add ``name`` = 1..n within each ``group_cols`` group following ``order``.
 
     ``order`` must be total within a group (ties would make numbers
-    arbitrary).  ``cut`` materializes the positioned rows so both uses below
-    see the same positions; without it they share one exchange in one plan.
-    Output rows stay range-partitioned and sorted by (group, order).
+    arbitrary).  The positioned rows are written once, so both uses below see
+    the same positions.  The output has no particular order.
     """
     keys = [F.col(c) for c in group_cols] + list(order)
     ordered = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
     pos = ordered.withColumn("_mid", F.monotonically_increasing_id())
-    pos = pos.withColumn("_pid", F.shiftright("_mid", 33)) \
-             .withColumn("_idx", F.col("_mid").bitwiseAND(F.lit(_LOW_BITS)))
-    if cut is not None:
-        pos = cut(pos)
+    pos = snapshot(pos.withColumn("_pid", F.shiftright("_mid", 33))
+                   .withColumn("_idx", F.col("_mid").bitwiseAND(F.lit(_LOW_BITS))))
     spans = pos.groupBy(*group_cols, "_pid").agg(
         F.min("_idx").alias("_first"), F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*group_cols).orderBy("_pid") \
                    .rowsBetween(Window.unboundedPreceding, -1)
     spans = spans.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-    parts = df.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    bound = None if groups_bound is None else groups_bound + int(parts)
-    out = pos.join(broadcast_if_within(spans, bound), [*group_cols, "_pid"], "inner")
+    out = pos.join(spans, [*group_cols, "_pid"], "inner")
     return out.withColumn(name, (F.col("_before") + F.col("_idx") - F.col("_first") + 1)) \
               .drop("_mid", "_pid", "_idx", "_first", "_n", "_before")

@@ -1,88 +1,117 @@
 """Scoping: which fact rows belong to which request.
 
-All requests are scoped in one join.  The request side is exploded to one row
-per (request, advertiser id) so ``advertiser_id`` is an equi-join key (a hash
-join, never a nested loop); the optional filters (insertion orders, pixels,
-date range, time zone, country) are residual conditions of the same join.  A
-fact row matched by several requests appears once per request.
+All requests are scoped in one equi-join on the advertiser id.  The request
+side is exploded to one narrow row per (request, advertiser id): ids, dates and
+zone, no lists.  The optional id lists are tables of (request, id) of their
+own, met by equi-joins afterwards; a request without a list passes.  No join is
+hinted: Spark broadcasts a request side whose measured bytes are under
+``spark.sql.autoBroadcastJoinThreshold`` and otherwise shuffles both, where
+adaptive execution splits an advertiser that holds a large part of the facts.
+
+Two bounds always reach the fact scan: the smallest and largest advertiser id,
+and the requested days as disjoint intervals.  The joins stay the exact test.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adinsight.operators.sizing import MAX_BROADCAST_ROWS, broadcast_if_within
 from adinsight.sources import dims
 
-# At most this many distinct advertiser ids are pushed into the fact scan as a
-# literal IN list (parquet row-group pruning); above it the join alone filters.
-MAX_PUSHDOWN_IDS = 2_000
-
-# When the request side is too large to broadcast, the join shuffles both
-# sides on the advertiser id.  One advertiser may hold a large part of the
-# facts, so the fact rows are spread over this many salt buckets (a hash of
-# the row, so a recomputed task gets the same salt) and the request side is
-# replicated once per bucket.
-SKEW_SALTS = 16
+# The scan filter holds at most this many date intervals; beyond it those with
+# the shortest gaps are merged, which only widens what is read.
+MAX_INTERVALS = 64
 
 
 def request_keys(requests: DataFrame) -> DataFrame:
-    """One row per (request, distinct advertiser id).
-
-    ``pixel_set`` is the conversion pixel list plus pixel 0, which is always
-    kept when pixels are given; NULL means no pixel filter.
-    """
-    pixel_set = F.when(F.col("conv_pixel_ids").isNull(), F.lit(None)).otherwise(
-        F.array_union(F.col("conv_pixel_ids"), F.array(F.lit(0).cast("bigint"))))
-    return requests.select(
+    """One row per (valid request, distinct advertiser id)."""
+    return requests.filter("status = 'ok'").select(
         F.col("request_id").alias("r_request_id"),
         F.explode(F.array_distinct("advertiser_ids")).alias("r_advertiser_id"),
-        F.col("io_ids").alias("r_io_ids"),
-        pixel_set.alias("r_pixel_set"),
         F.col("from_dt").alias("r_from_dt"),
         F.col("to_dt").alias("r_to_dt"),
         F.col("timezone").alias("r_timezone"),
+        F.col("io_ids").isNotNull().alias("r_has_io"),
+        F.col("conv_pixel_ids").isNotNull().alias("r_has_pixel"),
     )
 
 
-@dataclass
-class KeyStats:
-    rows: int               # request keys (request x advertiser id)
-    requests: int           # upper bound on requests with keys (= rows)
-    min_from: object
-    max_to: object
-    advertiser_ids: list | None  # None when above MAX_PUSHDOWN_IDS
-
-
-def key_stats(keys: DataFrame) -> KeyStats:
-    """Size check and scan bounds of the request side (a small control frame).
-
-    One global aggregate; the advertiser id list for the scan filter is only
-    gathered when the row count already bounds it.
+def request_values(requests: DataFrame, column: str, *always: int) -> DataFrame:
+    """(request, value) of the list ``column``, with the values that are always kept."""
+    extra = F.array(*[F.lit(x).cast("bigint") for x in always]).cast("array<bigint>")
+    return requests.filter("status = 'ok'").filter(F.col(column).isNotNull()).select(
+        F.col("request_id").alias("v_request_id"),
+        F.explode(F.array_union(F.col(column), extra)).alias("v_value"))
+
+
+@dataclass(frozen=True)
+class ScanBounds:
+    """What is pushed into a fact scan; ``ids`` is None if no request can match."""
+
+    ids: tuple[int, int] | None
+    intervals: tuple[tuple[date, date], ...]
+
+    def column(self, dates: bool = True) -> Column:
+        if self.ids is None:
+            return F.lit(False)
+        out = F.col("advertiser_id").between(*self.ids)
+        if dates:
+            days = None
+            for lo, hi in self.intervals:
+                one = F.col("dt").between(F.lit(lo), F.lit(hi))
+                days = one if days is None else days | one
+            out = out & (days if days is not None else F.lit(False))
+        return out
+
+
+def merged(hulls: list[tuple[date, date]], most: int = MAX_INTERVALS) -> tuple[tuple[date, date], ...]:
+    """Disjoint intervals over ``hulls``; at most ``most`` of them."""
+    out: list[tuple[date, date]] = []
+    for lo, hi in sorted(hulls):
+        if out and lo <= out[-1][1] + timedelta(days=1):
+            out[-1] = (out[-1][0], max(out[-1][1], hi))
+        else:
+            out.append((lo, hi))
+    if len(out) > most:
+        gaps = sorted(range(1, len(out)), key=lambda i: out[i][0] - out[i - 1][1], reverse=True)
+        starts = [0, *sorted(gaps[:most - 1]), len(out)]
+        out = [(out[a][0], out[z - 1][1]) for a, z in zip(starts, starts[1:])]
+    return tuple(out)
+
+
+def scan_bounds(requests: DataFrame) -> ScanBounds:
+    """Bounds of all requests.
+
+    The requested days come back as one hull per calendar month, so the rows
+    that reach the driver are bounded by the calendar, not by the requests.
     """
-    row = keys.agg(F.count(F.lit(1)).alias("n"),
-                   F.min("r_from_dt").alias("lo"),
-                   F.max("r_to_dt").alias("hi")).first()
-    n = row["n"]
-    ids = None
-    if 0 < n <= MAX_PUSHDOWN_IDS:
-        ids = keys.agg(F.array_sort(F.collect_set("r_advertiser_id"))).first()[0]
-    return KeyStats(n, n, row["lo"], row["hi"], ids)
+    keys = request_keys(requests)
+    lo, hi = keys.agg(F.min("r_advertiser_id"), F.max("r_advertiser_id")).first()
+    if lo is None:
+        return ScanBounds(None, ())
+    month = F.explode(F.sequence(F.trunc("r_from_dt", "month"), F.trunc("r_to_dt", "month"), F.expr("INTERVAL 1 MONTH")))
+    hulls = (keys.filter("r_from_dt <= r_to_dt").select("r_from_dt", "r_to_dt").distinct()
+             .select("r_from_dt", "r_to_dt", month.alias("m"))
+             .groupBy("m").agg(F.min(F.greatest("r_from_dt", "m")).alias("lo"),
+                               F.max(F.least("r_to_dt", F.last_day("m"))).alias("hi")).collect())
+    return ScanBounds((lo, hi), merged([(r["lo"], r["hi"]) for r in hulls]))
 
 
-def _optional_in(values: Column, x: Column) -> Column:
-    """NULL list -> no filter; otherwise set membership."""
-    return values.isNull() | F.coalesce(F.array_contains(values, x), F.lit(False))
+def _keep_listed(rows: DataFrame, values: DataFrame, has_list: str, column: str) -> DataFrame:
+    """Rows whose request has no list, or whose ``column`` is in it (one match at most)."""
+    met = rows.join(values.withColumn("v_met", F.lit(True)),
+                    (rows["r_request_id"] == values["v_request_id"]) & (rows[column] == values["v_value"]), "left")
+    return met.filter(~F.col(has_list) | F.col("v_met")).drop("v_request_id", "v_value", "v_met")
 
 
 def scope(fact: DataFrame, requests: DataFrame, *, match_timezone: bool = False,
           match_country: bool = False, apply_io: bool = True,
           apply_pixel: bool = True, apply_dates: bool = True,
-          max_broadcast_rows: int = MAX_BROADCAST_ROWS,
-          stats: KeyStats | None = None) -> tuple[DataFrame, KeyStats]:
+          bounds: ScanBounds | None = None) -> DataFrame:
     """Fact rows in scope of each request, plus ``request_id``.
 
     ``match_timezone``: the fact's ``time_zone_name`` must equal the request's
@@ -92,56 +121,29 @@ def scope(fact: DataFrame, requests: DataFrame, *, match_timezone: bool = False,
     rows.  The result then also carries the request ``timezone``.
 
     ``apply_*`` switch off single optional predicates; they exist so each
-    predicate can be exercised on its own.  ``stats`` (from ``key_stats`` on
-    ``request_keys(requests)``) may be passed in to reuse one size check for
-    several facts.  Returns the scoped frame and the checked statistics.
+    predicate can be exercised on its own.  ``bounds`` (from ``scan_bounds``)
+    may be passed in to share them between facts.  A pixel list also keeps
+    pixel 0.
     """
     spark = fact.sparkSession
     keys = request_keys(requests)
-    if stats is None:
-        stats = key_stats(keys)
-    bound = stats.rows
+    bounds = bounds if bounds is not None else scan_bounds(requests)
     if match_country:
         keys = keys.join(
             dims.lookup(dims.countries(spark)).withColumnRenamed("timezone", "r_timezone")
-            .withColumnRenamed("de_country_name", "r_country"),
-            "r_timezone", "inner")
-        bound = stats.rows * dims.max_spellings_per_zone()
-    broadcast = bound <= max_broadcast_rows
-    keys = broadcast_if_within(keys, bound, max_broadcast_rows)
-
-    # Literal bounds from the request side reach the parquet scan as pushed
-    # filters / partition pruning; the join below stays the exact test.
-    pre = fact
-    if stats.rows == 0:
-        # no request has an advertiser key: Catalyst drops the scan entirely
-        pre = pre.filter(F.lit(False))
-    if apply_dates and stats.min_from is not None and stats.max_to is not None:
-        pre = pre.filter(F.col("dt").between(F.lit(stats.min_from), F.lit(stats.max_to)))
-    if stats.advertiser_ids is not None:
-        pre = pre.filter(F.col("advertiser_id").isin(stats.advertiser_ids))
-
-    if not broadcast:
-        keys = keys.withColumn("r_salt", F.explode(F.sequence(F.lit(0), F.lit(SKEW_SALTS - 1))))
-        pre = pre.withColumn("_salt", F.pmod(
-            F.xxhash64(*[F.col(c) for c in fact.columns]), F.lit(SKEW_SALTS)).cast("int"))
-
+            .withColumnRenamed("de_country_name", "r_country"), "r_timezone", "inner")
+    pre = fact.filter(bounds.column(apply_dates))
     cond = pre["advertiser_id"] == keys["r_advertiser_id"]
-    if not broadcast:
-        cond = cond & (pre["_salt"] == keys["r_salt"])
     if apply_dates:
         cond = cond & (pre["dt"] >= keys["r_from_dt"]) & (pre["dt"] <= keys["r_to_dt"])
-    if apply_io:
-        cond = cond & _optional_in(keys["r_io_ids"], pre["insertion_order_id"])
-    if apply_pixel:
-        cond = cond & _optional_in(keys["r_pixel_set"], pre["pixel_id"])
     if match_timezone:
         cond = cond & (pre["time_zone_name"] == keys["r_timezone"])
     if match_country:
         cond = cond & (pre["de_country_name"] == keys["r_country"])
-
-    joined = pre.join(keys, cond, "inner")
-    out = [F.col("r_request_id").alias("request_id")] + [pre[c] for c in fact.columns]
-    if match_country:
-        out.append(F.col("r_timezone").alias("timezone"))
-    return joined.select(*out), stats
+    out = pre.join(keys, cond, "inner")
+    if apply_io:
+        out = _keep_listed(out, request_values(requests, "io_ids"), "r_has_io", "insertion_order_id")
+    if apply_pixel:
+        out = _keep_listed(out, request_values(requests, "conv_pixel_ids", 0), "r_has_pixel", "pixel_id")
+    return out.select(F.col("r_request_id").alias("request_id"), *fact.columns,
+                      *([F.col("r_timezone").alias("timezone")] if match_country else []))

@@ -1,36 +1,35 @@
-"""The batch report job: every pending request, all eleven sheets, one job.
+"""The batch report job: every pending request, all eleven sheets.
 
 Flow per fact (see the sheet module for the sheets themselves)::
 
-    requests --parse/pending--> request keys (checked size, broadcast)
-    fact --pushed date/advertiser bounds--> join keys --> scoped rows
-    scoped --groupBy / GROUPING SETS--> extracts --complete cases--> sheets
+    control table --snapshot--> requests --> request keys
+    fact --pushed id and date bounds--> join keys --> scoped rows
+    scoped --raw aggregate at the finest grain--> extracts --complete cases--> sheets
 
-Each fact is scanned once: the system fact feeds four grains and the geo fact
-two through one GROUPING SETS aggregate.  The per-fact aggregates are then
-materialized (checkpointed to the shared ``spark.checkpoint.dir``): the sheets
-push different filters into their inputs, so without the cut Catalyst would
-re-plan -- and re-scan -- the fact once per sheet.  The checkpoint also makes
-the report stage independent of the fact scans if executors are lost.
+The control table is written once per job (``snapshot``): scan bounds, extracts,
+manifest and claim all see the same requests.  Each fact is scanned once: the
+system fact's raw aggregate (device, OS, browser, size) rolls up to four
+extracts and the geo fact's (city, region, postcode) to two.  For a whole report
+these raw aggregates are snapshots, too, because the sheets push different
+filters into them; a single sheet is one lazy plan.
 """
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
+import uuid
+from datetime import datetime, timezone
 from functools import cached_property
 
-from pyspark import StorageLevel
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adinsight.functions.columns import day_of_week
-from adinsight.operators.extract import extract, grains_aggregate, split_grains
+from adinsight.operators.extract import aggregate, complete_cases, roll_up
 from adinsight.operators.rownum import number_rows
-from adinsight.operators.scope import KeyStats, key_stats, request_keys, scope
-from adinsight.operators.sizing import MAX_BROADCAST_ROWS
+from adinsight.operators.scope import ScanBounds, scan_bounds, scope
+from adinsight.operators.snapshot import snapshot
 from adinsight.plans import sheets as S
-from adinsight.session import checkpoint_dir
+from adinsight.schemas import MEASURES
 from adinsight.sources import requests as R
 
 # The delivery mail (subject, body labels in body order) and
@@ -56,6 +55,14 @@ EXTRACT_GRAINS = {
     "postcode": ("geo", ["city", "region", "postal_code"]),
 }
 
+# fact -> its finest grain, from which all its extracts roll up
+RAW_GRAINS = {
+    "placement_hour": ["day_hour", "dw"],
+    "inventory": ["site_domain"],
+    "system": ["device_type", "os_name", "browser_name", "width", "height"],
+    "geo": ["city", "region", "postal_code"],
+}
+
 # sheet name -> (builder, extract name)
 SHEET_BUILDERS = {
     "TOD_Weekday": (S.tod_weekday, "tod"),
@@ -80,45 +87,45 @@ class ReportJob:
 
     ``facts`` maps ``placement_hour, inventory, system, geo`` to DataFrames.
     ``first_only`` serves only the earliest pending request (one per run),
-    otherwise every pending request is served.  ``materialize`` is how the
-    extracts are cut from the fact scans: ``checkpoint`` (reliable, default),
-    ``persist`` (executor storage) or ``none`` (one lazy plan).
+    otherwise every pending request is served.
     """
 
     def __init__(self, spark: SparkSession, facts: dict[str, DataFrame],
-                 requests_raw: DataFrame, *, first_only: bool = False,
-                 max_broadcast_rows: int = MAX_BROADCAST_ROWS,
-                 materialize: str = "checkpoint"):
+                 requests_raw: DataFrame, *, first_only: bool = False):
         self.spark = spark
-        self.materialize = materialize
-        if materialize == "checkpoint":
-            checkpoint_dir(spark)
-        self._extracts: dict[str, DataFrame] = {}
         self.facts = facts
-        self.requests_raw = requests_raw
-        self.parsed = R.parse_requests(requests_raw)
-        served = R.pending(self.parsed)
-        self.requests = R.first_only(served) if first_only else served
-        self.max_broadcast_rows = max_broadcast_rows
+        self._given = requests_raw
+        self._first_only = first_only
 
-    # -- sizes --------------------------------------------------------------
+    # -- requests -----------------------------------------------------------
     @cached_property
-    def stats(self) -> KeyStats:
-        """One size check of the request side, shared by every fact scan."""
-        return key_stats(request_keys(self.requests))
+    def requests_raw(self) -> DataFrame:
+        """The control table as it stood when the job first read it."""
+        raw = snapshot(self._given)
+        R.check_identity(raw)
+        return raw
 
     @cached_property
-    def n_requests(self) -> int:
-        """Checked number of requests with keys: bounds every per-request frame."""
-        return self.stats.requests
+    def parsed(self) -> DataFrame:
+        return R.parse_requests(self.requests_raw)
+
+    @cached_property
+    def requests(self) -> DataFrame:
+        """The requests this job serves."""
+        served = R.pending(self.parsed)
+        return R.first_only(served) if self._first_only else served
+
+    @cached_property
+    def bounds(self) -> ScanBounds:
+        """Scan bounds of the requests, shared by every fact."""
+        return scan_bounds(self.requests)
 
     # -- scoping ------------------------------------------------------------
     def scoped(self, fact: str, **flags) -> DataFrame:
         kw = {"placement_hour": {"match_timezone": True},
               "geo": {"match_country": True}}.get(fact, {})
         kw.update(flags)
-        df, _ = scope(self.facts[fact], self.requests,
-                      max_broadcast_rows=self.max_broadcast_rows, stats=self.stats, **kw)
+        df = scope(self.facts[fact], self.requests, bounds=self.bounds, **kw)
         if fact == "placement_hour":
             df = df.withColumn("dw", day_of_week("dt"))
         if fact == "geo":
@@ -130,69 +137,30 @@ class ReportJob:
     def _carry(fact: str) -> list[str]:
         return ["timezone"] if fact == "geo" else []
 
-    def extract(self, name: str) -> DataFrame:
-        """One extract on its own (its own scan and aggregate), lazy."""
+    def raw_extract(self, name: str, raw: DataFrame | None = None) -> DataFrame:
+        """One extract before complete cases: from ``raw``, or from its own scan."""
         fact, keys = EXTRACT_GRAINS[name]
-        return extract(self.scoped(fact), keys, self._carry(fact))
-
-    def _cut(self, df: DataFrame) -> DataFrame:
-        if self.materialize == "checkpoint":
-            return df.checkpoint(eager=True)
-        if self.materialize == "persist":
-            df = df.persist(StorageLevel.MEMORY_AND_DISK)
-            df.count()
-            return df
-        return df
+        if raw is None:
+            return aggregate(self.scoped(fact), keys, self._carry(fact))
+        if keys == RAW_GRAINS[fact]:
+            return raw
+        return roll_up(raw, keys, self._carry(fact))
 
-    def close(self) -> None:
-        """Release extracts held in executor storage (``persist`` mode)."""
-        if self.materialize == "persist":
-            for df in self._extracts.values():
-                df.unpersist()
-        self._extracts.clear()
-        self.__dict__.pop("shared_extracts", None)
-
-    def materialized(self, name: str) -> DataFrame:
-        """Extract ``name`` computed once and cut from the fact scan."""
-        if name not in self._extracts:
-            self._extracts[name] = self._cut(self.extract(name))
-        return self._extracts[name]
+    def extract(self, name: str, raw: DataFrame | None = None) -> DataFrame:
+        return complete_cases(self.raw_extract(name, raw), [*EXTRACT_GRAINS[name][1], *MEASURES])
 
     @cached_property
     def shared_extracts(self) -> dict[str, DataFrame]:
-        """All eight extracts, one scan per fact (grouping sets), materialized.
-
-        The per-fact plans are built here, one after the other; only their
-        execution (the four checkpoint jobs, which are independent) is
-        submitted concurrently.
-        """
-        by_fact: dict[str, dict[str, list[str]]] = {}
-        for name, (fact, keys) in EXTRACT_GRAINS.items():
-            by_fact.setdefault(fact, {})[name] = keys
-        plans: dict[str, DataFrame] = {}
-        for fact, grains in by_fact.items():
-            scoped = self.scoped(fact)
-            if len(grains) == 1:
-                (name, keys), = grains.items()
-                plans[fact] = extract(scoped, keys, self._carry(fact))
-            else:
-                plans[fact] = grains_aggregate(scoped, grains, self._carry(fact))
-        with ThreadPoolExecutor(max_workers=len(plans)) as pool:
-            cut = dict(zip(plans, pool.map(self._cut, plans.values())))
-        out: dict[str, DataFrame] = {}
-        for fact, grains in by_fact.items():
-            if len(grains) == 1:
-                out[next(iter(grains))] = cut[fact]
-            else:
-                out.update(split_grains(cut[fact], grains, self._carry(fact)))
-        self._extracts.update(out)
-        return out
+        """All eight extracts from one scan and one raw aggregate per fact."""
+        raw = {fact: snapshot(aggregate(self.scoped(fact), grain, self._carry(fact)))
+               for fact, grain in RAW_GRAINS.items()}
+        return {name: self.extract(name, raw[fact]) for name, (fact, _) in EXTRACT_GRAINS.items()}
 
     # -- sheets -------------------------------------------------------------
     def sheet(self, name: str, *, order: bool = True) -> DataFrame:
-        """One sheet for every served request."""
+        """One sheet for every served request, as one lazy plan."""
         builder, ext = SHEET_BUILDERS[name]
-        return S.finish(builder(self.materialized(ext), self.n_requests), name, order=order)
+        return S.finish(builder(self.extract(ext)), name, order=order)
 
     def report_long(self, row_ids: bool = False) -> DataFrame:
         """All sheets of all requests as one long table with a ``sheet`` column.
@@ -200,15 +168,14 @@ class ReportJob:
         Each sheet is padded to the common column list (NULL for dimensions it
         does not have) and the sheets are appended positionally.  With
         ``row_ids`` every row gets its 1-based position in its request's sheet
-        (one distributed sort for the whole report) and the output is ordered
-        by request, sheet and row.
+        (one distributed sort for the whole report).
         """
         metrics = [c for c in S.sheet_columns("DOW") if c not in ("request_id", "day_name")]
         types = {"day_hour": "int"}
         out = None
         for name in S.SHEET_NAMES:
             builder, ext = SHEET_BUILDERS[name]
-            df = builder(self.shared_extracts[ext], self.n_requests)
+            df = builder(self.shared_extracts[ext])
             have = set(S.SHEET_DIMS[name])
             cols = ["request_id", f"'{name}' AS sheet"] + [
                 c if c in have else f"CAST(NULL AS {types.get(c, 'string')}) AS {c}"
@@ -218,9 +185,7 @@ class ReportJob:
             df = df.selectExpr(*cols)
             out = df if out is None else out.unionAll(df)
         if row_ids:
-            out = number_rows(out, ["request_id", "sheet"], [F.col(c) for c in S.SORT_COLUMNS],
-                              groups_bound=self.n_requests * len(S.SHEET_NAMES),
-                              cut=None if self.materialize == "none" else self._cut)
+            out = number_rows(out, ["request_id", "sheet"], [F.col(c) for c in S.SORT_COLUMNS])
             out = out.drop(*S.SORT_COLUMNS)
         return out
 
@@ -250,14 +215,13 @@ class ReportJob:
         path = [] if report_dir is None else [
             F.concat(F.lit(report_dir.rstrip("/") + "/request_id="),
                      F.col("request_id").cast("string")).alias("report_path")]
-        return (r.join(F.broadcast(counts) if self.n_requests <= self.max_broadcast_rows else counts,
-                       "request_id", "left")
+        return (r.join(counts, "request_id", "left")
                  .select(
                      "request_id",
                      F.col("to_email").alias("to"),
                      F.lit(MAIL_SUBJECT).alias("subject"),
                      body.alias("body"),
-                     F.concat(F.coalesce(ids("advertiser_ids"), F.lit("")),
+                     F.concat(F.coalesce(ids("advertiser_list"), F.lit("")),
                               F.lit(REPORT_SUFFIX)).alias("report_name"),
                      "status",
                      F.coalesce(F.col("report_rows"), F.lit(0)).cast("bigint").alias("report_rows"),
@@ -268,35 +232,34 @@ class ReportJob:
         """Next version of the control table: served requests flagged done."""
         return R.claim(self.requests_raw, served if served is not None else self.requests)
 
-    def write(self, out_dir: str, csv_sheets: bool = False) -> dict[str, str]:
-        """Write report, manifest, then the new control-table version.
-
-        The report is written first; the control table changes only after it
-        exists, so a failed run leaves its requests pending.  With
-        ``csv_sheets`` every sheet is also written as CSV with a header (one
-        folder per sheet, partitioned by request; the sheet's own columns
-        with ``row_id`` first), the tab-per-sheet form of a workbook.
+    def write(self, out_dir: str, csv_sheets: bool = False, run_id: str | None = None) -> dict[str, str]:
+        """Write report, manifest, then the next control-table version.
+
+        Every run writes folders of its own (``run=<id>``, ``version=<id>``) and
+        overwrites nothing: earlier reports stay, and the control table that was
+        read stays as it was.  The next run reads ``out_dir/requests`` at its
+        latest complete version.  The control version comes last, so a failed
+        run leaves its requests pending.  With ``csv_sheets`` every sheet is
+        also written as CSV with a header (one folder per sheet, partitioned by
+        request; the sheet's own columns with ``row_id`` first), the
+        tab-per-sheet form of a workbook.
         """
         out = out_dir.rstrip("/")
-        paths = {"report": f"{out}/report", "manifest": f"{out}/manifest",
-                 "requests": f"{out}/requests"}
-        # Row-numbered rows arrive range-partitioned and sorted by request,
-        # sheet and row, so each written file holds consecutive rows.
+        run = run_id or f"{datetime.now(timezone.utc):%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
+        paths = {"report": f"{out}/report/run={run}", "manifest": f"{out}/manifest/run={run}",
+                 "requests": f"{out}/requests/{R.VERSION_PREFIX}{run}"}
         report = self.report_long(row_ids=True)
-        (report.write.mode("overwrite").partitionBy("request_id", "sheet")
-               .parquet(paths["report"]))
+        report.sortWithinPartitions("request_id", "sheet", "row_id").write.partitionBy("request_id", "sheet").parquet(paths["report"])
         # Explicit schema: an empty report writes no data files to infer from.
         written = self.spark.read.schema(report.schema).parquet(paths["report"])
         if csv_sheets:
             for name in S.SHEET_NAMES:
-                path = f"{out}/sheets/{name}"
+                path = f"{out}/sheets/run={run}/{name}"
                 cols = ["row_id", *S.SHEET_DIMS[name], *S.METRIC_COLUMNS, "request_id"]
                 (written.filter(F.col("sheet") == name).select(*cols)
                         .sortWithinPartitions("request_id", "row_id")
-                        .write.mode("overwrite").partitionBy("request_id")
-                        .option("header", True).csv(path))
+                        .write.partitionBy("request_id").option("header", True).csv(path))
                 paths[f"sheet:{name}"] = path
-        self.delivery_manifest(written, paths["report"]).write.mode("overwrite") \
-            .parquet(paths["manifest"])
-        self.claimed().write.mode("overwrite").parquet(paths["requests"])
+        self.delivery_manifest(written, paths["report"]).write.parquet(paths["manifest"])
+        self.claimed().write.parquet(paths["requests"])
         return paths

@@ -6,10 +6,8 @@ cases already applied) and returns the sheet for every request in it:
 helper columns starting with ``_`` used only for ordering.  ``finish``
 applies the sheet order and drops the helpers.
 
-Every builder takes ``(extract, bound)``; ``bound`` is the checked upper
-bound on the number of requests.  It decides whether per-request totals are
-broadcast on the sheets that join totals (sites, cities, postcodes); the
-sheets bounded by a fixed dimension use a per-request window and ignore it.
+Every re-aggregation is a plain grouped sum, so rows are summed before they
+are shuffled, and every share joins its scope's totals.
 """
 
 from __future__ import annotations
@@ -21,7 +19,7 @@ from adinsight.functions.columns import size_label
 from adinsight.operators.extract import resum
 from adinsight.operators.labels import (
     keep_days, label_days, label_device_class, label_regions, lower_city)
-from adinsight.operators.metrics import METRIC_COLUMNS, resum_by_request, with_metrics
+from adinsight.operators.metrics import METRIC_COLUMNS, with_metrics
 from adinsight.sources import dims
 
 # The threshold (in percent) a site's impression share must
@@ -111,92 +109,89 @@ def finish(sheet: DataFrame, name: str, order: bool = True) -> DataFrame:
     return sheet.select(*sheet_columns(name))
 
 
+def _resummed(df: DataFrame, keys: list[str]) -> DataFrame:
+    return df.groupBy("request_id", *keys).agg(*resum())
+
+
 # --- time of day / day of week (one extract: request, day_hour, dw) --------
 
-def _tod(tod: DataFrame, days: list[str], bound: int | None) -> DataFrame:
+def _tod(tod: DataFrame, days: list[str]) -> DataFrame:
     hours = label_days(tod).filter(F.col("day_hour") > FIRST_HOUR_EXCLUDED_UPTO)
-    kept = keep_days(hours, days)
-    g = resum_by_request(kept, ["day_hour"])
-    return with_metrics(g, ["day_hour"], totals="window")
+    return with_metrics(_resummed(keep_days(hours, days), ["day_hour"]), ["day_hour"])
 
 
-def tod_weekday(tod: DataFrame, bound: int | None = None) -> DataFrame:
+def tod_weekday(tod: DataFrame) -> DataFrame:
     """Hours 7-23 on Monday-Friday."""
-    return _tod(tod, dims.WEEKDAYS, bound)
+    return _tod(tod, dims.WEEKDAYS)
 
 
-def tod_weekend(tod: DataFrame, bound: int | None = None) -> DataFrame:
+def tod_weekend(tod: DataFrame) -> DataFrame:
     """R2: hours 7-23 on Saturday and Sunday."""
-    return _tod(tod, dims.WEEKEND, bound)
+    return _tod(tod, dims.WEEKEND)
 
 
-def dow(tod: DataFrame, bound: int | None = None) -> DataFrame:
+def dow(tod: DataFrame) -> DataFrame:
     """Day of week, all hours."""
-    g = resum_by_request(label_days(tod), ["day_name", "day_order"])
-    return with_metrics(g, ["day_name"], extra=["day_order AS _day_order"], totals="window")
+    g = _resummed(label_days(tod), ["day_name", "day_order"])
+    return with_metrics(g, ["day_name"], extra=["day_order AS _day_order"])
 
 
 # --- site domains -----------------------------------------------------------
 
-def site_domains(site: DataFrame, bound: int | None = None) -> DataFrame:
+def site_domains(site: DataFrame) -> DataFrame:
     """Shares over all domains, then only domains above the threshold."""
-    m = with_metrics(site, ["site_domain"], scopes_bound=bound)
+    m = with_metrics(site, ["site_domain"])
     return m.filter(F.col("Percentage_Impression_share") > SITE_SHARE_THRESHOLD)
 
 
 # --- system: device, OS, browser, creative size -----------------------------
 
-def device_type(device: DataFrame, bound: int | None = None) -> DataFrame:
+def device_type(device: DataFrame) -> DataFrame:
     """Device class."""
-    g = resum_by_request(label_device_class(device), ["device_types"])
-    return with_metrics(g, ["device_types"], totals="window")
+    return with_metrics(_resummed(label_device_class(device), ["device_types"]), ["device_types"])
 
 
-def _within_class(ext: DataFrame, dim: str, bound: int | None) -> DataFrame:
-    g = resum_by_request(label_device_class(ext), ["device_types", dim])
-    return with_metrics(g, ["device_types", dim], share_by=("request_id", "device_types"),
-                        totals="window")
+def _within_class(ext: DataFrame, dim: str) -> DataFrame:
+    g = _resummed(label_device_class(ext), ["device_types", dim])
+    return with_metrics(g, ["device_types", dim], share_by=("request_id", "device_types"))
 
 
-def device_os(os_ext: DataFrame, bound: int | None = None) -> DataFrame:
+def device_os(os_ext: DataFrame) -> DataFrame:
     """Device class and OS; shares within each device class."""
-    return _within_class(os_ext, "os_name", bound)
+    return _within_class(os_ext, "os_name")
 
 
-def browser(browser_ext: DataFrame, bound: int | None = None) -> DataFrame:
+def browser(browser_ext: DataFrame) -> DataFrame:
     """Device class and browser; shares within each device class."""
-    return _within_class(browser_ext, "browser_name", bound)
+    return _within_class(browser_ext, "browser_name")
 
 
-def creative_size(size: DataFrame, bound: int | None = None) -> DataFrame:
+def creative_size(size: DataFrame) -> DataFrame:
     """Creative size label ``<width>x<height>``."""
-    s = size.withColumn("size", size_label("width", "height")).repartition("request_id")
-    return with_metrics(s, ["size"], extra=["width AS _width", "height AS _height"],
-                        totals="window")
+    s = size.withColumn("size", size_label("width", "height"))
+    return with_metrics(s, ["size"], extra=["width AS _width", "height AS _height"])
 
 
 # --- geo: city / region / postcode (extracts carry the request timezone) ----
 
-def _geo(ext: DataFrame, keys: list[str], bound: int | None) -> DataFrame:
-    labelled = label_regions(lower_city(ext))
-    g = labelled.groupBy("request_id", *keys).agg(*resum())
-    m = with_metrics(g, keys, scopes_bound=bound, totals_from=ext)
+def _geo(ext: DataFrame, keys: list[str]) -> DataFrame:
+    g = _resummed(label_regions(lower_city(ext)), keys)
+    m = with_metrics(g, keys, totals_from=ext)
     # Unmapped regions count in the shares and are dropped afterwards.
     return m.filter(F.col("city").isNotNull() & F.col("regions").isNotNull())
 
 
-def city_region(city: DataFrame, bound: int | None = None) -> DataFrame:
+def city_region(city: DataFrame) -> DataFrame:
     """City and region; shares include unmapped regions."""
-    return _geo(city, ["city", "regions", "region_code"], bound)
+    return _geo(city, ["city", "regions", "region_code"])
 
 
-def regions(city: DataFrame, bound: int | None = None) -> DataFrame:
+def regions(city: DataFrame) -> DataFrame:
     """Region; unmapped regions dropped before the shares."""
     labelled = label_regions(city).filter(F.col("regions").isNotNull())
-    g = resum_by_request(labelled, ["regions", "region_code"])
-    return with_metrics(g, ["regions", "region_code"], totals="window")
+    return with_metrics(_resummed(labelled, ["regions", "region_code"]), ["regions", "region_code"])
 
 
-def city_postcode(postcode: DataFrame, bound: int | None = None) -> DataFrame:
+def city_postcode(postcode: DataFrame) -> DataFrame:
     """City, region and postcode; shares include unmapped regions."""
-    return _geo(postcode, ["city", "regions", "region_code", "postal_code"], bound)
+    return _geo(postcode, ["city", "regions", "region_code", "postal_code"])

@@ -1,8 +1,7 @@
 """SparkSession helpers.
 
-Cluster settings (executor sizing, ``spark.checkpoint.dir``) belong to the
-deployment; the helpers here only fill in what is unset, which is what tests
-and the local bench need.
+Master, executor sizing, shuffle partitions and ``spark.checkpoint.dir`` belong
+to the submission; nothing here overrides them.
 """
 
 from __future__ import annotations
@@ -10,49 +9,46 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark import SparkConf, SparkContext
 from pyspark.sql import SparkSession
 
-# Settings the engine relies on: adaptive execution re-plans joins from runtime
-# sizes, coalesces small shuffle partitions and splits skewed ones.
+# Runtime SQL settings the engine relies on, set only where they are unset:
+# adaptive execution re-plans joins from runtime sizes, coalesces small shuffle
+# partitions and splits skewed ones; dates are taken in UTC.
 ENGINE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
-    "spark.ui.enabled": "false",
-    "spark.ui.showConsoleProgress": "false",
 }
 
 
 def get_spark(master: str | None = None, app: str = "adinsight",
-              shuffle_partitions: int | None = None,
-              extra: dict[str, str] | None = None) -> SparkSession:
-    """Return the active session, or build a local one (tests, bench)."""
+              conf: dict[str, str] | None = None) -> SparkSession:
+    """The active session, or a new one with the settings of the submission.
+
+    ``master`` and ``conf`` are for tests and the bench, which submit nothing;
+    they do not replace what the submission has set.
+    """
     active = SparkSession.getActiveSession()
     if active is not None:
         return active
-    cpus = os.environ.get("BENCH_CPUS", "8")
-    builder = SparkSession.builder.master(master or f"local[{cpus}]").appName(app)
-    conf = dict(ENGINE_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or 8)
-    conf["spark.driver.memory"] = "8g"
-    # checkpoint files of extracts are deleted once no longer referenced
-    conf["spark.cleaner.referenceTracking.cleanCheckpoints"] = "true"
-    conf.update(extra or {})
-    for k, v in conf.items():
-        builder = builder.config(k, v)
-    spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
-    checkpoint_dir(spark)
-    return spark
+    if "PYSPARK_GATEWAY_PORT" in os.environ:  # under spark-submit: take in its settings
+        SparkContext._ensure_initialized()
+    submitted = SparkConf()
+    builder = SparkSession.builder
+    wanted = {"spark.app.name": app, **({"spark.master": master} if master else {}), **ENGINE_CONF, **(conf or {})}
+    for k, v in wanted.items():
+        if not submitted.contains(k):
+            builder = builder.config(k, v)
+    return builder.getOrCreate()
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder named by ``spark.checkpoint.dir``.
+    """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this is set by the deployment to a shared file system and is
-    only read here.  When it is unset (local tests) a fresh scratch folder is
-    created and registered.
+    On a cluster it must be set: a folder on the driver's machine is not seen
+    by executors.  Under a local master an unset folder becomes a scratch one.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if current:
@@ -62,10 +58,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     existing = spark.sparkContext.getCheckpointDir()
     if existing:
         return existing
+    if spark.sparkContext.master.split("[")[0] != "local":
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     path = tempfile.mkdtemp(prefix="adinsight-ckpt-")
     spark.sparkContext.setCheckpointDir(path)
-    try:
-        spark.conf.set("spark.checkpoint.dir", path)
-    except Exception:  # core config not settable at runtime: the context has it
-        pass
-    return path
+    return spark.sparkContext.getCheckpointDir()

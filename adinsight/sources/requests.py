@@ -17,19 +17,57 @@ from adinsight.functions.columns import id_list, missing_to_null
 PENDING_MARK = "Yes"
 CLAIMED_FLAG = "No"
 
-PARSED_COLUMNS = [
-    "request_id", "sheet_row", "advertiser_ids", "io_ids", "conv_pixel_ids",
-    "seg_pixel_ids", "from_dt", "to_dt", "timezone", "flag", "pending",
-    "to_email", "status",
-]
+VERSION_PREFIX = "version="
 
 
 def read_requests(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
-    """Read the control table with its explicit all-text schema."""
-    reader = spark.read.schema(schemas.REQUEST_RAW)
+    """The control table, columns found by name.
+
+    A text table is read by its header: every column but ``sheet_row`` must be
+    there and no other may be.  Without ``sheet_row`` (an exported sheet) rows
+    are numbered in file order from 1, consecutively within each split of the
+    file.  A folder of versions, as ``ReportJob.write`` leaves it, is read at
+    its latest complete version.
+    """
+    latest = latest_version(spark, path)
+    if latest:
+        return spark.read.schema(schemas.REQUEST_RAW).parquet(latest)
+    names = schemas.REQUEST_RAW.fieldNames()
     if fmt == "csv":
-        return reader.option("header", True).csv(path)
-    return reader.format(fmt).load(path)
+        raw = spark.read.option("header", True).option("enforceSchema", False).csv(path)
+    else:
+        raw = spark.read.format(fmt).load(path)
+    unknown = [c for c in raw.columns if c not in names]
+    missing = [c for c in names[1:] if c not in raw.columns]
+    if unknown or missing:
+        raise ValueError(f"request table {path}: unknown columns {unknown}, missing columns {missing}")
+    if "sheet_row" not in raw.columns:
+        raw = raw.withColumn("sheet_row", F.monotonically_increasing_id() + 1)
+    return raw.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schemas.REQUEST_RAW])
+
+
+def latest_version(spark: SparkSession, path: str) -> str | None:
+    """The greatest completely written ``version=`` folder below ``path``, if any."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(folder) or not fs.getFileStatus(folder).isDirectory():
+        return None
+    found = [s.getPath() for s in fs.listStatus(folder) if s.getPath().getName().startswith(VERSION_PREFIX)
+             and fs.exists(jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS"))]
+    return max((p.toString() for p in found), default=None)
+
+
+def check_identity(raw: DataFrame) -> None:
+    """Fail if a request has no ``sheet_row`` or shares it with another.
+
+    Reports, mails and claims go by this number, so two requests under one
+    would receive each other's figures.
+    """
+    bad = raw.groupBy("sheet_row").agg(F.count(F.lit(1)).alias("n")) \
+             .filter("n > 1 OR sheet_row IS NULL").limit(10).collect()
+    if bad:
+        raise ValueError(f"request rows without a number of their own: {sorted(str(r['sheet_row']) for r in bad)}")
 
 
 def is_pending(flag: str = "Insight_Flag"):
@@ -41,7 +79,8 @@ def parse_requests(raw: DataFrame) -> DataFrame:
     """Typed request rows.
 
     ``advertiser_ids`` etc. are distinct ``ARRAY<BIGINT>``; NULL means the
-    parameter was not given (no filter).  Dates are inclusive.  A request
+    parameter was not given (no filter); ``advertiser_list`` keeps repeats, for
+    the report's name.  Dates are inclusive.  A request
     without a usable advertiser list or date range gets ``status = invalid``
     and matches no fact row.
     """
@@ -55,6 +94,7 @@ def parse_requests(raw: DataFrame) -> DataFrame:
         id_list("Insertion_Order_ID").alias("io_ids"),
         id_list("Conversion_Pixel_ID").alias("conv_pixel_ids"),
         id_list("Segment_Pixel_ID").alias("seg_pixel_ids"),
+        id_list("Advertiser_ID", distinct=False).alias("advertiser_list"),
         from_dt.alias("from_dt"),
         to_dt.alias("to_dt"),
         missing_to_null("Timezone").alias("timezone"),

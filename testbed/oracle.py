@@ -10,8 +10,8 @@ projections of the test tables, the request fixture and the fixed lookups.
 from __future__ import annotations
 
 from adinsight.sources import dims
-from adinsight.sources.facts import TESTDATA_PROJECTIONS
-from adinsight.sources.fixtures import REQUEST_ROWS
+from testbed.projections import TESTDATA_PROJECTIONS
+from testbed.fixtures import REQUEST_ROWS
 
 MEAS = "impressions, clicks, conversions"
 SUMS = ("CAST(SUM(impressions) AS BIGINT) AS impressions, "
@@ -35,13 +35,13 @@ def _values(rows, names) -> str:
     return f"SELECT * FROM (VALUES {body}) AS t({', '.join(names)})"
 
 
-def _ids(col: str) -> str:
+def _ids(col: str, distinct: bool = True) -> str:
     """Id text -> order-preserving distinct BIGINT list; NULL for NA/empty."""
     t = f"trim({col})"
     parsed = (f"list_filter(list_transform(string_split(replace({t}, '|', ','), ','), "
               f"lambda x: TRY_CAST(trim(x) AS BIGINT)), lambda x: x IS NOT NULL)")
     dedup = f"list_filter({parsed}, lambda x, i: list_position({parsed}, x) = i)"
-    return f"CASE WHEN {col} IS NULL OR {t} IN ('', 'NA') THEN NULL ELSE {dedup} END"
+    return f"CASE WHEN {col} IS NULL OR {t} IN ('', 'NA') THEN NULL ELSE {dedup if distinct else parsed} END"
 
 
 def _text(col: str) -> str:
@@ -118,6 +118,7 @@ def _ctes() -> list[tuple[str, str]]:
         {_ids('Insertion_Order_ID')} AS io_ids,
         {_ids('Conversion_Pixel_ID')} AS conv_pixel_ids,
         {_ids('Segment_Pixel_ID')} AS seg_pixel_ids,
+        {_ids('Advertiser_ID', distinct=False)} AS advertiser_list,
         TRY_CAST({_text('"From_Date(YYYY-MM-DD)"')} AS DATE) AS from_dt,
         TRY_CAST({_text('"To_Date(YYYY-MM-DD)"')} AS DATE) AS to_dt,
         {_text('Timezone')} AS timezone,
@@ -272,7 +273,7 @@ def _manifest_body() -> str:
         || CASE WHEN s.seg_pixel_ids IS NULL THEN ''
                 ELSE {_lit(K.MAIL_SEG_PIXEL)} || {ids('s.seg_pixel_ids')} END
         AS body,
-        COALESCE({ids('s.advertiser_ids')}, '') || {_lit(K.REPORT_SUFFIX)} AS report_name,
+        COALESCE({ids('s.advertiser_list')}, '') || {_lit(K.REPORT_SUFFIX)} AS report_name,
         s.status, CAST(COALESCE(n.report_rows, 0) AS BIGINT) AS report_rows
         FROM served s LEFT JOIN (SELECT request_id, COUNT(*) AS report_rows FROM ({_report_long()})
         GROUP BY request_id) n USING (request_id)"""

@@ -12,14 +12,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adinsight.operators.extract import aggregate
 from adinsight.operators.labels import keep_days, label_days, label_device_class, label_regions
 from adinsight.operators.metrics import with_metrics
-from adinsight.operators.scope import key_stats, request_keys, scope
+from adinsight.operators.scope import scan_bounds, scope
 from adinsight.plans.report import EXTRACT_GRAINS, ReportJob
 from adinsight.sources import dims
-from adinsight.sources.facts import facts_from_testdata
-from adinsight.sources.fixtures import request_table
+from testbed.projections import facts_from_testdata
+from testbed.fixtures import request_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,11 +32,7 @@ def _sheet(name: str) -> Query:
 
 
 def _raw_extract(name: str) -> Query:
-    def q(spark, sf):
-        job = job_for(spark, sf)
-        fact, keys = EXTRACT_GRAINS[name]
-        return aggregate(job.scoped(fact), keys, job._carry(fact))
-    return q
+    return lambda spark, sf: job_for(spark, sf).raw_extract(name)
 
 
 def _scope_only(fact: str, **flags) -> Query:
@@ -45,13 +40,13 @@ def _scope_only(fact: str, **flags) -> Query:
         job = job_for(spark, sf)
         off = dict(apply_io=False, apply_pixel=False, apply_dates=False)
         off.update(flags)
-        return scope(job.facts[fact], job.requests, **off)[0]
+        return scope(job.facts[fact], job.requests, **off)
     return q
 
 
 def _scope_all(spark, sf):
     job = job_for(spark, sf)
-    return scope(job.facts["placement_hour"], job.requests, match_timezone=True)[0]
+    return scope(job.facts["placement_hour"], job.requests, match_timezone=True)
 
 
 def _labelled_tod(spark, sf):
@@ -66,14 +61,12 @@ def _region_join(tz: str) -> Query:
 
 
 def _share_global(spark, sf):
-    job = job_for(spark, sf)
-    return with_metrics(job.materialized("device"), ["device_type"], scopes_bound=job.n_requests)
+    return with_metrics(job_for(spark, sf).extract("device"), ["device_type"])
 
 
 def _share_within_group(spark, sf):
-    job = job_for(spark, sf)
-    return with_metrics(job.materialized("os"), ["device_type", "os_name"],
-                        share_by=("request_id", "device_type"), scopes_bound=None)
+    return with_metrics(job_for(spark, sf).extract("os"), ["device_type", "os_name"],
+                        share_by=("request_id", "device_type"))
 
 
 def _sorted_ids(c: str):
@@ -88,10 +81,10 @@ def requests_overview(job: ReportJob, pending_only: bool) -> DataFrame:
     """
     parsed = job.parsed
     out = parsed.filter(F.col("pending")) if pending_only else parsed
-    stats = key_stats(request_keys(parsed))
+    bounds = scan_bounds(parsed)
     for fact, kw in (("placement_hour", {"match_timezone": True}), ("inventory", {}),
                      ("system", {}), ("geo", {"match_country": True})):
-        scoped, _ = scope(job.facts[fact], parsed, stats=stats, **kw)
+        scoped = scope(job.facts[fact], parsed, bounds=bounds, **kw)
         counts = scoped.groupBy("request_id").agg(F.count(F.lit(1)).alias(f"rows_{fact}"))
         out = out.join(counts, "request_id", "left")
     return out.select(

@@ -21,7 +21,9 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 
 @pytest.fixture(scope="session")
 def spark():
-    return get_spark(master="local[*]", shuffle_partitions=8)
+    return get_spark(master="local[*]", conf={
+        "spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g", "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false", "spark.log.level": "ERROR"})
 
 
 def duck(sf_dir: str):

@@ -7,7 +7,7 @@ from datetime import date
 import pytest
 
 from adinsight.plans.report import ReportJob
-from adinsight.sources.fixtures import request_table
+from testbed.fixtures import request_table
 from tests.conftest import facts, request
 
 

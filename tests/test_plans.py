@@ -2,95 +2,138 @@
 
 from __future__ import annotations
 
-from adinsight.operators.scope import scope
-from adinsight.operators.sizing import broadcast_if_within
-from adinsight.plans.registry import job_for
-from tests.conftest import SF_SMALL
+from datetime import date, timedelta
+
+import pytest
+
+from adinsight.operators.scope import MAX_INTERVALS, merged, scan_bounds, scope
+from adinsight.plans.report import ReportJob
+from adinsight.plans.sheets import SHEET_NAMES
+from adinsight.sources import requests as R
+from adinsight.sources.facts import read_fact, write_fact
+from testbed.fixtures import REQUEST_ROWS, request_table
+from testbed.projections import facts_from_testdata
+from testbed.registry import job_for
+from tests.conftest import SF_SMALL, request
 
 
 def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+@pytest.fixture(autouse=True)
+def whole_plans(spark):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "4000")
+    yield
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+
+
+def requests_of(spark, rows):
+    return R.parse_requests(request_table(spark, rows))
+
+
+@pytest.fixture(scope="module")
+def stored_system(spark, tmp_path_factory):
+    """The system fact as files partitioned by day, with real id columns."""
+    path = str(tmp_path_factory.mktemp("facts") / "system")
+    write_fact(facts_from_testdata(spark, SF_SMALL)["system"], "system", path)
+    return read_fact(spark, "system", path)
+
+
 def test_scoping_is_an_equi_hash_join(spark):
     job = job_for(spark, SF_SMALL)
     for fact, kw in (("system", {}), ("placement_hour", {"match_timezone": True}),
                      ("geo", {"match_country": True})):
-        p = plan(scope(job.facts[fact], job.requests, **kw)[0])
+        p = plan(scope(job.facts[fact], job.requests, **kw))
         assert "BroadcastHashJoin" in p
         assert "NestedLoop" not in p and "Cartesian" not in p
 
 
 def test_scan_gets_pushed_date_bounds_and_pruned_columns(spark):
     job = job_for(spark, SF_SMALL)
-    p = plan(scope(job.facts["system"], job.requests)[0])
-    assert "PushedFilters: [IsNotNull(l_shipdate), GreaterThanOrEqual(l_shipdate" in p
+    p = plan(scope(job.facts["system"], job.requests))
+    assert "GreaterThanOrEqual(l_shipdate" in p
     assert "l_extendedprice" not in p and "l_comment" not in p
 
 
 def test_lookups_are_broadcast(spark):
     job = job_for(spark, SF_SMALL)
     for name in ("DOW", "Device_type", "City_Region"):
-        p = plan(job.sheet(name, order=False))
-        assert "BroadcastHashJoin" in p and "SortMergeJoin" not in p, name
+        assert "BroadcastHashJoin" in plan(job.sheet(name, order=False)), name
 
 
-def test_no_single_partition_exchange_for_large_sheets(spark):
+def test_no_unsplit_request_key(spark):
+    """Rows are summed before they are shuffled, and no task needs a whole request."""
     job = job_for(spark, SF_SMALL)
-    for name in ("Site_Domains", "City_Region", "City_postal_code"):
+    for name in SHEET_NAMES:
         p = plan(job.sheet(name, order=False))
-        assert "SinglePartition" not in p, name
-        assert "Window" not in p, name
-
-
-def test_broadcast_only_within_checked_bound(spark):
-    df = spark.range(10)
-    assert "broadcast" in broadcast_if_within(df, 10, max_rows=10)._jdf.queryExecution() \
-        .logical().toString().lower()
-    assert broadcast_if_within(df, 11, max_rows=10) is df
-    assert broadcast_if_within(df, None, max_rows=10) is df
-
-
-def test_large_request_side_falls_back_to_salted_shuffle_join(spark):
-    job = job_for(spark, SF_SMALL)
-    scoped, _ = scope(job.facts["system"], job.requests, max_broadcast_rows=0)
+        assert "SinglePartition" not in p and "Window" not in p and "REPARTITION_BY_COL" not in p, name
+    assert "Expand" not in "".join(plan(job.raw_extract(n)) for n in ("device", "os", "city", "postcode"))
+
+
+@pytest.mark.parametrize("n_ids", [1, 2_001, 300_000])
+def test_scan_filter_is_of_one_kind_for_any_number_of_keys(spark, stored_system, n_ids):
+    many = "|".join(str(i) for i in range(1, n_ids + 1))
+    bounds = scan_bounds(requests_of(spark, [request(advertiser=many, start="1996-01-01", end="1996-03-31")]))
+    assert bounds.ids == (1, n_ids) and len(bounds.intervals) == 1
+    p = plan(stored_system.filter(bounds.column()))
+    assert "GreaterThanOrEqual(advertiser_id,1)" in p and f"LessThanOrEqual(advertiser_id,{n_ids})" in p
+
+
+def test_many_keys_give_the_rows_of_few(spark, stored_system):
+    few = requests_of(spark, [request(advertiser="1|2", io="1|2|11|12", start="1995-01-01", end="2001-12-31")])
+    many = requests_of(spark, [request(advertiser="|".join(["1", "2", *map(str, range(1000, 60_000))]),
+                                       io="|".join(["1", "2", "11", "12", *map(str, range(1000, 60_000))]),
+                                       start="1995-01-01", end="2001-12-31")])
+    want = sorted(map(repr, scope(stored_system, few).collect()))
+    assert want
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        p = scoped._jdf.queryExecution().executedPlan().toString()
-        salted = sorted(scoped.collect())
+        p = plan(scope(stored_system, many))
+        got = sorted(map(repr, scope(stored_system, many).collect()))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
-    assert "SortMergeJoin" in p or "ShuffledHashJoin" in p
-    assert "NestedLoop" not in p and "xxhash64" in p
-    # same rows as the broadcast path
-    assert salted == sorted(scope(job.facts["system"], job.requests)[0].collect())
+    assert got == want and "BroadcastExchange" not in p and "NestedLoop" not in p
 
 
-def test_date_partitioned_fact_is_pruned(spark, tmp_path):
-    from adinsight.sources.facts import read_fact, write_fact
-    job = job_for(spark, SF_SMALL)
-    path = str(tmp_path / "system")
-    write_fact(job.facts["system"], "system", path)
-    stored = read_fact(spark, "system", path)
-    scoped, stats = scope(stored, job.requests)
-    p = plan(scoped)
-    assert "PartitionFilters: [isnotnull(dt" in p and f"dt#" in p
-    assert str(stats.min_from) in p
-    # a real advertiser column: the request id list reaches the scan
-    assert "PushedFilters: [In(advertiser_id, [0,1,2,3,4,5,6,7,8,9])" in p
-    cols = sorted(scoped.columns)
-    a = sorted(map(repr, scoped.select(*cols).collect()))
-    b = sorted(map(repr, scope(job.facts["system"], job.requests)[0].select(*cols).collect()))
-    assert a == b
+def test_long_lists_are_not_carried_by_the_keys(spark):
+    from adinsight.operators.scope import request_keys
+    keys = request_keys(requests_of(spark, [request(io="|".join(map(str, range(5_000))))]))
+    assert not [f for f in keys.schema if f.dataType.typeName() == "array"]
+
+
+def test_distant_requests_read_their_own_days_only(spark, stored_system):
+    reqs = requests_of(spark, [request(advertiser="1", start="1995-02-01", end="1995-02-28"),
+                               request(row=2, advertiser="2", start="2001-02-10", end="2001-03-05")])
+    bounds = scan_bounds(reqs)
+    assert bounds.intervals == ((date(1995, 2, 1), date(1995, 2, 28)), (date(2001, 2, 10), date(2001, 3, 5)))
+    df = scope(stored_system, reqs)
+    assert "PartitionFilters: [" in plan(df) and "PartitionFilters: []" not in plan(df)
+    read = stored_system.filter(bounds.column())
+    assert {r["m"] for r in read.selectExpr("date_format(dt, 'yyyy-MM') AS m").distinct().collect()} <= {
+        "1995-02", "2001-02", "2001-03"}
+    # Only the folders of these days are listed for reading.
+    (scan,) = [x for x in read._jdf.queryExecution().executedPlan().toString().split("\n") if "FileScan" in x]
+    assert "PartitionFilters: [" in scan and "1995-02-01" in scan and "2001-03-05" in scan
+
+
+def test_merged_intervals_cover_and_are_bounded():
+    day = date(2000, 1, 1)
+    hulls = [(day + timedelta(days=40 * i + i * i % 7), day + timedelta(days=40 * i + 10)) for i in range(300)]
+    out = merged(hulls)
+    assert len(out) == MAX_INTERVALS
+    assert all(any(lo <= a and b <= hi for lo, hi in out) for a, b in hulls)
+    assert merged([(day, day), (day + timedelta(days=1), day + timedelta(days=3))]) == ((day, day + timedelta(days=3)),)
+
+
+def test_invalid_requests_bound_nothing(spark):
+    reqs = requests_of(spark, [request(advertiser="1", start="1995-02-01", end="1995-02-28"),
+                               request(row=2, advertiser="900", start="bad", end="2001-03-05")])
+    assert scan_bounds(reqs).ids == (1, 1)
 
 
 def test_no_request_keys_means_no_fact_scan(spark):
-    from adinsight.sources.fixtures import REQUEST_ROWS, request_table
-    from adinsight.plans.report import ReportJob
-    from adinsight.sources.facts import facts_from_testdata
     idle = [r for r in REQUEST_ROWS if r[8] is None or "Yes" not in r[8]]
     job = ReportJob(spark, facts_from_testdata(spark, SF_SMALL), request_table(spark, idle))
     scoped = job.scoped("system")
-    assert "FileScan" not in plan(scoped) and scoped.count() == 0
+    assert "lineitem" not in plan(scoped) and scoped.count() == 0

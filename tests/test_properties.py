@@ -6,10 +6,11 @@ from collections import defaultdict
 
 import pytest
 
-from adinsight.plans.registry import job_for
+from testbed.registry import job_for
 from adinsight.plans.report import ReportJob
-from adinsight.sources.facts import facts_from_testdata
-from adinsight.sources.fixtures import REQUEST_ROWS, request_table
+from adinsight.plans.sheets import SHEET_NAMES
+from testbed.projections import facts_from_testdata
+from testbed.fixtures import REQUEST_ROWS, request_table
 from tests.conftest import SF_SMALL
 
 SHARES = ["Percentage_Impression_share", "Percentage_Click_share", "Percentage_Conversion_share"]
@@ -93,19 +94,11 @@ def test_shared_grains_equal_separate_extracts(spark):
         assert sorted(shared.select(*cols).collect()) == sorted(alone.select(*cols).collect()), name
 
 
-@pytest.mark.parametrize("mode", ["persist", "none"])
-def test_materialize_modes_agree(spark, report, mode):
-    job = ReportJob(spark, facts_from_testdata(spark, SF_SMALL), request_table(spark), materialize=mode)
-    got = [r.asDict() for r in job.report_long().collect()]
-    job.close()
-    key = lambda r: tuple(sorted((k, repr(v)) for k, v in r.items()))
-    assert sorted(map(key, got)) == sorted(map(key, report))
-
-
-def test_first_only_is_request_one_of_the_batch(spark, report):
+def test_first_only_is_the_first_of_the_batch(spark, report):
     first = [r.asDict() for r in job_for(spark, SF_SMALL, first_only=True).report_long().collect()]
     key = lambda r: tuple(sorted((k, repr(v)) for k, v in r.items()))
-    assert sorted(map(key, first)) == sorted(map(key, [r for r in report if r["request_id"] == 1]))
+    assert sorted(map(key, first)) == sorted(map(key, [r for r in report if r["request_id"] == 0]))
+    assert {r["sheet"] for r in first} == set(SHEET_NAMES)  # it meets all four facts
 
 
 def test_row_ids_are_consecutive_and_follow_sheet_order(spark):
@@ -139,3 +132,41 @@ def test_sheets_have_no_more_rows_than_their_extracts(spark, report):
     for (sheet, rid), n in sheet_rows.items():
         ext = SHEET_BUILDERS[sheet][1]
         assert n <= extract_rows.get((ext, rid), 0), (sheet, rid)
+
+
+def test_every_fact_row_is_scoped(spark):
+    """The whole-table requests of the fixture reach every row of every fact, by zone and country."""
+    job = job_for(spark, SF_SMALL)
+    whole = {0: "AEST", 11: "NZST", 12: "UTC"}
+    tod = {(r["request_id"], r["time_zone_name"]): r["count"] for r in
+           job.scoped("placement_hour").groupBy("request_id", "time_zone_name").count().collect()}
+    for r in job.facts["placement_hour"].groupBy("time_zone_name").count().collect():
+        assert tod[next(k for k, z in whole.items() if z == r["time_zone_name"]), r["time_zone_name"]] == r["count"]
+    for fact in ("inventory", "system"):
+        n = {r["request_id"]: r["count"] for r in job.scoped(fact).groupBy("request_id").count().collect()}
+        assert all(n[k] == job.facts[fact].count() for k in whole)
+    geo = {(r["request_id"], r["de_country_name"]): r["count"] for r in
+           job.scoped("geo").groupBy("request_id", "de_country_name").count().collect()}
+    zones = {"australia": 0, "AU": 0, "Australia": 0, "new zealand": 11, "NZ": 11, "New Zealand": 11}
+    for r in job.facts["geo"].groupBy("de_country_name").count().collect():
+        if r["de_country_name"] in zones:
+            assert geo[zones[r["de_country_name"]], r["de_country_name"]] == r["count"]
+
+
+@pytest.mark.parametrize("name", SHEET_NAMES)
+def test_every_sheet_is_in_its_order(spark, name):
+    """``sheet`` (one order per sheet) agrees with the row numbers (one shared sort)."""
+    job = job_for(spark, SF_SMALL)
+    rows = [r.asDict() for r in job.sheet(name).collect()]
+    numbered = [r.asDict() for r in _numbered(spark) if r["sheet"] == name]
+    numbered.sort(key=lambda r: (r["request_id"], r["row_id"]))
+    assert rows and [{k: r[k] for k in rows[0]} for r in numbered] == rows
+
+
+_ROWS = []
+
+
+def _numbered(spark):
+    if not _ROWS:
+        _ROWS.extend(job_for(spark, SF_SMALL).report_long(row_ids=True).collect())
+    return _ROWS

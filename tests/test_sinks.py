@@ -2,10 +2,19 @@
 
 from __future__ import annotations
 
+import csv
+import os
 import tempfile
 
-from adinsight.plans.registry import job_for
-from tests.conftest import SF_SMALL
+import pytest
+
+from adinsight.plans.report import ReportJob
+from adinsight.schemas import REQUEST_RAW
+from adinsight.sources.requests import read_requests
+from testbed.fixtures import REQUEST_ROWS, request_table
+from testbed.projections import facts_from_testdata
+from testbed.registry import job_for
+from tests.conftest import SF_SMALL, request
 
 
 def test_write_report_manifest_and_claim(spark):
@@ -17,44 +26,110 @@ def test_write_report_manifest_and_claim(spark):
         "TOD_Weekday", "TOD_Weekend", "DOW", "Site_Domains", "Device_type", "Device_Os",
         "Browser", "Creative_Size", "City_Region", "Regions", "City_postal_code"}
     manifest = {r["request_id"]: r for r in spark.read.parquet(paths["manifest"]).collect()}
-    assert sorted(manifest) == [1, 2, 3, 4, 5, 6, 7, 11]
+    assert sorted(manifest) == [0, 1, 2, 3, 4, 5, 6, 7, 11, 12]
     assert manifest[7]["status"] == "invalid" and manifest[7]["report_rows"] == 0
     assert manifest[1]["report_name"] == "1,2_Report.xlsx"
+    assert manifest[6]["report_name"] == "1,1_Report.xlsx"  # a repeated id stays in the name
     assert manifest[1]["subject"] == "Automation of Standard Insights"
     assert ", From Date: 2024-01-03, To Date: 2024-01-25" in manifest[1]["body"]
     assert manifest[1]["report_rows"] == report.filter("request_id = 1").count()
     assert spark.read.parquet(manifest[1]["report_path"]).count() == manifest[1]["report_rows"]
     flags = {r["sheet_row"]: r["Insight_Flag"] for r in spark.read.parquet(paths["requests"]).collect()}
-    assert [flags[i] for i in (1, 2, 3, 4, 5, 6, 7, 11)] == ["No"] * 8
+    assert [flags[i] for i in (0, 1, 2, 3, 4, 5, 6, 7, 11, 12)] == ["No"] * 10
     assert flags[9] == "yes"
 
 
-def test_command_line_on_test_tables(spark, tmp_path):
-    import csv
+@pytest.fixture(scope="module")
+def fact_paths(spark, tmp_path_factory):
+    from adinsight.sources.facts import write_fact
+    base = tmp_path_factory.mktemp("facts")
+    out = []
+    for name, df in facts_from_testdata(spark, SF_SMALL).items():
+        write_fact(df, name, str(base / name))
+        out += [f"--{name.replace('_', '-')}", str(base / name)]
+    return out
 
-    from adinsight.__main__ import main
-    from adinsight.schemas import REQUEST_RAW
-    from adinsight.sources.fixtures import REQUEST_ROWS
-    req = tmp_path / "requests.csv"
-    with open(req, "w", newline="") as f:
+
+def _requests_csv(path, rows):
+    with open(path, "w", newline="") as f:
         w = csv.writer(f)
         w.writerow(REQUEST_RAW.fieldNames())
-        for r in REQUEST_ROWS[:3]:
-            w.writerow(["" if v is None else v for v in r])
-    paths = main(["--requests", str(req), "--testdata", SF_SMALL, "--out", str(tmp_path / "out"),
-                  "--first-only", "--csv-sheets"])
+        w.writerows(["" if v is None else v for v in r] for r in rows)
+    return str(path)
+
+
+def test_runs_follow_each_other_without_loss(spark, tmp_path, fact_paths):
+    """Each run serves the next request from the table the last one wrote; nothing written is lost."""
+    from adinsight.__main__ import main
+    out = str(tmp_path / "out")
+    source = _requests_csv(tmp_path / "requests.csv", REQUEST_ROWS[1:4])
+    runs = []
+    for _ in range(3):
+        runs.append(main(["--requests", source, "--out", out, "--first-only", *fact_paths]))
+        source = f"{out}/requests"
+    served = [[r["request_id"] for r in spark.read.parquet(p["manifest"]).collect()] for p in runs]
+    assert served == [[1], [2], [3]]
+    for p, (rid,) in zip(runs, served):  # the earlier reports and tables are all there
+        assert {r["request_id"] for r in spark.read.parquet(p["report"]).select("request_id").distinct().collect()} == {rid}
+        assert spark.read.parquet(p["requests"]).count() == 3
+    assert spark.read.parquet(f"{out}/manifest").count() == 3
+    flags = [{r["sheet_row"]: r["Insight_Flag"] for r in spark.read.parquet(p["requests"]).collect()} for p in runs]
+    assert flags == [{1: "No", 2: "Yes", 3: "Yes"}, {1: "No", 2: "No", 3: "Yes"}, {1: "No", 2: "No", 3: "No"}]
+    last = main(["--requests", source, "--out", out, *fact_paths])  # nothing left to serve
+    assert spark.read.parquet(last["manifest"]).count() == 0
+
+
+def test_csv_sheets(spark, tmp_path, fact_paths):
+    from adinsight.__main__ import main
+    paths = main(["--requests", _requests_csv(tmp_path / "requests.csv", REQUEST_ROWS[1:4]), "--out",
+                  str(tmp_path / "out"), "--first-only", "--csv-sheets", *fact_paths])
     dow = spark.read.option("header", True).csv(paths["sheet:DOW"])
     assert dow.columns[:2] == ["row_id", "day_name"] and "request_id" in dow.columns
     assert sorted(int(r["row_id"]) for r in dow.collect()) == list(range(1, dow.count() + 1))
-    served = [r["request_id"] for r in spark.read.parquet(paths["manifest"]).collect()]
-    assert served == [1]
+
+
+def test_a_flag_changed_while_the_job_runs_is_not_claimed(spark, tmp_path):
+    def put(rows, mode):
+        request_table(spark, rows).write.mode(mode).parquet(str(tmp_path / "table"))
+
+    rows = [request(row=1, advertiser="1"), request(row=2, advertiser="2", flag="No")]
+    put(rows, "errorifexists")
+    job = ReportJob(spark, facts_from_testdata(spark, SF_SMALL), spark.read.parquet(str(tmp_path / "table")))
+    job.shared_extracts
+    put([rows[0], request(row=2, advertiser="2", flag="Yes")], "overwrite")
+    paths = job.write(str(tmp_path / "out"))
+    assert [r["request_id"] for r in spark.read.parquet(paths["manifest"]).collect()] == [1]
     flags = {r["sheet_row"]: r["Insight_Flag"] for r in spark.read.parquet(paths["requests"]).collect()}
+    assert flags == {1: "No", 2: "No"}  # as it stood when the job read it
+
+
+def test_a_failed_write_leaves_everything_as_it_was(spark, tmp_path, monkeypatch):
+    out = str(tmp_path / "out")
+    facts = facts_from_testdata(spark, SF_SMALL)
+    ReportJob(spark, facts, request_table(spark, REQUEST_ROWS[1:4]), first_only=True).write(out, run_id="a")
+    before = {str(p): p.stat().st_mtime_ns for p in (tmp_path / "out").rglob("*") if p.is_file()}
+
+    def fail(*_):
+        raise RuntimeError("mail table")
+
+    monkeypatch.setattr(ReportJob, "delivery_manifest", fail)
+    job = ReportJob(spark, facts, read_requests(spark, f"{out}/requests"), first_only=True)
+    with pytest.raises(RuntimeError):
+        job.write(out, run_id="b")
+    assert all(os.stat(p).st_mtime_ns == t for p, t in before.items())
+    # The request is still pending in the latest complete version.
+    flags = {r["sheet_row"]: r["Insight_Flag"] for r in read_requests(spark, f"{out}/requests").collect()}
     assert flags == {1: "No", 2: "Yes", 3: "Yes"}
+    # A run never writes over another.
+    monkeypatch.undo()
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+        ReportJob(spark, facts, request_table(spark, REQUEST_ROWS[1:4]), first_only=True).write(out, run_id="a")
 
 
 def test_read_fact_from_catalog_table(spark):
     from adinsight.schemas import FACT_SCHEMAS
-    from adinsight.sources.facts import fact_from_testdata, read_fact
+    from adinsight.sources.facts import read_fact
+    from testbed.projections import fact_from_testdata
     fact_from_testdata(spark, "inventory", SF_SMALL).createOrReplaceTempView("inv_fact")
     df = read_fact(spark, "inventory", "table:inv_fact")
     assert df.schema.fieldNames() == FACT_SCHEMAS["inventory"].fieldNames()
@@ -62,9 +137,6 @@ def test_read_fact_from_catalog_table(spark):
 
 
 def test_no_pending_requests_gives_empty_outputs(spark, tmp_path):
-    from adinsight.plans.report import ReportJob
-    from adinsight.sources.facts import facts_from_testdata
-    from adinsight.sources.fixtures import REQUEST_ROWS, request_table
     idle = [r for r in REQUEST_ROWS if r[8] is None or "Yes" not in r[8]]
     job = ReportJob(spark, facts_from_testdata(spark, SF_SMALL), request_table(spark, idle))
     assert job.report_long().count() == 0
