@@ -32,6 +32,20 @@ def encoding(ranks_path: str) -> tiktoken.Encoding:
     return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
+class _Places(dict):
+    """Piece to its place; a piece not met before gets the next one and is noted in ``new``."""
+
+    def __init__(self, kept: list[str]):
+        super().__init__(zip(kept, range(len(kept))))
+        self.next, self.new = len(kept), []
+
+    def __missing__(self, piece: str) -> int:
+        at = self[piece] = self.next
+        self.next += 1
+        self.new.append(piece)
+        return at
+
+
 class PieceEncoder:
     def __init__(self, ranks_path: str):
         self.encoding = encoding(ranks_path)
@@ -42,7 +56,7 @@ class PieceEncoder:
         self._clear()
 
     def _clear(self) -> None:
-        self.place: dict[str, int] = {}
+        self.place = _Places([])
         self.starts = self.lengths = self.ids = self.hits = np.empty(0, np.int64)
 
     def _forget(self) -> None:
@@ -52,14 +66,14 @@ class PieceEncoder:
         lengths, ids = self.lengths[at], self._gather(at)
         self._clear()
         if len(ids) <= MEMO_IDS // 2:
-            self._add(kept, lengths, ids)
+            self.place = _Places(kept)
+            self._add(lengths, ids)
 
-    def _add(self, keys: list[str], lengths: np.ndarray, ids: np.ndarray) -> None:
-        self.place.update(zip(keys, range(len(self.lengths), len(self.lengths) + len(keys))))
+    def _add(self, lengths: np.ndarray, ids: np.ndarray) -> None:
         self.ids = np.concatenate([self.ids, ids])
         self.lengths = np.concatenate([self.lengths, lengths])
         self.starts = np.cumsum(self.lengths) - self.lengths
-        self.hits = np.concatenate([self.hits, np.zeros(len(keys), np.int64)])
+        self.hits = np.concatenate([self.hits, np.zeros(len(lengths), np.int64)])
 
     def _gather(self, at: np.ndarray) -> np.ndarray:
         """Ids of the pieces at the places ``at``, one after the other."""
@@ -71,40 +85,40 @@ class PieceEncoder:
         return self.encoding.encode_ordinary(text)
 
     def _learn(self, keys: list[str]) -> None:
-        """Add ``keys``: a piece, which follows a blank, or a piece and a blank, which begins a text."""
-        joined = [k for k in keys if k and k.strip() == k]
-        single = [k for k in keys if not k or k.strip() != k]
+        """Ids of ``keys`` in order: a piece, which follows a blank, or a piece and a blank, which begins a text."""
+        plain = np.array([bool(k) and k.strip() == k for k in keys])
+        joined = [k for k, p in zip(keys, plain) if p]
         ids = np.array(self._encode(" " + " ".join(joined) if joined else ""), np.int64)
         # Tokens do not cross pieces here, so byte lengths tell where each ends.
         size = np.fromiter(map(len, map(str.encode, joined)), np.int64, len(joined)) + 1
         ends = np.searchsorted(np.cumsum(self.width[ids]), np.cumsum(size)) + 1
-        lengths = np.diff(np.r_[0, ends]) if joined else np.empty(0, np.int64)
-        more = [self._encode(k[:-1] if k.endswith(" ") else " " + k) for k in single]
-        self._add(joined + single, np.concatenate([lengths, np.array([len(x) for x in more], np.int64)]),
-                  np.concatenate([ids, np.array([i for x in more for i in x], np.int64)]))
+        more = [self._encode(k[:-1] if k.endswith(" ") else " " + k) for k, p in zip(keys, plain) if not p]
+        lengths = np.empty(len(keys), np.int64)
+        lengths[plain] = np.diff(np.r_[0, ends]) if joined else []
+        lengths[~plain] = [len(x) for x in more]
+        every = np.empty(int(lengths.sum()), np.int64)
+        of_plain = np.repeat(plain, lengths)
+        every[of_plain], every[~of_plain] = ids, [i for x in more for i in x]
+        self._add(lengths, every)
 
     def _places(self, texts: list[str | None]) -> Iterator[tuple[str, np.ndarray | None]]:
         """Each text and the places of its pieces in the memory; None where it must be encoded whole."""
         if len(self.place) > MEMO_PIECES or len(self.ids) > MEMO_IDS:
             self._forget()
-        pieces: list[list[str] | None] = []
-        new = set()
+        get, places = self.place.__getitem__, []
         for t in texts:
             if t and _TIED.search(t):
-                pieces.append(None)
+                places.append(None)
                 continue
             p = t.split(" ") if t else []
             if p:
                 p[0] += " "
-            pieces.append(p)
-            new.update(p)
-        new = list(new.difference(self.place))
+            places.append(np.fromiter(map(get, p), np.int64, len(p)))
+        new, self.place.new = self.place.new, []
         if new:
             self._learn(new)
-        get = self.place.__getitem__
-        for t, p in zip(texts, pieces):
-            at = None if p is None else np.fromiter(map(get, p), np.int64, len(p))
-            if p:
+        for t, at in zip(texts, places):
+            if at is not None:
                 self.hits[at] += 1  # once a text
             yield t or "", at
         for k in new:
