@@ -273,8 +273,9 @@ def one_of_each(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> DataFra
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), key.alias("key"))
     each = cut(fingerprints(docs, shingle, keyed=True))
     groups = components_of(each, max_bits)
-    kept = (each.join(groups, "fp").groupBy("root").agg(F.min(F.struct("no_id", F.col("doc_id").alias("id"), "text"))
-                                                       .alias("key")).select("key"))
+    # One key per fingerprint first: copies collapse before they are shuffled.
+    least = each.groupBy("fp").agg(F.min(F.struct("no_id", F.col("doc_id").alias("id"), "text")).alias("key"))
+    kept = least.join(groups, "fp").groupBy("root").agg(F.min("key").alias("key")).select("key")
     # A key stands for one row unless rows are equal in it; one of those stays.
     return (rows.join(kept.withColumnRenamed("key", "kept"), rows["key"] == F.col("kept"), "left_semi")
             .dropDuplicates(["key"]).select("row.*"))
