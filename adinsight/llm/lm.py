@@ -15,10 +15,8 @@ class's counts, which leaves room for unseen words, so the probabilities of all
 words sum to one.  Output biases begin at the corpus frequencies.
 
 Training.  Weights are fitted by truncated backpropagation (windows of
-``STEPS`` words, state carried on) on the training documents whose id hashes to
-the round's share, one part in ``SHARE`` of them for each of ``ROUNDS`` rounds
-and whole texts.  So the work follows the input; it is a share because every
-word is scored and counted, but a gradient costs several times a score.  In a
+``TRAIN_STEPS`` words, state carried on) on all training documents, whole texts.
+A hash deals them to ``ROUNDS`` rounds, so each is read in exactly one.  In a
 round each partition trains its own copy from the shared weights, and the copies
 are averaged, weighted by their words, in groups of ``AVERAGED``.
 
@@ -54,7 +52,7 @@ HEAD, MEMBERS, TAILS = 2048, 64, 64
 HIDDEN = 24
 LANES, STEPS = 256, 64
 TRAIN_LANES, TRAIN_STEPS = 64, 32
-SHARE, ROUNDS = 16, 2
+ROUNDS = 2
 RATE = 0.05
 AVERAGED = 64
 LOG10 = float(np.log(10.0))
@@ -303,14 +301,22 @@ class Gru:
 
 
 def streams_of(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Documents end to end, cut into ``TRAIN_LANES`` equal streams; where documents start."""
+    """Documents end to end, cut into ``TRAIN_LANES`` equal streams; where documents start.
+
+    When the words do not divide evenly, neighbouring streams share a word, so none is left out.
+    """
     ids = np.concatenate(texts)
     start = np.zeros(len(ids), bool)
     start[np.cumsum([0, *(len(x) for x in texts[:-1])])] = True
     lanes = min(TRAIN_LANES, len(ids))
-    steps = len(ids) // lanes
-    return (np.ascontiguousarray(ids[:steps * lanes].reshape(lanes, steps).T),
-            np.ascontiguousarray(start[:steps * lanes].reshape(lanes, steps).T))
+    steps = -(-len(ids) // lanes)
+    at = np.arange(lanes) * (len(ids) - steps) // max(lanes - 1, 1) + np.arange(steps)[:, None]
+    return ids[at], start[at]
+
+
+def in_round(docs: DataFrame, k: int) -> DataFrame:
+    """The training documents of round ``k``; each is in one of the ``ROUNDS`` rounds."""
+    return docs.filter("train").filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(ROUNDS)) == k)
 
 
 def averaged(copies: DataFrame) -> np.ndarray | None:
@@ -356,8 +362,7 @@ def fit(docs: DataFrame, vocabulary: Vocabulary) -> np.ndarray:
                     [pa.array([TaskContext.get().partitionId()], pa.int64()), pa.array([words + size], pa.int64()),
                      pa.array([model.flat().tobytes()], pa.binary())], ["place", "words", "weights"])
 
-        part = docs.filter("train").filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(SHARE)) == k)
-        mean = averaged(cut(part.select("text").mapInArrow(train, "place long, words long, weights binary")))
+        mean = averaged(cut(in_round(docs, k).select("text").mapInArrow(train, "place long, words long, weights binary")))
         weights = weights if mean is None else mean
     return weights
 

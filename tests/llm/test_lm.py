@@ -66,6 +66,25 @@ def test_model_beats_the_base_score_on_held_out_texts(spark):
     assert sum(r.score > r.base_score for r in got) > 0.7 * len(got)
 
 
+def test_every_training_document_gives_a_gradient(spark):
+    """Also alone in its table; and each is in one round."""
+    v = vocabulary()
+    docs = spark.createDataFrame([(i, f"text number {i} of a few", i != 3) for i in range(6)], "doc_id long, text string, train boolean")
+    rounds = [r.doc_id for k in range(M.ROUNDS) for r in M.in_round(docs, k).collect()]
+    assert sorted(rounds) == [0, 1, 2, 4, 5]
+    for i in range(6):
+        assert (M.fit(docs.filter(F.col("doc_id") == i), v) != M.Gru(v).flat()).any() == (i != 3)
+
+
+def test_streams_hold_every_word():
+    for sizes in ([1], [3, 60], [65], [100, 27], [640], [500, 1, 210]):
+        n = sum(sizes)
+        texts = np.split(np.arange(n), np.cumsum(sizes)[:-1])
+        ids, start = M.streams_of(texts)
+        assert set(ids.ravel()) == set(range(n)) and ids.size < n + M.TRAIN_LANES
+        assert (np.diff(ids, axis=0) == 1).all() and set(ids[start]) == {x[0] for x in texts}
+
+
 def vocabulary():
     rng = np.random.default_rng(3)
     keys = rng.choice(1 << 40, 300, replace=False).astype(np.uint64)
