@@ -112,15 +112,17 @@ def leaks(docs: DataFrame, benchmark: DataFrame, min_coverage: float = MIN_COVER
     def item_seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ids, texts = b["item_id"].to_pylist(), b["item"].to_pylist()
-            each = [np.unique(seeds(t)) for t in texts]
+            each = [np.unique(seeds(t), return_counts=True) for t in texts]
             n = [len(plain_words(t)) for t in texts]
-            rep = np.repeat(np.arange(len(ids)), [len(s) for s in each])
+            rep = np.repeat(np.arange(len(ids)), [len(s) for s, _ in each])
             yield pa.RecordBatch.from_arrays(
                 [pa.array([ids[i] for i in rep], pa.int64()), pa.array([n[i] for i in rep], pa.int64()),
-                 pa.array(np.concatenate(each) if each else np.empty(0, np.int64), pa.int64())],
-                ["item_id", "item_words", "seed"])
+                 pa.array(np.concatenate([s for s, _ in each]) if each else np.empty(0, np.int64), pa.int64()),
+                 pa.array(np.concatenate([k for _, k in each]) if each else np.empty(0, np.int64), pa.int64())],
+                ["item_id", "item_words", "seed", "times"])
 
-    of_items = cut(items.filter("item_id IS NOT NULL").mapInArrow(item_seeds, "item_id long, item_words long, seed long"))
+    of_items = cut(items.filter("item_id IS NOT NULL").mapInArrow(
+        item_seeds, "item_id long, item_words long, seed long, times long"))
     power = min(MAX_BITMAP_BITS, max(MIN_BITMAP_BITS, (16 * of_items.count()).bit_length()))
     # The bitmap is made by Spark, 4 KB a block, and is at most 2**MAX_BITMAP_BITS bits.
     low = F.lit((1 << power) - 1)
@@ -152,11 +154,12 @@ def leaks(docs: DataFrame, benchmark: DataFrame, min_coverage: float = MIN_COVER
     near = cut(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
                .mapInArrow(survivors, "doc_id long, text string, seeds array<long>")
                .withColumn("row", F.monotonically_increasing_id()))
-    # A tile of SEED words has one seed and each further word adds one, so this
-    # many shared seeds are the least that can cover the threshold.
+    # A tile of SEED words begins at one place of the item with a shared seed and
+    # each further word adds one, so this many such places are the least that can
+    # cover the threshold.  A seed counts as often as the item has it.
     least = F.ceil(F.ceil(F.col("item_words") * min_coverage - 1e-9) / SEED)
     pairs = (near.select("row", F.explode("seeds").alias("seed")).join(of_items, "seed")
-             .groupBy("row", "item_id", "item_words").agg(F.count(F.lit(1)).alias("n"))
+             .groupBy("row", "item_id", "item_words").agg(F.sum("times").alias("n"))
              .filter(F.col("n") >= least).select("row", "item_id"))
     both = pairs.join(near.select("row", "doc_id", "text"), "row").join(items, "item_id")
 

@@ -85,6 +85,18 @@ def test_equals_brute_force_on_documents(spark):
     assert found(docs, bench) == brute(docs.collect(), bench.collect())
 
 
+def test_items_of_repeated_lines(spark):
+    line, long = prose(90, 7), prose(91, 12)
+    items = [(1, " ".join([line] * 10)), (2, "same " * 70), (3, " ".join([long] * 20)), (4, " ".join([line] * 8))]
+    around = lambda k, t: " ".join([prose(92 + k, 20), t, prose(99 + k, 20)])
+    docs = spark.createDataFrame([*((k, around(k, t)) for k, t in items), (5, around(5, line)), (6, around(6, "same " * 30))],
+                                 "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = found(docs, bench)
+    assert {(1, 1, 1.0), (2, 2, 1.0), (3, 3, 1.0)} <= got
+    assert got == brute(docs.collect(), bench.collect())
+
+
 def test_a_full_bitmap_changes_nothing(spark, monkeypatch):
     docs, bench = table(spark, SF_SMALL, "documents"), table(spark, SF_SMALL, "benchmark")
     want = found(docs, bench)
