@@ -32,8 +32,10 @@ END_ID = 0
 SHARD_BYTES = 4_000_000
 #: Numbers that terms are hashed to, and those in one row of the summed counts.
 TERMS, BLOCK = 1 << 18, 1 << 12
-#: The terms of a seed with the highest weights make up its query.
-QUERY_TERMS = 24
+#: Terms of a seed that make up its query, as the end of a slice: all of them.
+QUERY_TERMS = None
+#: A term in one document of a shard in so many, or more, has a row of weights.
+ROW_SHARE = 8
 #: Texts whose terms are counted at once.
 TEXTS_AT_ONCE = 500
 #: Texts are encoded this many characters at a time.
@@ -91,25 +93,31 @@ class ShardIndex:
         doc, term, f = terms(texts)
         n = np.bincount(doc, minlength=len(texts))
         norm = K1 * (1 - B + B * np.bincount(doc, f, len(texts)) / max(mean, 1e-9))
-        weight = (idf[term] * f * (K1 + 1) / (f + norm[doc])).astype(np.float32)
-        # A document's query: its terms with the highest weights.
-        order = np.lexsort((term, -weight, doc))
-        rank = np.arange(len(doc)) - np.repeat(np.cumsum(n) - n, n)
-        chosen = order[rank < QUERY_TERMS]
-        self.query = np.split(term[chosen], np.cumsum(np.minimum(n, QUERY_TERMS))[:-1])
-        by_term = np.argsort(term, kind="stable")
+        weight = idf[term].astype(np.float64) * f * (K1 + 1) / (f + norm[doc])
+        place = np.unique(term, return_inverse=True)[1]
+        # A document's query: all its distinct terms.
+        self.query = [q[:QUERY_TERMS] for q in np.split(place, np.cumsum(n)[:-1])]
+        by_term = np.argsort(place, kind="stable")
         self.doc, self.weight = doc[by_term], weight[by_term]
-        term = term[by_term]
-        self.names, self.first = np.unique(term, return_index=True)
-        self.last = np.r_[self.first[1:], len(term)]
+        self.df = np.bincount(place)
+        self.first = np.cumsum(self.df) - self.df
+        # Frequent terms have a row each, at most ROW_SHARE times their entries.
+        frequent = self.df * ROW_SHARE >= len(texts)
+        self.row = np.where(frequent, np.cumsum(frequent) - 1, -1)
+        self.rows = np.zeros((int(frequent.sum()), len(texts)))
+        own = frequent[place]
+        self.rows[self.row[place[own]], doc[own]] = weight[own]
         self.unused = np.ones(len(texts), bool)
 
     def neighbours(self, seed: int) -> np.ndarray:
-        """Unused documents that share a query term with ``seed``, best first."""
-        score = np.zeros(len(self.unused), np.float32)
-        for k in np.searchsorted(self.names, self.query[seed]):
-            a, z = self.first[k], self.last[k]
-            score[self.doc[a:z]] += self.weight[a:z]
+        """Unused documents that share a term with ``seed``, best first."""
+        k = self.query[seed]
+        row = self.row[k]
+        score = self.rows[row[row >= 0]].sum(0)
+        k = k[row < 0]
+        df = self.df[k]
+        at = np.repeat(self.first[k] - (np.cumsum(df) - df), df) + np.arange(df.sum())
+        score += np.bincount(self.doc[at], self.weight[at], minlength=len(score))
         found = np.flatnonzero((score > 0) & self.unused)
         return found[np.argsort(-score[found], kind="stable")]
 
@@ -158,7 +166,7 @@ def pack(docs: DataFrame, ranks_path: str, window: int = WINDOW) -> DataFrame:
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     df, n_docs, mean = corpus_counts(texts)
-    idf = np.log1p((n_docs - df + 0.5) / (df + 0.5)).astype(np.float32)
+    idf = np.log1p((n_docs - df + 0.5) / (df + 0.5))
     shared = docs.sparkSession.sparkContext.broadcast((idf, mean))  # TERMS numbers, whatever the input
     shards = parts(text_bytes(texts), SHARD_BYTES)
 

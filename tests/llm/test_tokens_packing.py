@@ -114,6 +114,24 @@ def test_neighbours_are_the_best_by_bm25_and_unused(sample_docs):
         assert all(score[a] >= score[b] - 1e-3 for a, b in zip(got, got[1:]))
 
 
+def test_neighbours_by_every_term_of_the_seed(sample_docs):
+    texts = [" ".join([*(f"rare{k}" for k in range(60)), "shared"]), "shared", "rare59 shared", "", "alone", "rare3 " * 3,
+             *(r.text for r in sample_docs.limit(60).collect())]
+    idf = np.random.default_rng(4).uniform(0.5, 9, P.TERMS)
+    idf[P.terms(["shared"])[1]] = 0.01  # last of the seed's terms by weight
+    index = P.ShardIndex(texts, idf, 90.0)
+    docs = [dict(zip(*(x.tolist() for x in P.terms([t])[1:]))) for t in texts]
+    for seed in (0, 2, 3, 7, 30):
+        score = {}
+        for d, own in enumerate(docs):
+            norm = P.K1 * (1 - P.B + P.B * sum(own.values()) / 90.0)
+            score[d] = sum(idf[t] * own[t] * (P.K1 + 1) / (own[t] + norm) for t in docs[seed] if t in own)
+        got = index.neighbours(seed).tolist()
+        assert set(got) == {d for d, s in score.items() if s > 0}
+        assert all(score[a] >= score[b] - 1e-9 for a, b in zip(got, got[1:]))
+    assert {0, 1, 2, 5} <= set(index.neighbours(0).tolist())
+
+
 def test_a_window_holds_the_seeds_neighbours(spark):
     """Two topics in one shard: windows do not mix them before they must."""
     docs = [(i, " ".join(f"{'red' if i % 2 else 'blue'}{(i * 7 + k) % 9}" for k in range(30))) for i in range(40)]
