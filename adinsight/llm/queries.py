@@ -7,13 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adinsight.llm import toxicity
+from adinsight.llm import merkle, minhash, toxicity
 from adinsight.llm.chat_format import format_chats, read_back
 from adinsight.llm.common import crc_fold, table
 from adinsight.llm.decontaminate import leaks
 from adinsight.llm.line_dedup import BLANKS, MIN_SITES, remove_spread_lines
 from adinsight.llm.lm import score_texts
+from adinsight.llm.oracles import OP11_SQL, OP12_SQL, OP13_SQL
 from adinsight.llm.packing import pack
+from adinsight.llm.periodic_runs import periodic_runs, planted, strongest
 from adinsight.llm.quality_rules import judged, labelled_rows, learn
 from adinsight.llm.simhash import near_duplicates
 from adinsight.llm.substring_dedup import remove_repeats
@@ -134,6 +136,25 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = periodic_runs(planted(table(spark, sf_dir, "documents"))).withColumn("best", strongest(F.col("runs")))
+    listed = F.array_join(F.transform("runs", lambda r: F.concat_ws(
+        ",", r["start"].cast("string"), r["length"].cast("string"), F.concat(r["period"].cast("string"), F.lit("\n")))), "")
+    return out.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("(1000 * best.length) div best.period").alias("exponent_milli"),
+        F.sha2(listed.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("kept_text").cast("binary"), 256).alias("collapsed_sha256"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(table(spark, sf_dir, "documents"))
+
+
+def op13_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, percent=85)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_toxicity": op1_toxicity,
@@ -146,8 +167,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_chat_formatting": op8_chat_formatting,
         "op9_simhash_near_dedup": op9_simhash_near_dedup,
         "op10_quality_rules": op10_quality_rules,
+        "op11_periodic_runs": op11_periodic_runs,
+        "op12_merkle_manifest": op12_merkle_manifest,
+        "op13_minhash_near_dedup": op13_minhash_near_dedup,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_line_dedup": OP3_SQL, "op8_chat_formatting": OP8_SQL}
+    return {"op3_line_dedup": OP3_SQL, "op8_chat_formatting": OP8_SQL, "op11_periodic_runs": OP11_SQL,
+            "op12_merkle_manifest": OP12_SQL, "op13_minhash_near_dedup": OP13_SQL}
