@@ -39,10 +39,6 @@ def complete_cases(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.na.drop(how="any", subset=list(columns))
 
 
-def extract(scoped: DataFrame, keys: Sequence[str], carry: Sequence[str] = ()) -> DataFrame:
-    return complete_cases(aggregate(scoped, keys, carry), [*keys, *MEASURES])
-
-
 def roll_up(raw: DataFrame, keys: Sequence[str], carry: Sequence[str] = ()) -> DataFrame:
     """The raw extract at ``keys`` from the raw aggregate of a finer grain.
 

@@ -16,13 +16,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from adinsight.operators.snapshot import snapshot
+from adinsight.operators.snapshot import Scratch, snapshot
 
 _LOW_BITS = (1 << 33) - 1
 
 
 def number_rows(df: DataFrame, group_cols: Sequence[str], order: Sequence[Column],
-                name: str = "row_id") -> DataFrame:
+                name: str = "row_id", scratch: Scratch | None = None) -> DataFrame:
     """Add ``name`` = 1..n within each ``group_cols`` group following ``order``.
 
     ``order`` must be total within a group (ties would make numbers
@@ -33,7 +33,7 @@ def number_rows(df: DataFrame, group_cols: Sequence[str], order: Sequence[Column
     ordered = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
     pos = ordered.withColumn("_mid", F.monotonically_increasing_id())
     pos = snapshot(pos.withColumn("_pid", F.shiftright("_mid", 33))
-                   .withColumn("_idx", F.col("_mid").bitwiseAND(F.lit(_LOW_BITS))))
+                   .withColumn("_idx", F.col("_mid").bitwiseAND(F.lit(_LOW_BITS))), scratch)
     spans = pos.groupBy(*group_cols, "_pid").agg(
         F.min("_idx").alias("_first"), F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*group_cols).orderBy("_pid") \

@@ -12,7 +12,7 @@ are shuffled, and every share joins its scope's totals.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adinsight.functions.columns import size_label
@@ -50,52 +50,36 @@ SHEET_DIMS = {
 }
 
 
-def sheet_order(name: str) -> list[Column]:
-    """Row order within one request's sheet (all orders are total)."""
-    _SHARE = F.col("Percentage_Impression_share").desc()
-    return {
-        "TOD_Weekday": [F.col("day_hour")],
-        "TOD_Weekend": [F.col("day_hour")],
-        "DOW": [F.col("_day_order")],
-        "Site_Domains": [_SHARE, F.col("site_domain")],
-        "Device_type": [F.col("device_types")],
-        "Device_Os": [F.col("device_types"), F.col("os_name")],
-        "Browser": [F.col("device_types"), F.col("browser_name")],
-        "Creative_Size": [F.col("_width"), F.col("_height")],
-        "City_Region": [_SHARE, F.col("city"), F.col("regions"), F.col("region_code")],
-        "Regions": [F.col("region_code")],
-        "City_postal_code": [_SHARE, F.col("city"), F.col("regions"),
-                             F.col("region_code"), F.col("postal_code")],
-    }[name]
+# The order of every sheet, once: ascending keys, numbers before texts.  Shares
+# sort descending through their negative.
+_SHARE_DOWN = "-Percentage_Impression_share"
+SHEET_ORDERS: dict[str, tuple[list[str], list[str]]] = {
+    "TOD_Weekday": (["day_hour"], []),
+    "TOD_Weekend": (["day_hour"], []),
+    "DOW": (["_day_order"], []),
+    "Site_Domains": ([_SHARE_DOWN], ["site_domain"]),
+    "Device_type": ([], ["device_types"]),
+    "Device_Os": ([], ["device_types", "os_name"]),
+    "Browser": ([], ["device_types", "browser_name"]),
+    "Creative_Size": (["_width", "_height"], []),
+    "City_Region": ([_SHARE_DOWN], ["city", "regions", "region_code"]),
+    "Regions": ([], ["region_code"]),
+    "City_postal_code": ([_SHARE_DOWN], ["city", "regions", "region_code", "postal_code"]),
+}
+_NUMBERS, _TEXTS = 2, 4  # the most of either kind that any sheet has
+SORT_COLUMNS = [f"_o{i + 1}" for i in range(_NUMBERS + _TEXTS)]
 
 
 def sort_keys(name: str) -> list[str]:
-    """The sheet order as SQL expressions over six shared sort columns
-    (two numeric, four text; all ascending), so every sheet of a report can
-    be numbered in one sort.  Shares sort descending through negation."""
-    neg = "-Percentage_Impression_share"
-    spec = {
-        "TOD_Weekday": ["day_hour"],
-        "TOD_Weekend": ["day_hour"],
-        "DOW": ["_day_order"],
-        "Site_Domains": [neg, None, "site_domain"],
-        "Device_type": [None, None, "device_types"],
-        "Device_Os": [None, None, "device_types", "os_name"],
-        "Browser": [None, None, "device_types", "browser_name"],
-        "Creative_Size": ["_width", "_height"],
-        "City_Region": [neg, None, "city", "regions", "region_code"],
-        "Regions": [None, None, "region_code"],
-        "City_postal_code": [neg, None, "city", "regions", "region_code", "postal_code"],
-    }[name]
-    spec = spec + [None] * (6 - len(spec))
-    out = []
-    for i, e in enumerate(spec):
-        t = "double" if i < 2 else "string"
-        out.append(f"CAST({e or 'NULL'} AS {t}) AS _o{i + 1}")
-    return out
-
-
-SORT_COLUMNS = [f"_o{i}" for i in range(1, 7)]
+    """The sheet's order as SQL expressions of the shared ``SORT_COLUMNS`` (unused ones null).
+
+    Every sheet of a report can thus be numbered in one sort by ranges of the
+    same columns that ``finish`` orders a single sheet by.
+    """
+    numbers, texts = SHEET_ORDERS[name]
+    slots = [(numbers[i] if i < len(numbers) else "NULL", "double") for i in range(_NUMBERS)]
+    slots += [(texts[i] if i < len(texts) else "NULL", "string") for i in range(_TEXTS)]
+    return [f"CAST({e} AS {t}) AS {c}" for (e, t), c in zip(slots, SORT_COLUMNS)]
 
 
 def sheet_columns(name: str) -> list[str]:
@@ -105,7 +89,7 @@ def sheet_columns(name: str) -> list[str]:
 def finish(sheet: DataFrame, name: str, order: bool = True) -> DataFrame:
     """Order rows (request, then the sheet order) and drop helper columns."""
     if order:
-        sheet = sheet.orderBy(F.col("request_id"), *sheet_order(name))
+        sheet = sheet.selectExpr("*", *sort_keys(name)).orderBy("request_id", *SORT_COLUMNS)
     return sheet.select(*sheet_columns(name))
 
 

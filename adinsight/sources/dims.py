@@ -167,14 +167,6 @@ def _build_countries(spark: SparkSession) -> DataFrame:
     return local_table(spark, COUNTRIES, schema)
 
 
-def max_spellings_per_zone() -> int:
-    """Most country spellings any time zone has (bounds the geo key fan-out)."""
-    counts: dict[str, int] = {}
-    for tz, _ in COUNTRIES:
-        counts[tz] = counts.get(tz, 0) + 1
-    return max(counts.values())
-
-
 def region_codes(spark: SparkSession) -> DataFrame:
     return _cached(spark, "region_codes", lambda: _build_region_codes(spark))
 

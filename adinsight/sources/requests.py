@@ -11,30 +11,26 @@ from pyspark.sql import functions as F
 
 from adinsight import schemas
 from adinsight.functions.columns import id_list, missing_to_null
+from adinsight.operators.rownum import number_rows
 
 # The flag text that marks a pending request (substring,
 # case-sensitive) and the text written back once a request is served.
 PENDING_MARK = "Yes"
 CLAIMED_FLAG = "No"
 
-VERSION_PREFIX = "version="
-
 
 def read_requests(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
-    """The control table, columns found by name.
+    """A request table from outside, columns found by name.
 
-    A text table is read by its header: every column but ``sheet_row`` must be
-    there and no other may be.  Without ``sheet_row`` (an exported sheet) rows
-    are numbered in file order from 1, consecutively within each split of the
-    file.  A folder of versions, as ``ReportJob.write`` leaves it, is read at
-    its latest complete version.
+    A text table is read by its header, cells with line breaks included: every
+    column but ``sheet_row`` must be there and no other may be.  Without
+    ``sheet_row`` (an exported sheet) rows are numbered in file order from 1.
     """
-    latest = latest_version(spark, path)
-    if latest:
-        return spark.read.schema(schemas.REQUEST_RAW).parquet(latest)
     names = schemas.REQUEST_RAW.fieldNames()
     if fmt == "csv":
-        raw = spark.read.option("header", True).option("enforceSchema", False).csv(path)
+        # Line breaks in cells: a file is read in one piece, as a sheet's size allows.
+        raw = (spark.read.option("header", True).option("enforceSchema", False)
+               .option("multiLine", True).option("escape", '"').csv(path))
     else:
         raw = spark.read.format(fmt).load(path)
     unknown = [c for c in raw.columns if c not in names]
@@ -42,22 +38,11 @@ def read_requests(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame
     if unknown or missing:
         raise ValueError(f"request table {path}: unknown columns {unknown}, missing columns {missing}")
     if "sheet_row" not in raw.columns:
-        raw = raw.withColumn("sheet_row", F.monotonically_increasing_id() + 1)
+        raw = number_rows(raw.withColumn("_place", F.monotonically_increasing_id()).withColumn("_table", F.lit(0)),
+                          ["_table"], [F.col("_place")], "sheet_row")
     return raw.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schemas.REQUEST_RAW])
 
 
-def latest_version(spark: SparkSession, path: str) -> str | None:
-    """The greatest completely written ``version=`` folder below ``path``, if any."""
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(path)
-    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(folder) or not fs.getFileStatus(folder).isDirectory():
-        return None
-    found = [s.getPath() for s in fs.listStatus(folder) if s.getPath().getName().startswith(VERSION_PREFIX)
-             and fs.exists(jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS"))]
-    return max((p.toString() for p in found), default=None)
-
-
 def check_identity(raw: DataFrame) -> None:
     """Fail if a request has no ``sheet_row`` or shares it with another.
 
@@ -79,8 +64,8 @@ def parse_requests(raw: DataFrame) -> DataFrame:
     """Typed request rows.
 
     ``advertiser_ids`` etc. are distinct ``ARRAY<BIGINT>``; NULL means the
-    parameter was not given (no filter); ``advertiser_list`` keeps repeats, for
-    the report's name.  Dates are inclusive.  A request
+    parameter was not given (no filter); ``advertiser_list`` and the other
+    ``_list`` columns keep repeats, for the report's name and mail.  Dates are inclusive.  A request
     without a usable advertiser list or date range gets ``status = invalid``
     and matches no fact row.
     """
@@ -95,6 +80,9 @@ def parse_requests(raw: DataFrame) -> DataFrame:
         id_list("Conversion_Pixel_ID").alias("conv_pixel_ids"),
         id_list("Segment_Pixel_ID").alias("seg_pixel_ids"),
         id_list("Advertiser_ID", distinct=False).alias("advertiser_list"),
+        id_list("Insertion_Order_ID", distinct=False).alias("io_list"),
+        id_list("Conversion_Pixel_ID", distinct=False).alias("conv_pixel_list"),
+        id_list("Segment_Pixel_ID", distinct=False).alias("seg_pixel_list"),
         from_dt.alias("from_dt"),
         to_dt.alias("to_dt"),
         missing_to_null("Timezone").alias("timezone"),

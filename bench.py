@@ -80,6 +80,13 @@ def main() -> None:
             _run(job.report_long())
     times["serial_one_job_per_request"] = _timed(serial)
 
+    # Requests for the same rows: a fact is read and summed once for all of them.
+    whole = next(r for r in REQUEST_ROWS if r[0] == 0)
+    for n in (1, 10, 100):
+        rows = [(i, *whole[1:]) for i in range(n)]
+        times[f"equal_requests_{n}"] = _timed(
+            lambda rows=rows: _run(ReportJob(spark, facts, request_table(spark, rows)).sums("system", ["device_type", "os_name"])))
+
     n_rows = job_for(spark, sf_dir).report_long().agg(F.count(F.lit(1))).first()[0]
     sf = os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")
     print(json.dumps({

@@ -119,6 +119,9 @@ def _ctes() -> list[tuple[str, str]]:
         {_ids('Conversion_Pixel_ID')} AS conv_pixel_ids,
         {_ids('Segment_Pixel_ID')} AS seg_pixel_ids,
         {_ids('Advertiser_ID', distinct=False)} AS advertiser_list,
+        {_ids('Insertion_Order_ID', distinct=False)} AS io_list,
+        {_ids('Conversion_Pixel_ID', distinct=False)} AS conv_pixel_list,
+        {_ids('Segment_Pixel_ID', distinct=False)} AS seg_pixel_list,
         TRY_CAST({_text('"From_Date(YYYY-MM-DD)"')} AS DATE) AS from_dt,
         TRY_CAST({_text('"To_Date(YYYY-MM-DD)"')} AS DATE) AS to_dt,
         {_text('Timezone')} AS timezone,
@@ -264,14 +267,14 @@ def _manifest_body() -> str:
     ids = lambda c: f"array_to_string({c}, ',')"
     greeting = _lit(K.MAIL_GREETING).replace("\n", "' || chr(10) || '")
     return f"""SELECT s.request_id, s.to_email AS "to", {_lit(K.MAIL_SUBJECT)} AS subject,
-        {greeting} || COALESCE({ids('s.advertiser_ids')}, '')
-        || CASE WHEN s.io_ids IS NULL THEN '' ELSE {_lit(K.MAIL_IO)} || {ids('s.io_ids')} END
+        {greeting} || COALESCE({ids('s.advertiser_list')}, '')
+        || CASE WHEN s.io_ids IS NULL THEN '' ELSE {_lit(K.MAIL_IO)} || {ids('s.io_list')} END
         || {_lit(K.MAIL_FROM)} || COALESCE(CAST(s.from_dt AS VARCHAR), 'NA')
         || {_lit(K.MAIL_TO)} || COALESCE(CAST(s.to_dt AS VARCHAR), 'NA')
         || CASE WHEN s.conv_pixel_ids IS NULL THEN ''
-                ELSE {_lit(K.MAIL_CONV_PIXEL)} || {ids('s.conv_pixel_ids')} END
+                ELSE {_lit(K.MAIL_CONV_PIXEL)} || {ids('s.conv_pixel_list')} END
         || CASE WHEN s.seg_pixel_ids IS NULL THEN ''
-                ELSE {_lit(K.MAIL_SEG_PIXEL)} || {ids('s.seg_pixel_ids')} END
+                ELSE {_lit(K.MAIL_SEG_PIXEL)} || {ids('s.seg_pixel_list')} END
         AS body,
         COALESCE({ids('s.advertiser_list')}, '') || {_lit(K.REPORT_SUFFIX)} AS report_name,
         s.status, CAST(COALESCE(n.report_rows, 0) AS BIGINT) AS report_rows

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import re
 from datetime import date, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
-from adinsight.operators.scope import MAX_INTERVALS, merged, scan_bounds, scope
+from adinsight.operators.extract import measure_sums
+from adinsight.operators.scope import (
+    MAX_INTERVALS, calendar, candidates, merged, request_sums, scan_bounds, scope, segment_sums)
 from adinsight.plans.report import ReportJob
 from adinsight.plans.sheets import SHEET_NAMES
 from adinsight.sources import requests as R
@@ -14,7 +18,7 @@ from adinsight.sources.facts import read_fact, write_fact
 from testbed.fixtures import REQUEST_ROWS, request_table
 from testbed.projections import facts_from_testdata
 from testbed.registry import job_for
-from tests.conftest import SF_SMALL, request
+from tests.conftest import SF_SMALL, fact, request, sorted_rows
 
 
 def plan(df) -> str:
@@ -86,14 +90,159 @@ def test_many_keys_give_the_rows_of_few(spark, stored_system):
                                        io="|".join(["1", "2", "11", "12", *map(str, range(1000, 60_000))]),
                                        start="1995-01-01", end="2001-12-31")])
     want = sorted(map(repr, scope(stored_system, few).collect()))
-    assert want
+    sums = sorted(map(repr, request_sums(stored_system, few, ["os_name"]).collect()))
+    assert want and sums
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         p = plan(scope(stored_system, many))
         got = sorted(map(repr, scope(stored_system, many).collect()))
+        q = plan(request_sums(stored_system, many, ["os_name"]))
+        got_sums = sorted(map(repr, request_sums(stored_system, many, ["os_name"]).collect()))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert got == want and "BroadcastExchange" not in p and "NestedLoop" not in p
+    assert got == want and got_sums == sums
+    assert "BroadcastExchange" not in p + q and "NestedLoop" not in p + q
+
+
+def final_plan(df) -> str:
+    return plan(df).split("== Initial Plan ==")[0]
+
+
+def joins_on(spark, df, column):
+    """The joins of the final plan whose key is ``column``."""
+    df.collect()
+    return [x for x in final_plan(df).split("\n") if "Join [" in x and column in re.split("Inner|LeftOuter", x)[0]]
+
+
+def test_the_join_follows_the_counted_keys_at_the_default_threshold(spark, tmp_path):
+    """Three million ids are far under the threshold as compressed files, and far over it in memory."""
+    facts = fact(spark, "system", [{"advertiser_id": i, "insertion_order_id": i} for i in (1, 5, 10 ** 9)])
+    facts.write.parquet(str(tmp_path / "system"))
+    system = read_fact(spark, "system", str(tmp_path / "system"))
+    for n, kind in ((300, "Broadcast"), (3_000_000, "SortMerge")):
+        ids = "|".join(map(str, range(1, n + 1)))
+        job = ReportJob(spark, {"system": system}, request_table(spark, [request(advertiser=ids, io=ids)]))
+        bounds = job.bounds
+        assert bounds.n_keys == n and bounds.n_io == n
+        for df in (scope(system, job.requests, bounds=bounds), job.sums("system", ["os_name"])):
+            for column in ("r_advertiser_id", "v_block"):
+                (join,) = joins_on(spark, df, column)
+                assert f"{kind}" in join, join
+        assert scope(system, job.requests, bounds=bounds).count() == 2
+        assert job.sums("system", ["os_name"]).count() == 1
+
+
+def test_sparse_ids_pass_nothing_between_them(spark):
+    """Ids 1 and 10^9 span every row; the filter lets through theirs only."""
+    (one,) = fact(spark, "system", [{}]).drop("advertiser_id").collect()
+    ids = spark.range(1, 20_000).union(spark.createDataFrame([(10 ** 9,)], "id long"))
+    system = ids.select(F.col("id").alias("advertiser_id"), *[F.lit(v).alias(c) for c, v in one.asDict().items()])
+    bounds = scan_bounds(requests_of(spark, [request(advertiser=f"1|{10 ** 9}")]))
+    assert bounds.ids == (1, 10 ** 9) and system.filter(bounds.column()).count() == 20_000
+    passed = candidates(system, bounds, dates=False)
+    assert sorted(r["advertiser_id"] for r in passed.collect()) == [1, 10 ** 9]
+    p = plan(passed)
+    assert "BroadcastHashJoin" in p and "Exchange hashpartitioning(advertiser_id" not in p
+
+
+@pytest.mark.parametrize("ids", [list(range(-40, 5_000, 7)), [-(1 << 62), (1 << 62) + 1, 0, 63, 64, -1, -64]])
+def test_the_id_filter_loses_no_id(spark, ids):
+    system = spark.createDataFrame([(i, date(2024, 1, 1)) for i in ids], "advertiser_id long, dt date")
+    bounds = scan_bounds(requests_of(spark, [request(advertiser="|".join(map(str, ids)))]))
+    assert candidates(system, bounds, dates=False).count() == len(ids)
+
+
+def test_requests_on_scattered_days_read_their_partitions_only(spark, stored_system):
+    days = [r["dt"] for r in stored_system.select("dt").distinct().orderBy("dt").collect()][::3][:200]
+    assert len(days) == 200 > MAX_INTERVALS
+    reqs = requests_of(spark, [request(row=i, advertiser="0|1|2|3", start=str(d), end=str(d)) for i, d in enumerate(days)])
+    for df in (scope(stored_system, reqs), request_sums(stored_system, reqs, ["os_name"])):
+        df.collect()
+        scans = [x for x in plan(df).split("\n") if "FileScan" in x and "os_name" in x]
+        assert scans and all("dynamicpruning" in x for x in scans)
+        assert partitions_read(df) == 200
+    assert {r["dt"] for r in scope(stored_system, reqs).select("dt").distinct().collect()} <= set(days)
+
+
+def partitions_read(df) -> int:
+    """The number of partitions that the fact scans of a collected frame have read."""
+    counts = set()
+
+    def walk(node):
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            return walk(node.executedPlan())
+        if name.endswith("QueryStageExec"):
+            return walk(node.plan())
+        if name == "FileSourceScanExec" and "os_name" in node.toString():
+            counts.add(node.metrics().apply("numPartitions").value())
+        for i in range(node.children().size()):
+            walk(node.children().apply(i))
+
+    walk(df._jdf.queryExecution().executedPlan())
+    (n,) = counts
+    return n
+
+
+def test_equal_requests_are_summed_once_before_they_meet(spark, stored_system):
+    """One hundred requests for the same rows: one scan, and the sums that meet them are those of one."""
+    one = [request(row=1, advertiser="1|2|3", start="1995-01-01", end="1998-06-30")]
+    hundred = [(i, *one[0][1:]) for i in range(100)]
+    sums = {}
+    for rows in (one, hundred):
+        reqs = requests_of(spark, rows)
+        sums[len(rows)] = segment_sums(stored_system, ["os_name"], scan_bounds(reqs))[0].count()
+        df = request_sums(stored_system, reqs, ["os_name"])
+        got = sorted((r["os_name"], r["impressions"]) for r in df.collect())
+        assert got == sorted([x for x in got[::len(rows)]] * len(rows))
+        lines = final_plan(df).split("\n")
+        join = next(i for i, x in enumerate(lines) if "Join [" in x and "r_advertiser_id" in x)
+        below = "\n".join(lines[join:])
+        assert "sum(impressions" in below and "Exchange hashpartitioning(advertiser_id" in below
+        assert sum("FileScan" in x and "os_name" in x for x in lines) == 1
+    assert sums[1] == sums[100] > 0
+
+
+def test_segments_are_disjoint_and_no_request_cuts_through_one(spark):
+    spans = [("2024-01-01", "2024-01-31"), ("2024-01-10", "2024-02-10"), ("2024-01-31", "2024-01-31"),
+             ("2024-03-01", "2024-03-05"), ("2024-03-06", "2024-03-07"), ("2024-05-05", "2024-05-01")]
+    reqs = requests_of(spark, [request(row=i, start=a, end=b) for i, (a, b) in enumerate(spans)])
+    rows = calendar(reqs).collect()
+    days = {r["day"]: r["segment"] for r in rows}
+    covered = lambda d: frozenset(i for i, (a, b) in enumerate(spans) if a <= str(d) <= b)
+    assert len(days) == len(rows) and set(days) == {
+        date(2024, 1, 1) + timedelta(days=i) for i in range(100) if covered(date(2024, 1, 1) + timedelta(days=i))}
+    for d, s in days.items():
+        assert s <= d and covered(d) == covered(s) and days[s] == s
+
+
+def test_lists_are_joined_only_where_a_request_has_one(spark, stored_system):
+    free = requests_of(spark, [request(row=i, advertiser="1|2", start="1995-01-01", end="2001-12-31") for i in range(3)])
+    for df in (scope(stored_system, free), request_sums(stored_system, free, ["os_name"])):
+        assert "v_block" not in plan(df) and df.count()
+    sums = segment_sums(stored_system, ["os_name"], scan_bounds(free))[0]
+    assert "insertion_order_id" not in sums.columns and "pixel_id" not in sums.columns
+
+
+def test_long_lists_test_each_id(spark):
+    million = "|".join(map(str, range(0, 2_000_000, 2)))
+    system = fact(spark, "system", [{"insertion_order_id": i, "pixel_id": p, "impressions": 1}
+                                    for i, p in ((4, 7), (5, 7), (1_999_998, 0), (None, 7), (-2, 7), (2, None), (2, 8))])
+    reqs = requests_of(spark, [request(io=million, pixel="7"), request(row=2, pixel="7|-2"), request(row=3)])
+    for rows in (sorted_rows(scope(system, reqs).groupBy("request_id").count()),
+                 sorted_rows(request_sums(system, reqs, ["os_name"]).select("request_id", "impressions"))):
+        assert rows == [(1, 2), (2, 5), (3, 7)]
+
+
+@pytest.mark.parametrize("name, grain, kw", [
+    ("system", ["device_type", "os_name"], {}), ("placement_hour", ["day_hour"], {"match_timezone": True}),
+    ("geo", ["de_city", "postal_code"], {"match_country": True}), ("inventory", ["site_domain"], {})])
+def test_sums_by_segment_are_the_sums_of_the_scoped_rows(spark, name, grain, kw):
+    job = job_for(spark, SF_SMALL)
+    keys = ["request_id", *(["timezone"] if "match_country" in kw else []), *grain]
+    want = scope(job.facts[name], job.requests, **kw).groupBy(*keys).agg(*measure_sums())
+    got = request_sums(job.facts[name], job.requests, grain, **kw)
+    assert got.columns == want.columns and sorted_rows(got) == sorted_rows(want)
 
 
 def test_long_lists_are_not_carried_by_the_keys(spark):
@@ -108,7 +257,8 @@ def test_distant_requests_read_their_own_days_only(spark, stored_system):
     bounds = scan_bounds(reqs)
     assert bounds.intervals == ((date(1995, 2, 1), date(1995, 2, 28)), (date(2001, 2, 10), date(2001, 3, 5)))
     df = scope(stored_system, reqs)
-    assert "PartitionFilters: [" in plan(df) and "PartitionFilters: []" not in plan(df)
+    (scan,) = [x for x in plan(df).split("\n") if "FileScan" in x and "os_name" in x]
+    assert "PartitionFilters: [" in scan and "PartitionFilters: []" not in scan
     read = stored_system.filter(bounds.column())
     assert {r["m"] for r in read.selectExpr("date_format(dt, 'yyyy-MM') AS m").distinct().collect()} <= {
         "1995-02", "2001-02", "2001-03"}

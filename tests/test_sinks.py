@@ -5,22 +5,27 @@ from __future__ import annotations
 import csv
 import os
 import tempfile
+from collections import Counter
 
 import pytest
 
-from adinsight.plans.report import ReportJob
+from adinsight.plans.report import ReportJob, serve
 from adinsight.schemas import REQUEST_RAW
-from adinsight.sources.requests import read_requests
+from adinsight.sources.control import ControlTable
 from testbed.fixtures import REQUEST_ROWS, request_table
 from testbed.projections import facts_from_testdata
-from testbed.registry import job_for
-from tests.conftest import SF_SMALL, request
+from tests.conftest import SF_SMALL, facts, request
+
+
+def control_of(spark, path, rows) -> ControlTable:
+    control = ControlTable(spark, str(path))
+    control.add(request_table(spark, rows))
+    return control
 
 
 def test_write_report_manifest_and_claim(spark):
     out = tempfile.mkdtemp(prefix="adinsight-test-out-")
-    job = job_for(spark, SF_SMALL)
-    paths = job.write(out)
+    paths = serve(spark, facts_from_testdata(spark, SF_SMALL), control_of(spark, f"{out}/requests", REQUEST_ROWS), out)
     report = spark.read.parquet(paths["report"])
     assert set(r["sheet"] for r in report.select("sheet").distinct().collect()) == {
         "TOD_Weekday", "TOD_Weekend", "DOW", "Site_Domains", "Device_type", "Device_Os",
@@ -59,14 +64,13 @@ def _requests_csv(path, rows):
 
 
 def test_runs_follow_each_other_without_loss(spark, tmp_path, fact_paths):
-    """Each run serves the next request from the table the last one wrote; nothing written is lost."""
+    """Each run serves the next request of the control table; nothing written is lost."""
     from adinsight.__main__ import main
     out = str(tmp_path / "out")
     source = _requests_csv(tmp_path / "requests.csv", REQUEST_ROWS[1:4])
-    runs = []
-    for _ in range(3):
-        runs.append(main(["--requests", source, "--out", out, "--first-only", *fact_paths]))
-        source = f"{out}/requests"
+    # The sheet may be given again: rows the control table has are not added twice.
+    runs = [main([*given, "--out", out, "--first-only", *fact_paths])
+            for given in (["--requests", source], [], ["--requests", source])]
     served = [[r["request_id"] for r in spark.read.parquet(p["manifest"]).collect()] for p in runs]
     assert served == [[1], [2], [3]]
     for p, (rid,) in zip(runs, served):  # the earlier reports and tables are all there
@@ -75,10 +79,20 @@ def test_runs_follow_each_other_without_loss(spark, tmp_path, fact_paths):
     assert spark.read.parquet(f"{out}/manifest").count() == 3
     flags = [{r["sheet_row"]: r["Insight_Flag"] for r in spark.read.parquet(p["requests"]).collect()} for p in runs]
     assert flags == [{1: "No", 2: "Yes", 3: "Yes"}, {1: "No", 2: "No", 3: "Yes"}, {1: "No", 2: "No", 3: "No"}]
-    last = main(["--requests", source, "--out", out, *fact_paths])  # nothing left to serve
+    last = main(["--out", out, *fact_paths])  # nothing left to serve
     assert spark.read.parquet(last["manifest"]).count() == 0
 
 
+def test_claims_of_a_run_that_died_are_released(spark, tmp_path):
+    from adinsight.__main__ import main
+    control = control_of(spark, tmp_path / "out" / "requests", [request(row=1), request(row=2, flag="Yes, urgent")])
+    control.claim("dead")
+    assert control.claim("next").count() == 0 and control.claims().count() == 2
+    main(["--out", str(tmp_path / "out"), "--release", "dead"])
+    assert {r["sheet_row"]: r["Insight_Flag"] for r in control.requests().collect()} == {1: "Yes", 2: "Yes, urgent"}
+    assert control.claims().count() == 0
+
+
 def test_csv_sheets(spark, tmp_path, fact_paths):
     from adinsight.__main__ import main
     paths = main(["--requests", _requests_csv(tmp_path / "requests.csv", REQUEST_ROWS[1:4]), "--out",
@@ -88,42 +102,84 @@ def test_csv_sheets(spark, tmp_path, fact_paths):
     assert sorted(int(r["row_id"]) for r in dow.collect()) == list(range(1, dow.count() + 1))
 
 
-def test_a_flag_changed_while_the_job_runs_is_not_claimed(spark, tmp_path):
-    def put(rows, mode):
-        request_table(spark, rows).write.mode(mode).parquet(str(tmp_path / "table"))
-
-    rows = [request(row=1, advertiser="1"), request(row=2, advertiser="2", flag="No")]
-    put(rows, "errorifexists")
-    job = ReportJob(spark, facts_from_testdata(spark, SF_SMALL), spark.read.parquet(str(tmp_path / "table")))
-    job.shared_extracts
-    put([rows[0], request(row=2, advertiser="2", flag="Yes")], "overwrite")
-    paths = job.write(str(tmp_path / "out"))
+def test_a_request_flagged_while_a_job_runs_stays_pending(spark, tmp_path):
+    control = control_of(spark, tmp_path / "requests", [request(row=1, advertiser="1"), request(row=2, advertiser="2", flag="No")])
+    facts = facts_from_testdata(spark, SF_SMALL)
+    served = control.claim("a")
+    job = ReportJob(spark, facts, served)
+    # Meanwhile one request is flagged and another is added.
+    control.put(request_table(spark, [request(row=2, advertiser="2"), request(row=3, advertiser="3")]))
+    paths = job.write(str(tmp_path / "out"), run_id="a")
+    control.finish("a")
     assert [r["request_id"] for r in spark.read.parquet(paths["manifest"]).collect()] == [1]
-    flags = {r["sheet_row"]: r["Insight_Flag"] for r in spark.read.parquet(paths["requests"]).collect()}
-    assert flags == {1: "No", 2: "No"}  # as it stood when the job read it
+    flags = {r["sheet_row"]: r["Insight_Flag"] for r in control.requests().collect()}
+    assert flags == {1: "No", 2: "Yes", 3: "Yes"}
+    nxt = serve(spark, facts, control, str(tmp_path / "out"))
+    assert sorted(r["request_id"] for r in spark.read.parquet(nxt["manifest"]).collect()) == [2, 3]
 
 
-def test_a_failed_write_leaves_everything_as_it_was(spark, tmp_path, monkeypatch):
+def test_a_failed_write_gives_its_requests_back(spark, tmp_path, monkeypatch):
     out = str(tmp_path / "out")
     facts = facts_from_testdata(spark, SF_SMALL)
-    ReportJob(spark, facts, request_table(spark, REQUEST_ROWS[1:4]), first_only=True).write(out, run_id="a")
+    control = control_of(spark, f"{out}/requests", REQUEST_ROWS[1:4])
+    serve(spark, facts, control, out, first_only=True, run_id="a")
     before = {str(p): p.stat().st_mtime_ns for p in (tmp_path / "out").rglob("*") if p.is_file()}
 
     def fail(*_):
         raise RuntimeError("mail table")
 
     monkeypatch.setattr(ReportJob, "delivery_manifest", fail)
-    job = ReportJob(spark, facts, read_requests(spark, f"{out}/requests"), first_only=True)
     with pytest.raises(RuntimeError):
-        job.write(out, run_id="b")
+        serve(spark, facts, control, out, first_only=True, run_id="b")
     assert all(os.stat(p).st_mtime_ns == t for p, t in before.items())
-    # The request is still pending in the latest complete version.
-    flags = {r["sheet_row"]: r["Insight_Flag"] for r in read_requests(spark, f"{out}/requests").collect()}
-    assert flags == {1: "No", 2: "Yes", 3: "Yes"}
+    flags = {r["sheet_row"]: r["Insight_Flag"] for r in control.requests().collect()}
+    assert flags == {1: "No", 2: "Yes", 3: "Yes"} and control.claims().count() == 0
     # A run never writes over another.
     monkeypatch.undo()
     with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
-        ReportJob(spark, facts, request_table(spark, REQUEST_ROWS[1:4]), first_only=True).write(out, run_id="a")
+        serve(spark, facts, control, out, first_only=True, run_id="a")
+    assert {r["sheet_row"] for r in control.requests().filter("Insight_Flag = 'Yes'").collect()} == {2, 3}
+
+
+def test_the_mail_lists_ids_as_given(spark):
+    rows = [request(advertiser="1|1", io="3|3|1", pixel="2|2", seg="7|7|7")]
+    job = ReportJob(spark, facts_from_testdata(spark, SF_SMALL), request_table(spark, rows))
+    (mail,) = job.delivery_manifest().collect()
+    assert "advertiser: 1,1, insertion_order_id: 3,3,1," in mail["body"]
+    assert ",conversion pixel_id: 2,2" in mail["body"] and mail["body"].endswith(",segment pixel_id: 7,7,7")
+
+
+def files_by_folder(path):
+    return Counter(str(p.parent) for p in path.rglob("*.parquet"))
+
+
+def test_small_sheets_are_one_file_and_a_large_one_is_split(spark, tmp_path):
+    system = spark.range(40_000).selectExpr(
+        "date'2024-01-05' AS dt", "1L AS advertiser_id", "1L AS insertion_order_id", "0L AS pixel_id",
+        "'pc' AS device_type", "concat('os', id) AS os_name", "'b' AS browser_name", "1 AS width", "1 AS height",
+        "id + 1 AS impressions", "0L AS clicks", "1L AS pcconversions", "0L AS pvconversions")
+    small = spark.range(2, 102).selectExpr(
+        "date'2024-01-05' AS dt", "id AS advertiser_id", "1L AS insertion_order_id", "0L AS pixel_id",
+        "'pc' AS device_type", "'linux' AS os_name", "'b' AS browser_name", "1 AS width", "1 AS height",
+        "1L AS impressions", "0L AS clicks", "1L AS pcconversions", "0L AS pvconversions")
+    tables = facts(spark)
+    tables["system"] = system.unionAll(small)
+    rows = [request(row=i, advertiser=str(i)) for i in range(1, 102)]
+    # Sizes of a cluster, divided by about two thousand.
+    sizes = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "32k", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "8k"}
+    for k, v in sizes.items():
+        spark.conf.set(k, v)
+    try:
+        job = ReportJob(spark, tables, request_table(spark, rows))
+        scratch = job.scratch.path
+        job.write(str(tmp_path / "out"), run_id="r")
+    finally:
+        for k in sizes:
+            spark.conf.unset(k)
+    found = files_by_folder(tmp_path / "out" / "report")
+    large = found.pop(str(tmp_path / "out" / "report" / "run=r" / "request_id=1" / "sheet=Device_Os"))
+    assert large > 1 and set(found.values()) == {1} and len(found) == 101 * 4 - 1
+    assert not os.path.exists(scratch.removeprefix("file:"))  # nothing of the job's own tables is left
 
 
 def test_read_fact_from_catalog_table(spark):
@@ -141,7 +197,8 @@ def test_no_pending_requests_gives_empty_outputs(spark, tmp_path):
     job = ReportJob(spark, facts_from_testdata(spark, SF_SMALL), request_table(spark, idle))
     assert job.report_long().count() == 0
     assert job.sheet("City_Region").count() == 0
-    paths = job.write(str(tmp_path / "out"))
+    control = control_of(spark, tmp_path / "out" / "requests", idle)
+    paths = serve(spark, facts_from_testdata(spark, SF_SMALL), control, str(tmp_path / "out"))
     assert spark.read.parquet(paths["manifest"]).count() == 0
     flags = {r["sheet_row"]: r["Insight_Flag"] for r in spark.read.parquet(paths["requests"]).collect()}
     assert flags == {r[0]: r[8] for r in idle}
