@@ -5,7 +5,8 @@ keys (hashes) of its distinct words with their training counts, packed, to hash
 buckets; a bucket sums them and answers each chunk with the corpus count of
 each of its words.  A word in every document is one entry per chunk.  Nothing
 of this grows on the driver, which receives sums and the ``HEAD`` most frequent
-keys.
+keys.  Each chunk is then written once as numbers: two bytes a word, and the
+sums of each document that need the counts.  Training and scoring read these.
 
 Model.  The ``HEAD`` most frequent training words lie in classes of
 ``MEMBERS`` by rank, all others in ``TAILS`` classes by their last letters.  A
@@ -16,9 +17,13 @@ words sum to one.  Output biases begin at the corpus frequencies.
 
 Training.  Weights are fitted by truncated backpropagation (windows of
 ``TRAIN_STEPS`` words, state carried on) on all training documents, whole texts.
-A hash deals them to ``ROUNDS`` rounds, so each is read in exactly one.  In a
-round each partition trains its own copy from the shared weights, and the copies
-are averaged, weighted by their words, in groups of ``AVERAGED``.
+A hash of a document deals it to one of ``ROUNDS`` rounds and, within it, to a
+group of about ``GROUP_TOKENS`` words; equal rows are numbered first, so they are
+dealt like different ones.  In a round each group trains its own copy from the
+shared weights, reading its documents in the order of their ids, a segment at a
+time; the copies are averaged, weighted by their words, in groups of
+``AVERAGED``.  Groups depend on the documents alone, so the scores do not depend
+on how files or tasks are cut.
 
 Scoring.  Documents run side by side in lanes; a document's state is carried
 from its first word to its end, whatever its length.
@@ -26,7 +31,8 @@ from its first word to its end, whatever its length.
 Defined results: a null or empty text is its end alone; equal rows are separate
 documents and both count; without training documents all words are unseen; an
 empty table gives an empty result; ids may be null (their fold is that of the
-empty text) and other columns are ignored.
+empty text) and other columns are ignored.  The documents must be the same each
+time they are read, as files are.
 """
 
 from __future__ import annotations
@@ -37,68 +43,75 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adinsight.llm.common import cut, parts, text_bytes
+from adinsight.llm.common import _INSIDE, cut, hashed_words, parts, text_bytes
 
-CHUNK_BYTES, BUCKET_BYTES = 10_000_000, 16_000_000
-MEMO_WORDS = 300_000
+CHUNK_BYTES, BUCKET_BYTES = 6_000_000, 10_000_000
 #: Fixed values of the base score.
 SMOOTHING = 0.1
 
-HEAD, MEMBERS, TAILS = 2048, 64, 64
-HIDDEN = 24
-LANES, STEPS = 256, 64
-TRAIN_LANES, TRAIN_STEPS = 64, 32
-ROUNDS = 2
-RATE = 0.05
+HEAD, MEMBERS, TAILS = 2048, 64, 32
+HIDDEN = 16
+LANES, STEPS = 512, 16
+TRAIN_LANES, TRAIN_STEPS = 512, 16
+ROUNDS, GROUP_TOKENS = 2, 2_000_000
+#: Words trained on, or scored, at once.
+SEGMENT_TOKENS = 400_000
+RATE = 0.15
 AVERAGED = 64
 LOG10 = float(np.log(10.0))
 
-RESULT = ("doc_id long, n_tokens long, n_known long, base_score double, score double")
+ENCODED = ("doc_id long, row long, train boolean, n_tokens long, n_known long, base_score double, "
+           "tail_score double, ids binary")
+RESULT = "doc_id long, n_tokens long, n_known long, base_score double, score double"
 
 
-class WordKeys(dict):
-    """Word to a 64-bit key: a hash whose low bits are the word's tail class."""
+def _tail_classes() -> np.ndarray:
+    """The tail class of every pair of last bytes (a word of one byte has 0 before it)."""
+    x = np.arange(1 << 16, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return (x >> np.uint64(40)) % np.uint64(TAILS)
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= MEMO_WORDS:
-            self.clear()
-        tail = xxhash.xxh3_64_intdigest(word[-2:]) % TAILS
-        k = self[word] = xxhash.xxh3_64_intdigest(word) // TAILS * TAILS + tail
-        return k
 
+_TAIL_OF = _tail_classes()
+END = np.uint64(0x5E17_AB1E_0000_0000)  # key of a text's end
 
-_memo = WordKeys()
-END = xxhash.xxh3_64_intdigest(b"end of text")  # holds blanks, so it is no word
 
+def keys_of(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of the lower-cased words and the end of each text, and their number by text.
 
-def keys_of(text: str | None) -> np.ndarray:
-    """Keys of the lower-cased words of a text, and of its end."""
-    w = text.encode("utf-8").lower().split() if text else []
-    out = np.empty(len(w) + 1, np.uint64)
-    out[:-1] = np.fromiter(map(_memo.__getitem__, w), np.uint64, len(w))
-    out[-1] = END
-    return out
+    A key is a hash of the word whose low bits are its tail class.
+    """
+    each = [t.encode("utf-8").lower() if t else b"" for t in texts]
+    data = b"\n".join(each)
+    h, start = hashed_words(data)
+    text = np.searchsorted(np.cumsum([len(x) + 1 for x in each]), start, side="right")
+    b = np.frombuffer(data, np.uint8)
+    inside = _INSIDE[b]
+    last = np.flatnonzero(inside & ~np.append(inside[1:], False))
+    before = np.where(last > start, b[last - 1], np.uint8(0)).astype(np.int64)
+    tails = np.uint64(TAILS)
+    sizes = np.bincount(text, minlength=len(texts)) + 1
+    out = np.empty(len(h) + len(texts), np.uint64)
+    out[np.cumsum(sizes) - 1] = END
+    out[np.arange(len(h)) + text] = h // tails * tails + _TAIL_OF[before << 8 | b[last]]
+    return out, sizes
 
 
 class Chunk:
     """The words of the documents of one chunk, in a fixed order."""
 
     def __init__(self, group: pa.Table, buckets: int):
-        rows = sorted(zip(group["doc_id"].to_pylist(), group["text"].to_pylist(), group["train"].to_pylist()),
-                      key=lambda r: (r[0] is None, r[0] or 0, r[1] or ""))
-        self.ids = [r[0] for r in rows]
+        rows = sorted(zip(group["doc_id"].to_pylist(), group["text"].to_pylist(), group["train"].to_pylist(),
+                          group["row"].to_pylist()), key=lambda r: (r[0] is None, r[0] or 0, r[1] or ""))
+        self.ids, self.row = [r[0] for r in rows], [r[3] for r in rows]
         self.train = np.array([r[2] for r in rows], bool)
-        each = [keys_of(r[1]) for r in rows]
-        self.sizes = np.array([len(x) for x in each])
-        every = np.concatenate(each)
+        every, self.sizes = keys_of([r[1] for r in rows])
         distinct, place = np.unique(every, return_inverse=True)
         bucket = (distinct ^ (distinct >> np.uint64(29))) % np.uint64(buckets)
         order = np.argsort(bucket, kind="stable")
-        rank = np.empty(len(order), np.int64)
+        rank = np.empty(len(order), np.int32)
         rank[order] = np.arange(len(order))
         self.keys, self.bucket, self.word = distinct[order], bucket[order], rank[place]
 
@@ -172,14 +185,28 @@ class Gru:
         """The next state after reading ``ids``, and what the backward pass needs."""
         x, g = self.inputs[ids], h @ self.recurrent
         zr = x[:, :2 * HIDDEN] + g[:, :2 * HIDDEN]
-        np.negative(zr, out=zr)
-        np.exp(np.minimum(zr, 30, out=zr), out=zr)
-        zr += 1
-        np.reciprocal(zr, out=zr)
+        zr *= np.float32(0.5)
+        np.tanh(zr, out=zr)  # the logistic function by way of tanh
+        zr *= np.float32(0.5)
+        zr += np.float32(0.5)
         z, r = zr[:, :HIDDEN], zr[:, HIDDEN:]
-        n = np.tanh(x[:, 2 * HIDDEN:] + r * g[:, 2 * HIDDEN:])
+        n = r * g[:, 2 * HIDDEN:]
+        n += x[:, 2 * HIDDEN:]
+        np.tanh(n, out=n)
         return n + z * (h - n), z, r, n, g[:, 2 * HIDDEN:]
 
+    @staticmethod
+    def _softmax(e: np.ndarray, rows: np.ndarray, want: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Log-probability of ``want`` in each row of logits, which become exponents in place, and their sums."""
+        picked = e[rows, want]
+        if e.max(initial=0) > 80:  # exponents of float32 end soon after
+            top = e.max(1, keepdims=True)
+            e -= top
+            picked = picked - top[:, 0]
+        np.exp(e, out=e)
+        total = e.sum(1)
+        return picked - np.log(total), total
+
     def log_probs(self, h: np.ndarray, ids: np.ndarray, grads: dict | None = None) -> np.ndarray:
         """Natural log-probability of class and member of ``ids`` from states ``h``.
 
@@ -191,11 +218,7 @@ class Gru:
         rows = np.arange(len(ids))
         e = h @ self.class_w
         e += self.class_b
-        e -= e.max(1, keepdims=True)
-        picked = e[rows, cls]
-        np.exp(e, out=e)
-        total = e.sum(1)
-        out = picked - np.log(total)
+        out, total = self._softmax(e, rows, cls)
         if grads is not None:
             e /= total[:, None]
             e[rows, cls] -= 1
@@ -211,11 +234,8 @@ class Gru:
             hc, want, k = h[own], ids[own] % MEMBERS, np.arange(len(own))
             e = hc @ self.member_w[c]
             e += self.member_b[c]
-            e -= e.max(1, keepdims=True)
-            picked = e[k, want]
-            np.exp(e, out=e)
-            total = e.sum(1)
-            out[own] += picked - np.log(total)
+            more, total = self._softmax(e, k, want)
+            out[own] += more
             if grads is not None:
                 e /= total[:, None]
                 e[k, want] -= 1
@@ -231,8 +251,10 @@ class Gru:
         for t0 in range(0, len(streams), TRAIN_STEPS):
             ids, new = streams[t0:t0 + TRAIN_STEPS], starts[t0:t0 + TRAIN_STEPS]
             before, kept = [], []
+            resets = new.any(1)
             for t in range(len(ids)):
-                h = np.where(new[t][:, None], np.float32(0), h)
+                if resets[t]:
+                    h = np.where(new[t][:, None], np.float32(0), h)
                 before.append(h)
                 h, *rest = self.step(h, ids[t])
                 kept.append(rest)
@@ -245,14 +267,16 @@ class Gru:
             for t in reversed(range(len(ids))):
                 z, r, n, gn = kept[t]
                 hb = before[t]
-                dn = dh * (1 - z) * (1 - n * n)
-                dz = dh * (hb - n) * z * (1 - z)
-                dr = dn * gn * r * (1 - r)
-                d_in[t] = np.concatenate([dz, dr, dn], 1)
-                d_g = np.concatenate([dz, dr, dn * r], 1)
+                dz, dr, dn = d_in[t, :, :HIDDEN], d_in[t, :, HIDDEN:2 * HIDDEN], d_in[t, :, 2 * HIDDEN:]
+                np.multiply(dh * (1 - z), 1 - n * n, out=dn)
+                np.multiply(dh * (hb - n), z * (1 - z), out=dz)
+                np.multiply(dn * gn, r * (1 - r), out=dr)
+                d_g = d_in[t].copy()
+                d_g[:, 2 * HIDDEN:] *= r
                 grads["recurrent"] += hb.T @ d_g
                 dh = dh * z + d_g @ self.recurrent.T + d_out[t]
-                dh = np.where(new[t][:, None], np.float32(0), dh)
+                if resets[t]:
+                    dh = np.where(new[t][:, None], np.float32(0), dh)
             seen, place = np.unique(ids.ravel(), return_inverse=True)
             order = np.argsort(place, kind="stable")
             at = np.searchsorted(place[order], np.arange(len(seen)))
@@ -314,14 +338,10 @@ def streams_of(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return ids[at], start[at]
 
 
-def in_round(docs: DataFrame, k: int) -> DataFrame:
-    """The training documents of round ``k``; each is in one of the ``ROUNDS`` rounds."""
-    return docs.filter("train").filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(ROUNDS)) == k)
-
-
 def averaged(copies: DataFrame) -> np.ndarray | None:
     """Mean of the weights in ``copies`` (place, words, weights), weighted by words."""
     def mean(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
+        group = group.sort_by("place")
         words = np.array(group["words"].to_pylist(), np.float64)
         total = sum(w * np.frombuffer(x.as_py(), np.float32).astype(np.float64) for w, x in zip(words, group["weights"]))
         return pa.table({"place": pa.array([key[0].as_py()], pa.int64()), "words": pa.array([int(words.sum())], pa.int64()),
@@ -337,32 +357,59 @@ def averaged(copies: DataFrame) -> np.ndarray | None:
     return None if row is None else np.frombuffer(row["weights"], np.float32)
 
 
-def fit(docs: DataFrame, vocabulary: Vocabulary) -> np.ndarray:
-    """Weights of the model after all rounds; ``docs`` has doc_id, text and train."""
-    spark = docs.sparkSession
+def training_rows(encoded: DataFrame) -> DataFrame:
+    """``doc_id, row, copy, ids`` of the training documents, equal rows numbered by ``copy``."""
+    rows = encoded.filter("train").select("doc_id", "row", "ids")
+    often = rows.groupBy("row").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    once = rows.join(often, "row", "left_anti").withColumn("copy", F.lit(0).cast("long"))
+    again = (rows.join(often, "row").dropDuplicates(["row"])
+             .withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1))))
+    return once.unionByName(again.select(*once.columns))
+
+
+def fit(encoded: DataFrame, vocabulary: Vocabulary) -> np.ndarray:
+    """Weights of the model after all rounds; ``encoded`` as in ``ENCODED``."""
+    spark = encoded.sparkSession
     weights = Gru(vocabulary).flat()
+    groups = parts(vocabulary.n, GROUP_TOKENS * ROUNDS)
+    dealt = training_rows(encoded).withColumn("deal", F.pmod(F.xxhash64("row", "copy"), F.lit(groups * ROUNDS)))
     for k in range(ROUNDS):
         shared = spark.sparkContext.broadcast((vocabulary, weights))  # HEAD words and the weights: fixed size
 
         def train(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            from pyspark import TaskContext
             vocabulary, weights = shared.value
-            model, words, held, size = Gru(vocabulary).load(weights), 0, [], 0
-            for b in batches:
-                for t in b["text"]:
-                    held.append(vocabulary.ids(keys_of(t.as_py())))
-                    size += len(held[-1])
-                    if size >= 500_000:  # words in memory
-                        model.train(*streams_of(held))
-                        words, held, size = words + size, [], 0
-            if held:
-                model.train(*streams_of(held))
-            if words + size:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([TaskContext.get().partitionId()], pa.int64()), pa.array([words + size], pa.int64()),
+            model, group, words, held, size = None, None, 0, [], 0
+
+            def learn() -> None:
+                nonlocal words, held, size
+                if held:
+                    model.train(*streams_of(held))
+                words, held, size = words + size, [], 0
+
+            def result() -> pa.RecordBatch:
+                return pa.RecordBatch.from_arrays(
+                    [pa.array([group], pa.int64()), pa.array([words], pa.int64()),
                      pa.array([model.flat().tobytes()], pa.binary())], ["place", "words", "weights"])
 
-        mean = averaged(cut(in_round(docs, k).select("text").mapInArrow(train, "place long, words long, weights binary")))
+            for b in batches:
+                for g, ids in zip(b["g"], b["ids"]):
+                    if g.as_py() != group:  # groups arrive one after the other
+                        if model is not None:
+                            learn()
+                            yield result()
+                        model, group, words = Gru(vocabulary).load(weights), g.as_py(), 0
+                    held.append(np.frombuffer(ids.as_py(), np.uint16).astype(np.int64))
+                    size += len(held[-1])
+                    if size >= SEGMENT_TOKENS:
+                        learn()
+            if model is not None:
+                learn()
+                yield result()
+
+        mine = dealt.filter(F.col("deal") % ROUNDS == k).withColumn("g", F.floor(F.col("deal") / ROUNDS).cast("long"))
+        copies = (mine.repartition(groups, "g").sortWithinPartitions("g", "doc_id", "row", "copy")
+                  .select("g", "ids").mapInArrow(train, "place long, words long, weights binary"))
+        mean = averaged(cut(copies))
         weights = weights if mean is None else mean
     return weights
 
@@ -374,9 +421,12 @@ def score_texts(docs: DataFrame, is_training: Column) -> DataFrame:
     """
     total = text_bytes(docs)
     n_chunks, buckets = parts(total, CHUNK_BYTES), parts(total, BUCKET_BYTES)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
-                       is_training.alias("train"))
-    dealt = rows.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_chunks)))
+    doc_id, text = F.col("doc_id").cast("long"), F.col("text").cast("string")
+    rows = docs.select(doc_id.alias("doc_id"), text.alias("text"), is_training.alias("train"),
+                       F.xxhash64(doc_id, text).alias("row"))
+    # Equal rows go to different chunks; which chunk a row is in does not show in the results.
+    # The deal is made twice, over the same files in the same order.
+    dealt = rows.withColumn("chunk", F.pmod(F.xxhash64("row", F.monotonically_increasing_id()), F.lit(n_chunks)))
 
     def send(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
         c = Chunk(group, buckets)
@@ -391,15 +441,15 @@ def score_texts(docs: DataFrame, is_training: Column) -> DataFrame:
         own = np.concatenate([np.frombuffer(x.as_py(), np.int32) for x in group["counts"]])
         distinct, place = np.unique(np.concatenate(each), return_inverse=True)
         sums = np.bincount(place, own, minlength=len(distinct)).astype(np.int64)
-        back = np.split(sums[place], np.cumsum([len(x) for x in each])[:-1])
+        ends = np.cumsum([len(x) for x in each])
+        back = [sums[place[z - len(x):z]].tobytes() for x, z in zip(each, ends)]
         tail = (distinct % np.uint64(TAILS)).astype(np.int64)
         top = np.lexsort((distinct, -sums))[:HEAD]
         top = top[sums[top] > 0]
         first = lambda x: [x] + [None] * (len(each) - 1)
         longs = pa.list_(pa.int64())
         return pa.table({
-            "chunk": group["chunk"], "bucket": group["bucket"],
-            "counts": pa.array([x.tobytes() for x in back], pa.binary()),
+            "chunk": group["chunk"], "bucket": group["bucket"], "counts": pa.array(back, pa.binary()),
             "tail_n": pa.array(first(np.bincount(tail, sums, TAILS).astype(np.int64)), longs),
             "tail_v": pa.array(first(np.bincount(tail, sums > 0, TAILS).astype(np.int64)), longs),
             "top_key": pa.array(first(distinct[top].view(np.int64)), longs),
@@ -410,29 +460,51 @@ def score_texts(docs: DataFrame, is_training: Column) -> DataFrame:
         count, "chunk long, bucket long, counts binary, tail_n array<long>, tail_v array<long>, "
                "top_key array<long>, top_count array<long>"))
     vocabulary = vocabulary_of(counted)
-    weights = fit(rows, vocabulary)
-    shared = docs.sparkSession.sparkContext.broadcast((vocabulary, weights))
+    known = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
-    def score(group: pa.Table, answers: pa.Table) -> pa.Table:
-        v, w = shared.value
-        model = Gru(v).load(w)
-        c = Chunk(group, buckets)
+    def encode(group: pa.Table, answers: pa.Table) -> pa.Table:
+        v, c = known.value, Chunk(group, buckets)
         found = dict(zip(answers["bucket"].to_pylist(), answers["counts"].to_pylist()))
         counts = np.concatenate([np.frombuffer(found[b], np.int64) for b, _, _ in c.by_bucket()])
+        if len(counts) != len(c.keys):
+            raise RuntimeError("the documents changed between two reads")
         ids = v.ids(c.keys)
         base = np.log10((counts + SMOOTHING) / (v.n + SMOOTHING * (v.v + 1)))
         tail = np.maximum(ids - HEAD, 0)
         in_tail = np.where(ids < HEAD, 0.0, np.log10((counts + SMOOTHING) / (v.tail_n[tail] + SMOOTHING * (v.tail_v[tail] + 1))))
         first = np.cumsum(c.sizes) - c.sizes
         add = lambda x: np.add.reduceat(x[c.word], first)
-        model_score = model.score(ids[c.word].astype(np.int32), c.sizes) / LOG10 + add(in_tail)
+        flat = ids.astype(np.uint16)[c.word]
         return pa.table({
-            "doc_id": pa.array(c.ids, pa.int64()), "n_tokens": pa.array(c.sizes, pa.int64()),
-            "n_known": pa.array(add((counts > 0).astype(np.int64)), pa.int64()),
-            "base_score": pa.array(add(base)), "score": pa.array(model_score)})
+            "doc_id": pa.array(c.ids, pa.int64()), "row": pa.array(c.row, pa.int64()), "train": pa.array(c.train),
+            "n_tokens": pa.array(c.sizes, pa.int64()), "n_known": pa.array(add((counts > 0).astype(np.int64)), pa.int64()),
+            "base_score": pa.array(add(base)), "tail_score": pa.array(add(in_tail)),
+            "ids": pa.array([flat[a:a + n].tobytes() for a, n in zip(first, c.sizes)], pa.binary())})
+
+    encoded = cut(dealt.groupBy("chunk").cogroup(counted.select("chunk", "bucket", "counts").groupBy("chunk"))
+                  .applyInArrow(encode, ENCODED))
+    weights = fit(encoded, vocabulary)
+    shared = docs.sparkSession.sparkContext.broadcast((vocabulary, weights))
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        v, w = shared.value
+        model = Gru(v).load(w)
+        for b in batches:
+            sizes = b["n_tokens"].to_numpy()
+            part = (np.cumsum(sizes) - sizes) // SEGMENT_TOKENS
+            edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(sizes)]
+            for a, z in zip(edges, edges[1:]):
+                if a == z:
+                    continue
+                ids = np.concatenate([np.frombuffer(x.as_py(), np.uint16) for x in b["ids"].slice(a, z - a)])
+                got = model.score(ids.astype(np.int32), sizes[a:z]) / LOG10
+                yield pa.RecordBatch.from_arrays(
+                    [*(b[c].slice(a, z - a) for c in ("doc_id", "n_tokens", "n_known", "base_score")),
+                     pa.array(got + b["tail_score"].slice(a, z - a).to_numpy())],
+                    ["doc_id", "n_tokens", "n_known", "base_score", "score"])
 
-    return (dealt.groupBy("chunk").cogroup(counted.select("chunk", "bucket", "counts").groupBy("chunk"))
-            .applyInArrow(score, RESULT).withColumn("train_tokens", F.lit(vocabulary.n).cast("long")))
+    return (encoded.select("doc_id", "n_tokens", "n_known", "base_score", "tail_score", "ids").mapInArrow(score, RESULT)
+            .withColumn("train_tokens", F.lit(vocabulary.n).cast("long")))
 
 
 def vocabulary_of(counted: DataFrame) -> Vocabulary:

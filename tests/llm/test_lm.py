@@ -66,14 +66,97 @@ def test_model_beats_the_base_score_on_held_out_texts(spark):
     assert sum(r.score > r.base_score for r in got) > 0.7 * len(got)
 
 
+def encoded(spark, rows):
+    """Documents as numbers: (doc_id, row, train, word numbers)."""
+    return spark.createDataFrame([(i, r, t, np.array(x, np.uint16).tobytes()) for i, r, t, x in rows],
+                                 "doc_id long, row long, train boolean, ids binary")
+
+
 def test_every_training_document_gives_a_gradient(spark):
-    """Also alone in its table; and each is in one round."""
+    """Also alone in its table; equal rows count as often as they are there."""
     v = vocabulary()
-    docs = spark.createDataFrame([(i, f"text number {i} of a few", i != 3) for i in range(6)], "doc_id long, text string, train boolean")
-    rounds = [r.doc_id for k in range(M.ROUNDS) for r in M.in_round(docs, k).collect()]
-    assert sorted(rounds) == [0, 1, 2, 4, 5]
+    rows = [(i, 100 + i, i != 3, [i, 5, 9, M.HEAD + i]) for i in range(6)] + [(1, 101, True, [1, 5, 9, M.HEAD + 1])] * 3
+    dealt = M.training_rows(encoded(spark, rows)).collect()
+    assert sorted((r.doc_id, r.copy) for r in dealt) == [(0, 0), (1, 0), (1, 1), (1, 2), (1, 3), (2, 0), (4, 0), (5, 0)]
     for i in range(6):
-        assert (M.fit(docs.filter(F.col("doc_id") == i), v) != M.Gru(v).flat()).any() == (i != 3)
+        assert (M.fit(encoded(spark, rows[i:i + 1]), v) != M.Gru(v).flat()).any() == (i != 3)
+
+
+def test_scores_do_not_depend_on_how_files_are_cut(spark, monkeypatch, sample_docs):
+    monkeypatch.setattr(M, "GROUP_TOKENS", 9_000)  # several groups
+    docs = sample_docs.select("doc_id", "text")
+    training = crc_fold(F.col("doc_id"), 10) != 0
+    one, eight = ({r.doc_id: r.score for r in M.score_texts(docs.repartition(n), training).collect()} for n in (1, 8))
+    assert one.keys() == eight.keys()
+    assert all(math.isclose(one[k], eight[k], rel_tol=1e-6) for k in one)
+
+
+def test_equal_rows_are_dealt_to_many_chunks(spark):
+    docs = spark.createDataFrame([(7, "the same few words over and over " * 12)] * 3_000, "doc_id long, text string")
+    got = M.score_texts(docs, F.lit(True)).collect()
+    assert len(got) == 3_000 and {r.train_tokens for r in got} == {3_000 * 85}
+    assert len({r.base_score for r in got}) == 1 and max(r.score for r in got) - min(r.score for r in got) < 1e-2
+    chunk = F.pmod(F.xxhash64(F.xxhash64("doc_id", "text"), F.monotonically_increasing_id()), F.lit(16))
+    assert docs.select(chunk.alias("c")).distinct().count() == 16
+
+
+def plain_score(model, v, keys, counts, n, distinct):
+    """The log10 probability of one text, a word at a time in double precision."""
+    sigmoid = lambda x: 1 / (1 + np.exp(-x))
+    h, total, k = np.zeros(M.HIDDEN), 0.0, M.HIDDEN
+    for key, c in zip(keys, counts):
+        i = int(v.ids(np.array([key]))[0])
+        e = h @ model.class_w + model.class_b
+        cls = i // M.MEMBERS if i < M.HEAD else i - M.HEAD + M.HEAD // M.MEMBERS
+        total += (e[cls] - np.log(np.exp(e).sum())) / M.LOG10
+        if i < M.HEAD:
+            m = h @ model.member_w[cls] + model.member_b[cls]
+            total += (m[i % M.MEMBERS] - np.log(np.exp(m).sum())) / M.LOG10
+        else:
+            total += math.log10((c + 0.1) / (v.tail_n[i - M.HEAD] + 0.1 * (v.tail_v[i - M.HEAD] + 1)))
+        x, g = model.inputs[i].astype(float), h @ model.recurrent
+        z, r = sigmoid(x[:k] + g[:k]), sigmoid(x[k:2 * k] + g[k:2 * k])
+        h = z * h + (1 - z) * np.tanh(x[2 * k:] + r * g[2 * k:])
+    return total
+
+
+def test_model_scores_equal_a_word_by_word_model(spark, monkeypatch, sample_docs):
+    kept = {}
+    fit = M.fit
+    monkeypatch.setattr(M, "fit", lambda e, v: kept.setdefault("w", (v, fit(e, v)))[1])
+    training = crc_fold(F.col("doc_id"), 10) != 0
+    docs = sample_docs.select("doc_id", "text")
+    got = {r.doc_id: r.score for r in M.score_texts(docs, training).collect()}
+    v, w = kept["w"]
+    model, rows = M.Gru(v).load(w), docs.withColumn("t", training).collect()
+    c = Counter()
+    for r in rows:
+        if r.t:
+            c.update(M.keys_of([r.text])[0].tolist())
+    for r in rows[:12]:
+        keys = M.keys_of([r.text])[0]
+        want = plain_score(model, v, keys, [c[int(k)] for k in keys], v.n, v.v)
+        assert math.isclose(got[r.doc_id], want, rel_tol=1e-4)
+
+
+def test_keys_tell_words_apart_and_share_tails():
+    texts = ["one two  three\nthree", None, "", "  ", "é x ONE", "three"]
+    keys, sizes = M.keys_of(texts)
+    assert sizes.tolist() == [5, 1, 1, 1, 4, 2]
+    each = np.split(keys, np.cumsum(sizes)[:-1])
+    assert each[0][2] == each[0][3] == each[5][0] and each[4][2] == each[0][0]
+    assert len(set(keys.tolist())) == 6 and {int(x[-1]) for x in each} == {int(M.END)}
+    a, b = M.keys_of(["alone stone"])[0][:2]
+    assert a % M.TAILS == b % M.TAILS and a != b
+
+
+def test_the_registered_query(spark):
+    from adinsight.llm.queries import op5_lm_scoring
+    import zlib
+    got = op5_lm_scoring(spark, "/root/testdata/sf0.001").collect()
+    rows = table(spark, "/root/testdata/sf0.001", "documents").collect()
+    assert sorted(r.doc_id for r in got) == sorted(r.doc_id for r in rows)
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 10 == 0) for r in got)
 
 
 def test_streams_hold_every_word():
