@@ -1,18 +1,25 @@
 """Toxicity: a weighted finite-state grammar over clauses, with learned insults.
 
-Words become classes (insult, harm, intent, target, negation, report, quote, end
-of clause).  Four small weighted transducers are composed into one:
+Weighted transducers are composed, the first over letters, the others over the
+word classes it writes (insult, harm, intent, target, negation, report, quotes,
+end of clause):
 
+* insult: reads the letters of a word; the weights of its arcs add up to the
+  learned weight of the best stem on the way, and a word of any weight is an insult;
 * threat: an intent word soon followed by a harm word becomes a threat;
 * negation: an insult or threat soon after a negation loses weight;
-* reported speech: so does one after a verb of saying or inside quotes;
+* reported speech: so does one after a verb of saying, to the clause's end, or
+  between quotes that open and close in one paragraph;
 * target: one in a clause that names a person or group gains weight.
 
-A clause scores the sum of its insults and threats at the weights left by the
-composed transducer.  A logistic function of the clause scores of a text (sum,
-sum per word, best clause, number) is its score.
+Words of the other transducers' classes keep them: negations, verbs of saying,
+intents and targets are never insults, a harm word may be one besides.  Clauses
+end at their marks and at line ends, paragraphs at blank lines.  A clause scores
+the sum of its insults and threats at the weights left by the composed
+transducer.  A logistic function of the clause scores of a text (sum, sum per
+word, best clause, number) is its score.
 
-The insult transducer's words are learned: beginnings of words (and whole
+The insult transducer's stems are learned: beginnings of words (and whole
 words) with their log rate ratio between toxic and other labelled texts.  The
 stems are learned from one half of the labelled rows and the logistic function
 from the other, so that stems seen by chance carry no weight.  Both use at most
@@ -44,7 +51,8 @@ STEM_LETTERS = range(4, 9)
 MIN_RATIO, MIN_TEXTS, MIN_TEXT_SHARE = 1.5, 4, 0.004
 MEMO_WORDS = 200_000
 
-OTHER, INSULT, HARM, INTENT, TARGET, NEGATION, REPORT, QUOTE, END, THREAT = range(10)
+CLASSES = range(11)
+OTHER, INSULT, HARM, INTENT, TARGET, NEGATION, REPORT, OPEN, CLOSE, END, THREAT = CLASSES
 
 #: Fixed word classes of the grammar.
 WORD_CLASSES = {
@@ -74,14 +82,14 @@ class Transducer:
         arcs, todo = {}, [start]
         while todo:
             a, b = state = todo.pop()
-            for c in range(10):
+            for c in CLASSES:
                 if (a, c) not in self.arcs:
                     continue
                 a2, out, w = self.arcs[a, c]
                 b2, out2, w2 = other.arcs[b, out]
                 if (state, c) not in arcs:
                     arcs[state, c] = ((a2, b2), out2, w + w2)
-                    if not any(((a2, b2), k) in arcs for k in range(10)):
+                    if not any(((a2, b2), k) in arcs for k in CLASSES):
                         todo.append((a2, b2))
         return Transducer(start, arcs)
 
@@ -96,7 +104,7 @@ def _countdown(on: int, changed) -> Transducer:
     """After class ``on``, for ``NEAR`` words, arcs are those of ``changed(class)``."""
     arcs = {}
     for s in range(NEAR + 1):
-        for c in range(10):
+        for c in CLASSES:
             nxt = NEAR if c == on else 0 if c == END else max(0, s - 1)
             arcs[s, c] = (nxt, *(changed(c) if s else (c, 0.0)))
     return Transducer(0, arcs)
@@ -106,9 +114,8 @@ def _speech() -> Transducer:
     """Reported speech: from a verb of saying to the clause's end, or between quotes."""
     arcs = {}
     for s in range(3):  # outside, after a verb, in quotes
-        for c in range(10):
-            nxt = (1 if c == REPORT and s == 0 else 0 if c == END and s == 1 else
-                   (0 if s == 2 else 2) if c == QUOTE else s)
+        for c in CLASSES:
+            nxt = 2 if c == OPEN else 0 if c == CLOSE or (c == END and s == 1) else 1 if c == REPORT and s == 0 else s
             arcs[s, c] = (nxt, c, REPORTED if s and c in (INSULT, THREAT) else 0.0)
     return Transducer(0, arcs)
 
@@ -116,7 +123,7 @@ def _speech() -> Transducer:
 def _target() -> Transducer:
     arcs = {}
     for s in range(2):
-        for c in range(10):
+        for c in CLASSES:
             nxt = 1 if c == TARGET else 0 if c == END else s
             arcs[s, c] = (nxt, c, TARGETED if s and c in (INSULT, THREAT) else 0.0)
     return Transducer(0, arcs)
@@ -130,7 +137,12 @@ def grammar() -> Transducer:
 
 QUOTES = "\"“”«»„"
 OPENING, CLOSING, ENDING = (frozenset(x) for x in ("\"“«„", "\"”»“", ".!?;:"))
-_STRIP = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~«»“”„…"
+_STRIP = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~«»“”„…’‘"
+
+
+def bare_word(token: str) -> str:
+    """A token without marks around it, lower-cased, with plain apostrophes."""
+    return token.strip(_STRIP).lower().replace("’", "'")
 
 
 def stems_of(bare: str) -> list[str]:
@@ -138,36 +150,85 @@ def stems_of(bare: str) -> list[str]:
     return [bare[:k] for k in STEM_LETTERS if k <= len(bare)] + [bare + "$"]
 
 
+class Insults:
+    """Weighted transducer over letters: the arcs of a word add up to the best stem that begins it.
+
+    States are the beginnings of stems; an arc's weight is what its letter adds
+    to the best stem so far.  ``$`` ends a word.  A letter without an arc leaves
+    the stems: no later letter adds anything.
+    """
+
+    def __init__(self, stems: dict[str, float]):
+        self.arcs: dict[tuple[int, str], tuple[int, float]] = {}
+        states, best = {"": 0}, [0.0]
+        for stem in sorted({s[:k] for s in stems for k in range(1, len(s) + 1)}, key=len):
+            before = states[stem[:-1]]
+            states[stem] = len(best)
+            best.append(max(best[before], stems.get(stem, 0.0)))
+            self.arcs[before, stem[-1]] = (states[stem], best[-1] - best[before])
+
+    def weight(self, bare: str) -> float:
+        state, total = 0, 0.0
+        for letter in bare + "$":
+            if (state, letter) not in self.arcs:
+                break
+            state, w = self.arcs[state, letter]
+            total += w
+        return total
+
+
 class Reader(dict):
-    """Token to (class, weight, whether it opens or closes a quote, whether it ends a clause)."""
+    """Token to its classes with their weights, and whether it opens or closes a quote or ends a clause."""
 
     def __init__(self, stems: dict[str, float]):
-        self.stems = stems
+        self.insults = Insults(stems)
         self.fixed = {w: c for c, ws in WORD_CLASSES.items() for w in ws.split()}
         self.machine = grammar()
 
     def __missing__(self, token: str) -> tuple:
         if len(self) >= MEMO_WORDS:
             self.clear()
-        bare = token.strip(_STRIP).lower()
-        weight = max((self.stems[s] for s in stems_of(bare) if s in self.stems), default=0.0)
-        cls = INSULT if weight else self.fixed.get(bare, OTHER)
+        bare = bare_word(token)
+        cls = self.fixed.get(bare, OTHER)
+        weight = self.insults.weight(bare) if cls in (OTHER, HARM) else 0.0
+        classes = ((INSULT, weight),) if weight > 0 and cls == OTHER else \
+            ((HARM, 0.0), (INSULT, weight)) if weight > 0 else ((cls, 0.0),)
         closing = token.rstrip(".,;:!?")[-1:]
-        out = self[token] = (cls, weight, token[:1] in OPENING, closing in CLOSING and len(token) > 1,
-                             token.rstrip(QUOTES)[-1:] in ENDING)
+        out = self[token] = (classes, token[:1] in OPENING, closing in CLOSING,
+                             token.rstrip(QUOTES)[-1:] in ENDING, weight > 0 or cls == HARM)
+        return out
+
+    def symbols(self, text: str) -> list[tuple[int, float]]:
+        """The classes of a text's words and marks; quotes only where they open and close in one paragraph."""
+        out: list[tuple[int, float]] = []
+        opened = None
+        for line in text.splitlines():
+            tokens = line.split()
+            if not tokens:
+                opened = None  # a paragraph ends
+            for token in tokens:
+                classes, opens, closes, ends, _ = self[token]
+                if opens and closes and len(token) == 1:  # a mark alone opens or closes, as its turn is
+                    opens, closes = opened is None, opened is not None
+                if opens and opened is None:
+                    opened = len(out)
+                    out.append((OTHER, 0.0))  # becomes an opening quote once it is closed
+                out += classes
+                if closes and opened is not None:
+                    out[opened] = (OPEN, 0.0)
+                    out.append((CLOSE, 0.0))
+                    opened = None
+                if ends:
+                    out.append((END, 0.0))
+            out.append((END, 0.0))
         return out
 
-    def clause_scores(self, tokens: list[str]) -> list[float]:
-        read = list(map(self.__getitem__, tokens))
-        if not any(r[0] in (INSULT, HARM) for r in read):
+    def clause_scores(self, text: str) -> list[float]:
+        if not any(self[t][-1] for t in text.split()):
             return []
-        classes, weights = [], []
-        for cls, w, opens, closes, ends in read:
-            for c, x in ((QUOTE, 0.0),) * opens + ((cls, w),) + ((QUOTE, 0.0),) * closes + ((END, 0.0),) * ends:
-                classes.append(c)
-                weights.append(x)
+        read = self.symbols(text)
         out, clause = [], 0.0
-        for (c, log_w), w in zip(self.machine.run(classes), weights):
+        for (c, log_w), (_, w) in zip(self.machine.run([c for c, _ in read]), read):
             if c == INSULT:
                 clause += w * math.exp(log_w)
             elif c == THREAT:
@@ -178,10 +239,10 @@ class Reader(dict):
         return [x for x in [*out, clause] if x > 0]
 
     def features(self, text: str | None) -> list[float]:
-        tokens = text.split() if text else []
-        s = self.clause_scores(tokens)
+        s = self.clause_scores(text) if text else []
         total = sum(s)
-        return [math.log1p(total), math.log1p(100 * total / max(len(tokens), 20)), max(s, default=0.0), math.log1p(len(s))]
+        words = len(text.split()) if s else 0
+        return [math.log1p(total), math.log1p(100 * total / max(words, 20)), max(s, default=0.0), math.log1p(len(s))]
 
 
 def _half(doc_id: str) -> Column:
@@ -189,13 +250,14 @@ def _half(doc_id: str) -> Column:
 
 
 def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``text, toxic, half`` of at most ``MAX_ROWS`` labelled documents."""
+    """``text, toxic, half, row`` (a hash of the row) of at most ``MAX_ROWS`` labelled documents."""
     chosen = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
               .filter("toxic IN (0, 1) AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_ROWS))
     # At most MAX_ROWS rows of two numbers, so it is sent to every task.
     return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-            .join(F.broadcast(chosen), "doc_id").select("text", "toxic", _half("doc_id").alias("half")))
+            .join(F.broadcast(chosen), "doc_id")
+            .select("text", "toxic", _half("doc_id").alias("half"), F.xxhash64("doc_id", "text").alias("row")))
 
 
 def learn_stems(rows: DataFrame) -> dict[str, float]:
@@ -205,7 +267,7 @@ def learn_stems(rows: DataFrame) -> dict[str, float]:
             # per stem: occurrences in other and toxic texts, and toxic texts
             n: dict[str, list[int]] = {}
             for text, toxic in zip(b["text"].to_pylist(), b["toxic"].to_pylist()):
-                words = Counter(t.strip(_STRIP).lower() for t in (text or "").split())
+                words = Counter(map(bare_word, (text or "").split()))
                 mine: Counter = Counter()
                 for w, k in words.items():
                     for s in stems_of(w):
@@ -254,9 +316,12 @@ def learn(docs: DataFrame, labels: DataFrame) -> tuple[dict[str, float], list[fl
         reader = Reader(stems)
         for b in batches:
             yield pa.RecordBatch.from_arrays(
-                [pa.array([reader.features(t.as_py()) for t in b["text"]], pa.list_(pa.float64())), b["toxic"]], ["x", "toxic"])
+                [pa.array([reader.features(t.as_py()) for t in b["text"]], pa.list_(pa.float64())), b["toxic"], b["row"]],
+                ["x", "toxic", "row"])
 
-    seen = rows.filter("half = 1").select("text", "toxic").mapInArrow(read, "x array<double>, toxic int").limit(MAX_ROWS).collect()
+    # Ids may be repeated in the documents: the rows with the smallest hashes.
+    seen = (rows.filter("half = 1").select("text", "toxic", "row").mapInArrow(read, "x array<double>, toxic int, row long")
+            .orderBy("row", "toxic").limit(MAX_ROWS).collect())
     x = np.array([r["x"] for r in seen], np.float64).reshape(-1, FEATURES)
     return stems, fit_logistic(x, np.array([r["toxic"] for r in seen], np.float64)).tolist()
 
