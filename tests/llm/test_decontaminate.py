@@ -52,7 +52,7 @@ def brute(docs, items, least=D.MIN_COVERAGE):
         for i in items:
             b = D.plain_words(i.text)
             if b and i.item_id is not None:
-                c = sum(x[2] for x in D.tiles(b, w)) / len(b)
+                c = sum(x[2] for x in D.tiles(b, w, min(D.SEED, len(b)))) / len(b)
                 if c >= least - 1e-9:
                     out.add((d.doc_id, i.item_id, round(c, 9)))
     return out
@@ -97,6 +97,43 @@ def test_items_of_repeated_lines(spark):
     assert got == brute(docs.collect(), bench.collect())
 
 
+def test_short_items_are_found_whole(spark):
+    items = [(1, "Three short words"), (2, "alone"), (3, "four words in all"), (4, "..."), (1, "another three words")]
+    docs = spark.createDataFrame([(1, "three, short WORDS"), (2, "three words short"), (3, prose(1, 50) + " four words in all " + prose(2, 50)),
+                                  (4, "Alone!"), (5, "another three words"), (6, "words in all"), (7, None)], "doc_id long, text string")
+    bench = spark.createDataFrame(items + items[:1], "item_id long, text string")
+    assert found(docs, bench) == {(1, 1, 1.0), (3, 3, 1.0), (4, 2, 1.0), (5, 1, 1.0)} == brute(docs.collect(), bench.collect())
+
+
+def test_a_prompt_that_all_items_share_joins_none_of_them(spark):
+    prompt = prose(300, 12)
+    items = [(k, f"{prompt} {prose(301 + k, 25)}") for k in range(60)]
+    docs = [(k, f"{prompt} {prose(500 + k, 80)}") for k in range(40)] + [(100 + k, f"{prose(600, 9)} {items[k][1]}") for k in range(0, 60, 9)]
+    # Items that are copies but for a few words join by what they share, and are all found.
+    items += [(900 + k, f"{prose(700, 30)} {prose(701 + k, 6)}") for k in range(20)]
+    docs += [(990, prose(700, 30))]
+    docs, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = found(docs, bench)
+    assert got == brute(docs.collect(), bench.collect())
+    assert {d for d, _, _ in got} == {*range(100, 160, 9), 990} and sum(d == 990 for d, _, _ in got) == 20
+
+
+def test_tiling_repetitive_texts_is_quick():
+    import time
+    start = time.monotonic()
+    assert D.tiles(["a"] * 70, ["a"] * 100_000) == [(0, 0, 70)]
+    both = D.tiles(["a", "b"] * 30 + ["c"] * 30, ["b", "a"] * 40_000 + ["c"] * 9)
+    assert sum(n for _, _, n in both) == 60 + 9 and time.monotonic() - start < 5
+
+
+def test_the_registered_query(spark):
+    from adinsight.llm.queries import op2_benchmark_decontamination
+    got = op2_benchmark_decontamination(spark, SF_SMALL).collect()
+    want = brute(table(spark, SF_SMALL, "documents").collect(), table(spark, SF_SMALL, "benchmark").collect())
+    assert got and all(r.contaminated and r.n_tiles > 0 for r in got)
+    assert {(r.doc_id, r.item_id, round(r.coverage, 9)) for r in got} == want
+
+
 def test_a_full_bitmap_changes_nothing(spark, monkeypatch):
     docs, bench = table(spark, SF_SMALL, "documents"), table(spark, SF_SMALL, "benchmark")
     want = found(docs, bench)
