@@ -1,23 +1,32 @@
 """Lexical retrieval packing: each document's window is filled with its BM25 neighbours.
 
 Documents are dealt into shards of a few MB by a hash, and each shard has its
-own inverted index.  Document frequencies and the mean length are those of the
-whole corpus: terms are hashed to ``TERMS`` numbers, so the frequencies are one
-array of fixed size, summed by Spark and sent to every task.  In a shard the
-first unused document is the seed; the unused neighbours its index returns fill
-its window one after the other.  One that does not fit is cut, and what is left
-of it opens the next window, with itself as the seed.  So only a shard's last
-window can stay open; it is cut into sequences whose lengths are powers of two
-and need no padding.
+own inverted index of all its terms.  A seed asks the index of its own shard: this
+bounds the work per document, but the neighbours it gets are those among a few MB
+of the corpus (README.md gives the recall against one index over everything).
+Terms are told apart by 44 bits of their hash.  Document frequencies and the mean
+length are those of the whole corpus; the frequencies are a count-min sketch of
+fixed size (two rows, the smaller count holds), summed by Spark and sent to every
+task, so a rare term may be taken for a more frequent one in its weight only.
+
+In a shard the first unused document is the seed; the unused neighbours its index
+returns fill its window one after the other.  One that does not fit is cut, and
+what is left of it opens the next window, with itself as the seed.  So only a
+shard's last window can stay open; it is cut into sequences whose lengths are
+powers of two and need no padding.
 
 Defined results: a null or empty text is the end id alone; equal rows are
-separate documents; an empty table gives an empty result; ids may be null and
-other columns are ignored.
+separate documents and spread over the shards (which shard a row is in follows
+from its place in the files, too); the string of a special token in a text is
+that token's id; an empty table gives an empty result; ids may be null and other
+columns are ignored.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -25,15 +34,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adinsight.llm.common import hashed_words, parts, text_bytes
-from adinsight.llm.tokens import encoder
+from adinsight.llm.tokens import PieceEncoder, encoder
 
 WINDOW = 1024
 END_ID = 0
+#: Strings of special tokens and their ids, recognised inside texts.
+SPECIAL = {"<|endoftext|>": 50256}
 SHARD_BYTES = 4_000_000
-#: Numbers that terms are hashed to, and those in one row of the summed counts.
-TERMS, BLOCK = 1 << 18, 1 << 12
-#: Terms of a seed that make up its query, as the end of a slice: all of them.
-QUERY_TERMS = None
+#: Bytes of text that the groups of one task hold, about.
+TASK_BYTES = 32_000_000
+#: Bits of a term's hash that tell it apart, and texts that are numbered beside them.
+TERM_BITS, TEXTS_NUMBERED = 44, 1 << 18
+#: Counts in a row of the sketch (a power of two), and those in one row of the table that is summed.
+SKETCH, BLOCK = 1 << 18, 1 << 12
 #: A term in one document of a shard in so many, or more, has a row of weights.
 ROW_SHARE = 8
 #: Texts whose terms are counted at once.
@@ -46,80 +59,132 @@ RESULT = ("doc_id long, start long, length long, ids binary, doc_tokens long, se
 
 
 def terms(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text, term number, occurrences), one entry per distinct term of each text, in order."""
-    each = [t.lower().encode() if t else b"" for t in texts]
-    ends = np.cumsum([len(x) + 1 for x in each])
-    hashes, at = hashed_words(b"\n".join(each))
-    term, text = hashes.astype(np.int64) & (TERMS - 1), np.searchsorted(ends, at, side="right")
-    both, n = np.unique(text * TERMS + term, return_counts=True)
-    return both // TERMS, both % TERMS, n
+    """(text, term, occurrences), one entry per distinct term of each text, in order."""
+    out = []
+    for first in range(0, max(len(texts), 1), TEXTS_NUMBERED):
+        each = [t.lower().encode() if t else b"" for t in texts[first:first + TEXTS_NUMBERED]]
+        ends = np.cumsum([len(x) + 1 for x in each])
+        hashes, at = hashed_words(b"\n".join(each))
+        term, text = (hashes >> np.uint64(64 - TERM_BITS)).astype(np.int64), np.searchsorted(ends, at, side="right")
+        both, n = np.unique(text << TERM_BITS | term, return_counts=True)
+        out.append(((both >> TERM_BITS) + first, both & ((1 << TERM_BITS) - 1), n))
+    return tuple(np.concatenate(x) for x in zip(*out))
+
+
+def _bins(term: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where a term is counted in each row of the sketch: by bits of their own."""
+    return term & (SKETCH - 1), (term >> (TERM_BITS // 2)) & (SKETCH - 1)
+
+
+@dataclass
+class Frequencies:
+    """Document frequencies of the corpus as a count-min sketch, its documents and their mean length."""
+
+    sketch: np.ndarray  # 2 x SKETCH
+    documents: int
+    mean: float
+
+    def df(self, term: np.ndarray) -> np.ndarray:
+        one, two = _bins(term)
+        return np.minimum(self.sketch[0][one], self.sketch[1][two])
 
+    def idf(self, term: np.ndarray) -> np.ndarray:
+        df = self.df(term)
+        return np.log1p(np.maximum(self.documents - df + 0.5, 0.5) / (df + 0.5))
 
-def corpus_counts(docs: DataFrame) -> tuple[np.ndarray, int, float]:
-    """Document frequency of every term number, the documents and their mean length in words."""
+
+def corpus_counts(docs: DataFrame) -> Frequencies:
+    """The frequencies of all terms in all ``docs`` (text)."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, n, length = np.zeros(TERMS, np.int64), 0, 0
+        total, n, length = np.zeros((2, SKETCH), np.int64), 0, 0
         for b in batches:
             for at in range(0, b.num_rows, TEXTS_AT_ONCE):
                 texts = b["text"].slice(at, TEXTS_AT_ONCE).to_pylist()
                 _, term, f = terms(texts)
-                total += np.bincount(term, minlength=TERMS)
+                for row, bins in zip(total, _bins(term)):
+                    row += np.bincount(bins, minlength=SKETCH)
                 n, length = n + len(texts), length + int(f.sum())
         if n:
-            full = np.flatnonzero(total.reshape(-1, BLOCK).any(1))
+            blocks = total.reshape(-1, BLOCK)
+            full = np.flatnonzero(blocks.any(1))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([*full.tolist(), -1]),
-                 pa.array([total[i * BLOCK:(i + 1) * BLOCK].tolist() for i in full] + [[n, length]], pa.list_(pa.int64()))],
+                 pa.array([*(blocks[i].tobytes() for i in full), np.array([n, length]).tobytes()], pa.binary())],
                 ["block", "counts"])
 
-    summed = (docs.select("text").mapInArrow(count, "block long, counts array<long>")
-              .select("block", F.posexplode("counts").alias("at", "n"))
-              .groupBy("block", "at").agg(F.sum("n").alias("n"))
-              .groupBy("block").agg(F.sort_array(F.collect_list(F.struct("at", "n"))).alias("c"))
-              .select("block", "c.n").collect())  # TERMS / BLOCK + 1 rows at most
-    df, n, length = np.zeros(TERMS, np.int64), 0, 0
-    for r in summed:
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}  # at most 2 * SKETCH / BLOCK + 1 blocks
+        for b in batches:
+            for block, counts in zip(b["block"].to_pylist(), b["counts"]):
+                x = np.frombuffer(counts.as_py(), np.int64)
+                sums[block] = sums[block] + x if block in sums else x
+        if sums:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(sums), pa.int64()), pa.array([x.tobytes() for x in sums.values()], pa.binary())], ["block", "counts"])
+
+    schema = "block long, counts binary"
+    summed = (docs.select("text").mapInArrow(count, schema).repartition("block").mapInArrow(add, schema)).collect()
+    sketch, n, length = np.zeros((2 * SKETCH // BLOCK, BLOCK), np.int64), 0, 0
+    for r in summed:  # a block is in one partition
+        x = np.frombuffer(r["counts"], np.int64)
         if r["block"] < 0:
-            n, length = r["n"]
+            n, length = x.tolist()
         else:
-            df[r["block"] * BLOCK:(r["block"] + 1) * BLOCK] = r["n"]
-    return df, n, length / n if n else 1.0
+            sketch[r["block"]] = x
+    return Frequencies(sketch.reshape(2, SKETCH), n, length / n if n else 1.0)
 
 
 class ShardIndex:
     """BM25 inverted index over the documents of one shard, with document removal."""
 
-    def __init__(self, texts: list[str | None], idf: np.ndarray, mean: float):
+    def __init__(self, texts: list[str | None], corpus: Frequencies):
         doc, term, f = terms(texts)
         n = np.bincount(doc, minlength=len(texts))
-        norm = K1 * (1 - B + B * np.bincount(doc, f, len(texts)) / max(mean, 1e-9))
-        weight = idf[term].astype(np.float64) * f * (K1 + 1) / (f + norm[doc])
-        place = np.unique(term, return_inverse=True)[1]
+        norm = K1 * (1 - B + B * np.bincount(doc, f, len(texts)) / max(corpus.mean, 1e-9))
+        distinct, place = np.unique(term, return_inverse=True)
+        weight = corpus.idf(distinct)[place] * f * (K1 + 1) / (f + norm[doc])
         # A document's query: all its distinct terms.
-        self.query = [q[:QUERY_TERMS] for q in np.split(place, np.cumsum(n)[:-1])]
+        self.query = np.split(place, np.cumsum(n)[:-1])
         by_term = np.argsort(place, kind="stable")
         self.doc, self.weight = doc[by_term], weight[by_term]
-        self.df = np.bincount(place)
+        self.df = np.bincount(place, minlength=1)
         self.first = np.cumsum(self.df) - self.df
         # Frequent terms have a row each, at most ROW_SHARE times their entries.
         frequent = self.df * ROW_SHARE >= len(texts)
         self.row = np.where(frequent, np.cumsum(frequent) - 1, -1)
-        self.rows = np.zeros((int(frequent.sum()), len(texts)))
+        self.rows = np.zeros((int(frequent.sum()), len(texts)), np.float32)
         own = frequent[place]
         self.rows[self.row[place[own]], doc[own]] = weight[own]
         self.unused = np.ones(len(texts), bool)
 
-    def neighbours(self, seed: int) -> np.ndarray:
-        """Unused documents that share a term with ``seed``, best first."""
+    def scores(self, seed: int) -> np.ndarray:
+        """BM25 of every document of the shard for the query of ``seed``."""
         k = self.query[seed]
         row = self.row[k]
-        score = self.rows[row[row >= 0]].sum(0)
+        score = self.rows[row[row >= 0]].sum(0, dtype=np.float64)
         k = k[row < 0]
         df = self.df[k]
         at = np.repeat(self.first[k] - (np.cumsum(df) - df), df) + np.arange(df.sum())
-        score += np.bincount(self.doc[at], self.weight[at], minlength=len(score))
-        found = np.flatnonzero((score > 0) & self.unused)
-        return found[np.argsort(-score[found], kind="stable")]
+        return score + np.bincount(self.doc[at], self.weight[at], minlength=len(score))
+
+    def neighbours(self, seed: int) -> Iterator[int]:
+        """Unused documents that share a term with ``seed``, best first; those of equal scores by place."""
+        score = np.where(self.unused, self.scores(seed), 0.0)
+        while score[best := int(score.argmax())] > 0:
+            yield best
+            score[best] = 0.0
+
+
+def token_ids(enc: PieceEncoder, texts: list[str | None]) -> list[np.ndarray]:
+    """Ids of each text (int32), special tokens recognised: what stands between them is encoded apart."""
+    ids = enc.encode(texts)
+    for i, t in enumerate(texts):
+        if t and any(s in t for s in SPECIAL):
+            parts = re.split("(" + "|".join(map(re.escape, SPECIAL)) + ")", t)
+            each = enc.encode(parts[::2])
+            marks = [np.array([SPECIAL[m]], np.int32) for m in parts[1::2]]
+            ids[i] = np.concatenate([x for pair in zip(each, [*marks, marks[0][:0]]) for x in pair])
+    return ids
 
 
 def filling_order(index: ShardIndex, sizes: list[int], window: int) -> Iterator[int]:
@@ -139,9 +204,9 @@ def filling_order(index: ShardIndex, sizes: list[int], window: int) -> Iterator[
         cut_one = None
         for d in index.neighbours(seed) if free else ():
             index.unused[d] = False
-            yield int(d)
+            yield d
             if sizes[d] >= free:
-                cut_one = int(d) if sizes[d] > free else None
+                cut_one = d if sizes[d] > free else None
                 free = (free - sizes[d]) % window
                 break
             free -= sizes[d]
@@ -165,13 +230,12 @@ def pack(docs: DataFrame, ranks_path: str, window: int = WINDOW) -> DataFrame:
     a document is its text's ids and ``END_ID``.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    df, n_docs, mean = corpus_counts(texts)
-    idf = np.log1p((n_docs - df + 0.5) / (df + 0.5))
-    shared = docs.sparkSession.sparkContext.broadcast((idf, mean))  # TERMS numbers, whatever the input
-    shards = parts(text_bytes(texts), SHARD_BYTES)
+    # Two rows of SKETCH numbers, whatever the input.
+    shared = docs.sparkSession.sparkContext.broadcast(corpus_counts(texts))
+    total = text_bytes(texts)
+    shards = parts(total, SHARD_BYTES)
 
     def fill(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
-        idf, mean = shared.value
         shard = key[0].as_py()
         rows = sorted(zip(group["doc_id"].to_pylist(), group["text"].to_pylist()),
                       key=lambda r: (r[0] is None, r[0] or 0, r[1] or ""))
@@ -180,10 +244,10 @@ def pack(docs: DataFrame, ranks_path: str, window: int = WINDOW) -> DataFrame:
             part.append(t)
             chars += len(t or "")
             if chars >= CHARS_AT_ONCE or n == len(rows) - 1:
-                ids += [np.append(x, END_ID).astype("<u4") for x in enc.encode(part)]
+                ids += [np.append(x, END_ID).astype("<u4") for x in token_ids(enc, part)]
                 part, chars = [], 0
         sizes = [len(x) for x in ids]
-        index = ShardIndex([t for _, t in rows], idf, mean)
+        index = ShardIndex([t for _, t in rows], shared.value)
         out = []
         lengths = sequence_lengths(sum(sizes), window)
         seq, at, room = shard << 32, 0, next(lengths, 0)
@@ -200,5 +264,6 @@ def pack(docs: DataFrame, ranks_path: str, window: int = WINDOW) -> DataFrame:
         names = ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
         return pa.table({c: pa.array(v, k) for c, v, k in zip(names, cols, kinds)})
 
-    return (texts.withColumn("shard", F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards)))
+    shard = F.pmod(F.xxhash64("doc_id", "text", F.monotonically_increasing_id()), F.lit(shards))
+    return (texts.withColumn("shard", shard).repartition(parts(total, TASK_BYTES), "shard")
             .groupBy("shard").applyInArrow(fill, RESULT))

@@ -14,7 +14,8 @@ from adinsight.llm.queries import packed_pieces, ranks_path
 from adinsight.llm.tokens import PieceEncoder, encoder
 
 tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-tokenizer.encode_special_tokens = True
+ordinary = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+ordinary.encode_special_tokens = True
 
 
 def want(text):
@@ -24,7 +25,22 @@ def want(text):
 @settings(max_examples=400, deadline=None)
 @given(st.lists(st.text(alphabet=st.sampled_from("ab'stE 9\n\t \u00a0\x1c\u3000é漢.,-<|>endoftxrvm"), max_size=40), max_size=4))
 def test_pieces_encode_as_the_whole_text(texts):
-    assert [x.tolist() for x in encoder(ranks_path()).encode(texts)] == [want(t) for t in texts]
+    plain = [ordinary.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [x.tolist() for x in encoder(ranks_path()).encode(texts)] == plain
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(["<|endoftext|>", " ", "a", "b c", "\n", ".", " the", "<|", "|>", "é"]), max_size=9).map("".join), max_size=4))
+def test_special_tokens_in_texts_are_their_ids(texts):
+    assert [x.tolist() for x in P.token_ids(encoder(ranks_path()), texts)] == [want(t) for t in texts]
+
+
+def test_special_tokens_are_packed(spark):
+    rows = [(1, "<|endoftext|>"), (2, "a <|endoftext|> b"), (3, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in P.pack(docs, ranks_path(), 64).collect() if r.length == r.doc_tokens}
+    assert got and all(got[i] == [*want(t), 0] for i, t in rows if i in got)
+    check(docs, P.pack(docs, ranks_path(), 64), 64)
 
 
 def test_memory_limits_change_nothing(monkeypatch, sample_docs):
@@ -87,49 +103,70 @@ def test_empty_table(no_docs):
 
 
 def test_corpus_counts_are_those_of_all_documents(sample_docs):
-    df, n, mean = P.corpus_counts(sample_docs)
-    want_df, words = np.zeros(P.TERMS, np.int64), 0
-    rows = sample_docs.collect()
+    corpus = P.corpus_counts(sample_docs)
+    rows, words, df = sample_docs.collect(), 0, defaultdict(int)
     for r in rows:
         _, t, f = P.terms([r.text])
-        want_df[t] += 1
         words += f.sum()
-    assert (df == want_df).all() and n == len(rows) and mean == words / n
+        for x in t.tolist():
+            df[x] += 1
+    got = corpus.df(np.array(list(df)))
+    assert corpus.documents == len(rows) and corpus.mean == words / len(rows)
+    assert (got >= list(df.values())).all() and (got == list(df.values())).mean() > 0.99
 
 
-def test_neighbours_are_the_best_by_bm25_and_unused(sample_docs):
-    texts = [r.text for r in sample_docs.limit(60).collect()]
-    df, n, mean = P.corpus_counts(sample_docs)
-    idf = np.log1p((n - df + 0.5) / (df + 0.5))
-    index = P.ShardIndex(texts, idf.astype(np.float32), mean)
-    index.unused[[3, 5]] = False
-    docs = [dict(zip(*(x.tolist() for x in P.terms([t])[1:]))) for t in texts]
-    weight = lambda d, t: idf[t] * docs[d][t] * (P.K1 + 1) / (
-        docs[d][t] + P.K1 * (1 - P.B + P.B * sum(docs[d].values()) / mean))
-    for seed in (0, 3, 17):
-        query = sorted(docs[seed], key=lambda t: -weight(seed, t))[:P.QUERY_TERMS]
-        score = {d: sum(weight(d, t) for t in query if t in docs[d]) for d in range(len(texts)) if d not in (3, 5)}
-        got = index.neighbours(seed).tolist()
-        assert set(got) == {d for d, s in score.items() if s > 0}
-        assert all(score[a] >= score[b] - 1e-3 for a, b in zip(got, got[1:]))
+class Known(P.Frequencies):
+    """Weights given by hand."""
 
+    def __init__(self, idf, mean):
+        self.given, self.mean = idf, mean
 
-def test_neighbours_by_every_term_of_the_seed(sample_docs):
+    def idf(self, term):
+        return np.array([self.given(int(t)) for t in term])
+
+
+def bm25(docs, idf, mean, seed):
+    """Score of every document that shares a term with ``seed``, by the formula."""
+    out = {}
+    for d, own in enumerate(docs):
+        norm = P.K1 * (1 - P.B + P.B * sum(own.values()) / mean)
+        out[d] = sum(idf(t) * own[t] * (P.K1 + 1) / (own[t] + norm) for t in docs[seed] if t in own)
+    return {d: s for d, s in out.items() if s > 0}
+
+
+def test_neighbours_are_the_best_by_bm25_and_unused(sample_docs):
     texts = [" ".join([*(f"rare{k}" for k in range(60)), "shared"]), "shared", "rare59 shared", "", "alone", "rare3 " * 3,
              *(r.text for r in sample_docs.limit(60).collect())]
-    idf = np.random.default_rng(4).uniform(0.5, 9, P.TERMS)
-    idf[P.terms(["shared"])[1]] = 0.01  # last of the seed's terms by weight
-    index = P.ShardIndex(texts, idf, 90.0)
+    low = int(P.terms(["shared"])[1][0])
+    idf = lambda t: 0.01 if t == low else 0.5 + t % 1000 / 120
     docs = [dict(zip(*(x.tolist() for x in P.terms([t])[1:]))) for t in texts]
-    for seed in (0, 2, 3, 7, 30):
-        score = {}
-        for d, own in enumerate(docs):
-            norm = P.K1 * (1 - P.B + P.B * sum(own.values()) / 90.0)
-            score[d] = sum(idf[t] * own[t] * (P.K1 + 1) / (own[t] + norm) for t in docs[seed] if t in own)
-        got = index.neighbours(seed).tolist()
-        assert set(got) == {d for d, s in score.items() if s > 0}
-        assert all(score[a] >= score[b] - 1e-9 for a, b in zip(got, got[1:]))
-    assert {0, 1, 2, 5} <= set(index.neighbours(0).tolist())
+    for used in ([], [3, 5, 9]):
+        index = P.ShardIndex(texts, Known(idf, 90.0))
+        index.unused[used] = False
+        for seed in (0, 2, 3, 7, 30):
+            score = {d: s for d, s in bm25(docs, idf, 90.0, seed).items() if d not in used}
+            got = list(index.neighbours(seed))
+            assert len(got) == len(set(got)) and set(got) == set(score)
+            assert all(score[a] >= score[b] - 1e-4 for a, b in zip(got, got[1:]))
+    assert {0, 1, 2, 5} <= set(P.ShardIndex(texts, Known(idf, 90.0)).neighbours(0))
+
+
+def test_equal_rows_are_spread_over_the_shards(spark, monkeypatch):
+    monkeypatch.setattr(P, "SHARD_BYTES", 20_000)
+    docs = spark.createDataFrame([(1, "the same few words " * 20)] * 2_000, "doc_id long, text string")
+    got = P.pack(docs, ranks_path(), 256).collect()
+    assert sum(r.length for r in got) == 2_000 * (len(want("the same few words " * 20)) + 1)
+    assert len({r.sequence_id >> 32 for r in got}) == 38
+
+
+def test_terms_of_many_texts_are_those_of_each(monkeypatch):
+    monkeypatch.setattr(P, "TEXTS_NUMBERED", 3)
+    texts = ["a b a", None, "", "c", "a b a", "b", "d d d"]
+    doc, term, n = P.terms(texts)
+    each = [P.terms([t]) for t in texts]
+    assert doc.tolist() == [i for i, x in enumerate(each) for _ in x[1]]
+    assert term.tolist() == [t for x in each for t in x[1].tolist()] and n.tolist() == [k for x in each for k in x[2].tolist()]
+    assert [len(x) for x in P.terms([])] == [0, 0, 0]
 
 
 def test_a_window_holds_the_seeds_neighbours(spark):
