@@ -5,6 +5,21 @@ from __future__ import annotations
 #: Words ``[^\x20\x09-\x0D]+`` of a text as a list; a null text has none.
 _WORDS = "list_filter(regexp_split_to_array(coalesce({0}, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')"
 
+#: Windows as texts, counted over all documents.
+OP4_SQL = f"""
+WITH word AS (SELECT row_number() OVER () AS rid, doc_id, {_WORDS.format("text")} AS w FROM documents),
+one AS (SELECT rid, unnest(range(1, len(w) + 1)) AS i, unnest(w) AS x FROM word),
+win AS (SELECT rid, unnest(range(1, len(w) - 33)) AS i, w FROM word WHERE len(w) >= 35),
+hashed AS (SELECT rid, i, md5(array_to_string(w[i:i + 34], ' ')) AS h FROM win),
+often AS (SELECT h FROM hashed GROUP BY h HAVING count(*) > 1),
+gone AS (SELECT DISTINCT rid, unnest(range(i, i + 35)) AS i FROM hashed SEMI JOIN often ON hashed.h = often.h),
+kept AS (SELECT one.rid, count(*) AS n, string_agg(x, ' ' ORDER BY one.i) AS text
+         FROM one ANTI JOIN gone ON one.rid = gone.rid AND one.i = gone.i GROUP BY one.rid)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM word LEFT JOIN kept ON word.rid = kept.rid
+"""
+
 #: CRC-32 of a decimal number: a register, each byte followed by eight shifts (-1).
 _CRC = """xor(4294967295, list_reduce(
     list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(CAST({0} AS VARCHAR), ''),

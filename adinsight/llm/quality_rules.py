@@ -188,11 +188,11 @@ def labelled_rows(docs: DataFrame, labels: DataFrame) -> list[tuple[dict, int]]:
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_ROWS))
     # At most MAX_ROWS rows of two numbers, so it is sent to every task.
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    joined = texts.join(F.broadcast(chosen), "doc_id")
+    joined = texts.join(F.broadcast(chosen), "doc_id").withColumn("hash", F.xxhash64("doc_id", "text"))
     names = features()
     rows = (with_counts(joined).filter(~base_failed())
-            .select(F.col("row.quality").alias("quality"), *[c.alias(f) for f, c in names.items()])
-            .limit(MAX_ROWS).collect())
+            .select(F.col("row.quality").alias("quality"), F.col("row.hash").alias("hash"), *[c.alias(f) for f, c in names.items()])
+            .orderBy("hash", "quality").limit(MAX_ROWS).collect())  # ids may be repeated in the documents
     return [({f: r[f] for f in names}, 1 - r["quality"]) for r in rows]
 
 

@@ -13,7 +13,7 @@ from adinsight.llm.common import crc_fold, table
 from adinsight.llm.decontaminate import leaks
 from adinsight.llm.line_dedup import BLANKS, MIN_SITES, remove_spread_lines
 from adinsight.llm.lm import score_texts
-from adinsight.llm.oracles import OP11_SQL, OP12_SQL, OP13_SQL
+from adinsight.llm.oracles import OP4_SQL, OP11_SQL, OP12_SQL, OP13_SQL
 from adinsight.llm.packing import pack
 from adinsight.llm.periodic_runs import periodic_runs, planted, strongest
 from adinsight.llm.quality_rules import judged, labelled_rows, learn
@@ -174,5 +174,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_line_dedup": OP3_SQL, "op8_chat_formatting": OP8_SQL, "op11_periodic_runs": OP11_SQL,
-            "op12_merkle_manifest": OP12_SQL, "op13_minhash_near_dedup": OP13_SQL}
+    return {"op3_line_dedup": OP3_SQL, "op4_substring_dedup": OP4_SQL, "op8_chat_formatting": OP8_SQL,
+            "op11_periodic_runs": OP11_SQL, "op12_merkle_manifest": OP12_SQL, "op13_minhash_near_dedup": OP13_SQL}

@@ -16,7 +16,8 @@ mistaken for repeated stays near ``BUCKET_WINDOWS / 2**64`` at every size.
 Defined results: a null or empty text has no words and gives ``n_words`` 0, no
 spans and an empty ``kept_text``; texts shorter than the window lose nothing;
 rows with equal ids and texts are separate documents and repeat each other; an
-empty table gives an empty result; other columns are ignored.
+empty table gives an empty result; other columns are ignored.  The documents must
+be the same each time they are read, as files are.
 """
 
 from __future__ import annotations
@@ -150,7 +151,10 @@ def remove_repeats(docs: DataFrame, window: int = 35) -> DataFrame:
     buckets = parts(total // WORD_BYTES, BUCKET_WINDOWS)
     dealt = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
-    ).withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_chunks)))
+    )
+    # Equal rows go to different chunks; which chunk a row is in does not show in the results.
+    # The deal is made twice, over the same files in the same order.
+    dealt = dealt.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text", F.monotonically_increasing_id()), F.lit(n_chunks)))
 
     def send(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
         c = Chunk(group, window, buckets)
@@ -184,6 +188,8 @@ def remove_repeats(docs: DataFrame, window: int = 35) -> DataFrame:
         repeated = np.zeros(len(c.keys), bool)
         for b, a, z in c.by_bucket():
             if b in marks:
+                if len(marks[b]) != (z - a + 7) // 8:
+                    raise RuntimeError("the documents changed between two reads")
                 repeated[a:z] = np.unpackbits(np.frombuffer(marks[b], np.uint8), count=z - a)
         in_doc = np.split(repeated[c.key_of], np.cumsum(c.windows)[:-1]) if c.windows else []
         spans, kept = [], []
