@@ -30,10 +30,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adinsight.llm.common import hashed_words, parts, text_bytes
+from adinsight.llm.common import hashed_words, parts
 from adinsight.llm.tokens import PieceEncoder, encoder
 
 WINDOW = 1024
@@ -59,10 +60,10 @@ RESULT = ("doc_id long, start long, length long, ids binary, doc_tokens long, se
 
 
 def terms(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text, term, occurrences), one entry per distinct term of each text, in order."""
+    """(text, term, occurrences), one entry per distinct term (word, A-Z lower-cased) of each text, in order."""
     out = []
     for first in range(0, max(len(texts), 1), TEXTS_NUMBERED):
-        each = [t.lower().encode() if t else b"" for t in texts[first:first + TEXTS_NUMBERED]]
+        each = [t.encode().lower() if t else b"" for t in texts[first:first + TEXTS_NUMBERED]]
         ends = np.cumsum([len(x) + 1 for x in each])
         hashes, at = hashed_words(b"\n".join(each))
         term, text = (hashes >> np.uint64(64 - TERM_BITS)).astype(np.int64), np.searchsorted(ends, at, side="right")
@@ -78,11 +79,12 @@ def _bins(term: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass
 class Frequencies:
-    """Document frequencies of the corpus as a count-min sketch, its documents and their mean length."""
+    """Document frequencies of the corpus as a count-min sketch, its documents, their mean length and all bytes."""
 
     sketch: np.ndarray  # 2 x SKETCH
     documents: int
     mean: float
+    bytes: int
 
     def df(self, term: np.ndarray) -> np.ndarray:
         one, two = _bins(term)
@@ -96,8 +98,9 @@ class Frequencies:
 def corpus_counts(docs: DataFrame) -> Frequencies:
     """The frequencies of all terms in all ``docs`` (text)."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, n, length = np.zeros((2, SKETCH), np.int64), 0, 0
+        total, n, length, size = np.zeros((2, SKETCH), np.int64), 0, 0, 0
         for b in batches:
+            size += sum(pc.binary_length(b["text"]).drop_null().to_numpy().tolist())
             for at in range(0, b.num_rows, TEXTS_AT_ONCE):
                 texts = b["text"].slice(at, TEXTS_AT_ONCE).to_pylist()
                 _, term, f = terms(texts)
@@ -109,7 +112,7 @@ def corpus_counts(docs: DataFrame) -> Frequencies:
             full = np.flatnonzero(blocks.any(1))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([*full.tolist(), -1]),
-                 pa.array([*(blocks[i].tobytes() for i in full), np.array([n, length]).tobytes()], pa.binary())],
+                 pa.array([*(blocks[i].tobytes() for i in full), np.array([n, length, size]).tobytes()], pa.binary())],
                 ["block", "counts"])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -124,14 +127,14 @@ def corpus_counts(docs: DataFrame) -> Frequencies:
 
     schema = "block long, counts binary"
     summed = (docs.select("text").mapInArrow(count, schema).repartition("block").mapInArrow(add, schema)).collect()
-    sketch, n, length = np.zeros((2 * SKETCH // BLOCK, BLOCK), np.int64), 0, 0
+    sketch, n, length, size = np.zeros((2 * SKETCH // BLOCK, BLOCK), np.int64), 0, 0, 0
     for r in summed:  # a block is in one partition
         x = np.frombuffer(r["counts"], np.int64)
         if r["block"] < 0:
-            n, length = x.tolist()
+            n, length, size = x.tolist()
         else:
             sketch[r["block"]] = x
-    return Frequencies(sketch.reshape(2, SKETCH), n, length / n if n else 1.0)
+    return Frequencies(sketch.reshape(2, SKETCH), n, length / n if n else 1.0, size)
 
 
 class ShardIndex:
@@ -231,9 +234,9 @@ def pack(docs: DataFrame, ranks_path: str, window: int = WINDOW) -> DataFrame:
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     # Two rows of SKETCH numbers, whatever the input.
-    shared = docs.sparkSession.sparkContext.broadcast(corpus_counts(texts))
-    total = text_bytes(texts)
-    shards = parts(total, SHARD_BYTES)
+    corpus = corpus_counts(texts)
+    shared = docs.sparkSession.sparkContext.broadcast(corpus)
+    shards = parts(corpus.bytes, SHARD_BYTES)
 
     def fill(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
         shard = key[0].as_py()
@@ -265,5 +268,5 @@ def pack(docs: DataFrame, ranks_path: str, window: int = WINDOW) -> DataFrame:
         return pa.table({c: pa.array(v, k) for c, v, k in zip(names, cols, kinds)})
 
     shard = F.pmod(F.xxhash64("doc_id", "text", F.monotonically_increasing_id()), F.lit(shards))
-    return (texts.withColumn("shard", shard).repartition(parts(total, TASK_BYTES), "shard")
+    return (texts.withColumn("shard", shard).repartition(parts(corpus.bytes, TASK_BYTES), "shard")
             .groupBy("shard").applyInArrow(fill, RESULT))
