@@ -25,7 +25,9 @@ filter are left out where they may not be broadcast: they only narrow the scan.
 
 **Optional id lists** are bitmaps: one long for each request and 64 consecutive
 ids, of which the bit of an id is tested.  Requests with and without a list are
-matched apart, so a batch without lists has no such join.
+matched apart, so a batch without lists has no such join.  Before the sums, ids
+that the same requests list become one class, and those in no list none, so an id
+column adds to the key only what the requests tell apart.
 """
 
 from __future__ import annotations
@@ -79,11 +81,21 @@ def request_keys(requests: DataFrame) -> DataFrame:
     )
 
 
-def request_words(requests: DataFrame, column: str, *always: int) -> DataFrame:
-    """The list ``column`` (and the ids that are ``always`` in it) as one long per request and 64 ids."""
+def list_ids(requests: DataFrame, column: str, *always: int) -> DataFrame:
+    """(request, id) of the list ``column``, with the ids that are ``always`` in it."""
     extra = F.array(*[F.lit(x).cast("bigint") for x in always]).cast("array<bigint>")
-    ids = valid(requests).filter(F.col(column).isNotNull()).select(
+    return valid(requests).filter(F.col(column).isNotNull()).select(
         F.col("request_id").alias("v_request_id"), F.explode(F.array_union(F.col(column), extra)).alias("id"))
+
+
+def id_classes(ids: DataFrame) -> DataFrame:
+    """``id, cls``: ids that the same requests list are one class, named by its smallest id."""
+    alike = ids.groupBy("id").agg(F.array_sort(F.collect_set("v_request_id")).alias("in"))
+    return alike.join(alike.groupBy("in").agg(F.min("id").alias("cls")), "in").select("id", "cls")
+
+
+def bitmaps(ids: DataFrame) -> DataFrame:
+    """(request, id) as one long per request and 64 consecutive ids."""
     bit = F.expr("shiftleft(1L, int(id & 63))")
     return ids.groupBy("v_request_id", F.shiftright("id", 6).alias("v_block")).agg(F.bit_or(bit).alias("v_bits"))
 
@@ -306,23 +318,38 @@ def scope(fact: DataFrame, requests: DataFrame, *, match_timezone: bool = False,
     rows, zone = _zoned(candidates(fact, bounds, apply_dates), match_timezone, match_country)
     out = rows.join(sized(request_keys(requests), bounds.n_keys, KEY_BYTES), _condition("dt", zone, apply_dates))
     if apply_io and any(io for io, _ in bounds.kinds):
-        out = _listed_or_free(out, request_words(requests, "io_ids"), bounds.n_io, "insertion_order_id", "r_has_io")
+        out = _listed_or_free(out, bitmaps(list_ids(requests, "io_ids")), bounds.n_io, "insertion_order_id", "r_has_io")
     if apply_pixel and any(pixel for _, pixel in bounds.kinds):
-        out = _listed_or_free(out, request_words(requests, "conv_pixel_ids", 0), bounds.n_pixel, "pixel_id", "r_has_pixel")
+        out = _listed_or_free(out, bitmaps(list_ids(requests, "conv_pixel_ids", 0)), bounds.n_pixel, "pixel_id", "r_has_pixel")
     return out.select(F.col("r_request_id").alias("request_id"), *[F.col(f"`{c}`") for c in fact.columns],
                       *([F.col("r_timezone").alias("timezone")] if match_country else []))
 
 
-def segment_sums(fact: DataFrame, grain: list[str], bounds: ScanBounds, *, match_timezone: bool = False,
-                 match_country: bool = False) -> tuple[DataFrame, str | None]:
-    """Measure sums per advertiser, filtered id columns, zone, segment and ``grain``: once for all requests.
+#: The optional lists: column of the fact, of the requests, the ids always in it, and the place in ``ScanBounds.kinds``.
+LISTS = (("insertion_order_id", "io_ids", (), 0), ("pixel_id", "conv_pixel_ids", (0,), 1))
+
+
+def segment_sums(fact: DataFrame, requests: DataFrame, grain: list[str], bounds: ScanBounds, *, match_timezone: bool = False,
+                 match_country: bool = False) -> tuple[DataFrame, dict[str, DataFrame], str | None]:
+    """Measure sums per advertiser, class of each listed id, zone, segment and ``grain``: once for all requests.
 
-    Also returns the name of the zone column, if there is one.
+    Also returns the bitmaps of the lists by id column, over classes, and the name
+    of the zone column, if there is one.  Classes are looked up in a broadcast
+    table; where the lists are too long for that, each id is its own class.
     """
     rows, zone = _zoned(candidates(fact, bounds, segments=True), match_timezone, match_country)
-    keys = ["advertiser_id", *(["insertion_order_id"] if any(io for io, _ in bounds.kinds) else []),
-            *(["pixel_id"] if any(p for _, p in bounds.kinds) else []), *([zone] if zone else []), "segment"]
-    return rows.groupBy(*keys, *grain).agg(*measure_sums()), zone
+    lists = {}
+    for column, of, always, k in LISTS:
+        if any(kind[k] for kind in bounds.kinds):
+            ids = list_ids(requests, of, *always)
+            if fits(fact.sparkSession, (bounds.n_io, bounds.n_pixel)[k], WORD_BYTES):
+                classes = id_classes(ids)
+                rows = (rows.join(F.broadcast(classes), F.col(column) == F.col("id"), "left")
+                        .withColumn(column, F.col("cls")).drop("id", "cls"))
+                ids = ids.join(classes, "id").select("v_request_id", F.col("cls").alias("id"))
+            lists[column] = bitmaps(ids)
+    keys = ["advertiser_id", *lists, *([zone] if zone else []), "segment"]
+    return rows.groupBy(*keys, *grain).agg(*measure_sums()), lists, zone
 
 
 def request_sums(fact: DataFrame, requests: DataFrame, grain: list[str], *, match_timezone: bool = False,
@@ -334,7 +361,7 @@ def request_sums(fact: DataFrame, requests: DataFrame, grain: list[str], *, matc
     either list) are matched together, all from the same sums.
     """
     bounds = bounds if bounds is not None else scan_bounds(requests)
-    sums, zone = segment_sums(fact, grain, bounds, match_timezone=match_timezone, match_country=match_country)
+    sums, lists, zone = segment_sums(fact, requests, grain, bounds, match_timezone=match_timezone, match_country=match_country)
     matched = None
     for has_io, has_pixel in product((False, True), repeat=2):
         if (has_io, has_pixel) not in bounds.kinds and (bounds.kinds or has_io or has_pixel):
@@ -343,9 +370,9 @@ def request_sums(fact: DataFrame, requests: DataFrame, grain: list[str], *, matc
                                             & (F.col("conv_pixel_ids").isNotNull() == has_pixel)))
         out = sums.join(sized(keys, bounds.n_keys, KEY_BYTES), _condition("segment", zone, True))
         if has_io:
-            out = _listed(out, request_words(requests, "io_ids"), bounds.n_io, "insertion_order_id")
+            out = _listed(out, lists["insertion_order_id"], bounds.n_io, "insertion_order_id")
         if has_pixel:
-            out = _listed(out, request_words(requests, "conv_pixel_ids", 0), bounds.n_pixel, "pixel_id")
+            out = _listed(out, lists["pixel_id"], bounds.n_pixel, "pixel_id")
         out = out.select(F.col("r_request_id").alias("request_id"),
                          *([F.col("r_timezone").alias("timezone")] if match_country else []), *grain,
                          "impressions", "clicks", "conversions")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from adinsight.operators.extract import measure_sums
 from adinsight.operators.scope import (
-    MAX_INTERVALS, calendar, candidates, merged, request_sums, scan_bounds, scope, segment_sums)
+    MAX_INTERVALS, calendar, candidates, id_classes, list_ids, merged, request_sums, scan_bounds, scope, segment_sums)
 from adinsight.plans.report import ReportJob
 from adinsight.plans.sheets import SHEET_NAMES
 from adinsight.sources import requests as R
@@ -40,7 +40,7 @@ def requests_of(spark, rows):
 def stored_system(spark, tmp_path_factory):
     """The system fact as files partitioned by day, with real id columns."""
     path = str(tmp_path_factory.mktemp("facts") / "system")
-    write_fact(facts_from_testdata(spark, SF_SMALL)["system"], "system", path)
+    write_fact(facts_from_testdata(spark, SF_SMALL)["system"].coalesce(1), "system", path)
     return read_fact(spark, "system", path)
 
 
@@ -191,7 +191,7 @@ def test_equal_requests_are_summed_once_before_they_meet(spark, stored_system):
     sums = {}
     for rows in (one, hundred):
         reqs = requests_of(spark, rows)
-        sums[len(rows)] = segment_sums(stored_system, ["os_name"], scan_bounds(reqs))[0].count()
+        sums[len(rows)] = segment_sums(stored_system, reqs, ["os_name"], scan_bounds(reqs))[0].count()
         df = request_sums(stored_system, reqs, ["os_name"])
         got = sorted((r["os_name"], r["impressions"]) for r in df.collect())
         assert got == sorted([x for x in got[::len(rows)]] * len(rows))
@@ -220,10 +220,22 @@ def test_lists_are_joined_only_where_a_request_has_one(spark, stored_system):
     free = requests_of(spark, [request(row=i, advertiser="1|2", start="1995-01-01", end="2001-12-31") for i in range(3)])
     for df in (scope(stored_system, free), request_sums(stored_system, free, ["os_name"])):
         assert "v_block" not in plan(df) and df.count()
-    sums = segment_sums(stored_system, ["os_name"], scan_bounds(free))[0]
+    sums = segment_sums(stored_system, free, ["os_name"], scan_bounds(free))[0]
     assert "insertion_order_id" not in sums.columns and "pixel_id" not in sums.columns
 
 
+def test_ids_of_the_same_lists_are_one_class(spark):
+    reqs = requests_of(spark, [request(row=1, io="1|2|3|9"), request(row=2, io="2|3|-7"), request(row=3)])
+    assert sorted_rows(id_classes(list_ids(reqs, "io_ids"))) == sorted([(1, 1), (9, 1), (2, 2), (3, 2), (-7, -7)], key=repr)
+    system = fact(spark, "system", [{"insertion_order_id": i, "impressions": 10 ** k} for k, i in enumerate((1, 2, 3, 9, -7, 50, None))])
+    sums, lists, _ = segment_sums(system, reqs, ["os_name"], scan_bounds(reqs))
+    assert list(lists) == ["insertion_order_id"]
+    assert {(r["insertion_order_id"], r["impressions"]) for r in sums.collect()} == {
+        (1, 1001), (2, 110), (-7, 10_000), (None, 1_100_000)}
+    got = {r["request_id"]: r["impressions"] for r in request_sums(system, reqs, ["os_name"]).collect()}
+    assert got == {1: 1111, 2: 10_110, 3: 1_111_111}
+
+
 def test_long_lists_test_each_id(spark):
     million = "|".join(map(str, range(0, 2_000_000, 2)))
     system = fact(spark, "system", [{"insertion_order_id": i, "pixel_id": p, "impressions": 1}

@@ -50,7 +50,7 @@ def fact_paths(spark, tmp_path_factory):
     base = tmp_path_factory.mktemp("facts")
     out = []
     for name, df in facts_from_testdata(spark, SF_SMALL).items():
-        write_fact(df, name, str(base / name))
+        write_fact(df.coalesce(1), name, str(base / name))
         out += [f"--{name.replace('_', '-')}", str(base / name)]
     return out
 
