@@ -257,6 +257,23 @@ def test_sums_by_segment_are_the_sums_of_the_scoped_rows(spark, name, grain, kw)
     assert got.columns == want.columns and sorted_rows(got) == sorted_rows(want)
 
 
+def test_sums_are_dealt_to_tasks_by_the_rows_they_come_from(spark, monkeypatch):
+    rows = [dict(advertiser_id=i % 3, pixel_id=i % 2, site_domain=f"s{i}", impressions=i) for i in range(200)]
+    rows += [dict(advertiser_id=1, site_domain=None, impressions=7)] * 2 + [dict(advertiser_id=9, impressions=1)] * 50
+    inventory = fact(spark, "inventory", rows)
+    reqs = requests_of(spark, [request(advertiser="0|1|2"), request(advertiser="1|2", pixel="1", row=2), request(io="1", row=3)])
+    bounds = scan_bounds(reqs)
+    want = sorted_rows(request_sums(inventory, reqs, ["site_domain"], bounds=bounds))
+    n_sums = segment_sums(inventory, reqs, ["site_domain"], bounds)[0].count()
+    monkeypatch.setattr("adinsight.operators.scope.TASK_ROWS", 10)
+    sums = segment_sums(inventory, reqs, ["site_domain"], bounds)[0]
+    assert sums.rdd.getNumPartitions() == 21  # 202 rows of requested advertisers
+    assert max(len(p) for p in sums.rdd.glom().collect()) < 30 and sums.count() == n_sums
+    got = request_sums(inventory, reqs, ["site_domain"], bounds=bounds)
+    assert sorted_rows(got) == want and len(want) > 200
+    assert "REPARTITION_BY_NUM" in plan(got)
+
+
 def test_long_lists_are_not_carried_by_the_keys(spark):
     from adinsight.operators.scope import request_keys
     keys = request_keys(requests_of(spark, [request(io="|".join(map(str, range(5_000))))]))
