@@ -11,8 +11,10 @@ from __future__ import annotations
 
 import base64
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import count, islice
 
 import numpy as np
 import tiktoken
@@ -32,20 +34,6 @@ def encoding(ranks_path: str) -> tiktoken.Encoding:
     return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
-class _Places(dict):
-    """Piece to its place; a piece not met before gets the next one and is noted in ``new``."""
-
-    def __init__(self, kept: list[str]):
-        super().__init__(zip(kept, range(len(kept))))
-        self.next, self.new = len(kept), []
-
-    def __missing__(self, piece: str) -> int:
-        at = self[piece] = self.next
-        self.next += 1
-        self.new.append(piece)
-        return at
-
-
 class PieceEncoder:
     def __init__(self, ranks_path: str):
         self.encoding = encoding(ranks_path)
@@ -56,7 +44,7 @@ class PieceEncoder:
         self._clear()
 
     def _clear(self) -> None:
-        self.place = _Places([])
+        self._remember([])
         self.starts = self.lengths = self.ids = self.hits = np.empty(0, np.int64)
 
     def _forget(self) -> None:
@@ -66,9 +54,13 @@ class PieceEncoder:
         lengths, ids = self.lengths[at], self._gather(at)
         self._clear()
         if len(ids) <= MEMO_IDS // 2:
-            self.place = _Places(kept)
+            self._remember(kept)
             self._add(lengths, ids)
 
+    def _remember(self, kept: list[str]) -> None:
+        """Piece to its place; a piece not met before gets the next one and comes last."""
+        self.place = defaultdict(count(len(kept)).__next__, zip(kept, range(len(kept))))
+
     def _add(self, lengths: np.ndarray, ids: np.ndarray) -> None:
         self.ids = np.concatenate([self.ids, ids])
         self.lengths = np.concatenate([self.lengths, lengths])
@@ -105,7 +97,7 @@ class PieceEncoder:
         """Each text and the places of its pieces in the memory; None where it must be encoded whole."""
         if len(self.place) > MEMO_PIECES or len(self.ids) > MEMO_IDS:
             self._forget()
-        get, places = self.place.__getitem__, []
+        get, known, places = self.place.__getitem__, len(self.place), []
         for t in texts:
             if t and _TIED.search(t):
                 places.append(None)
@@ -114,7 +106,7 @@ class PieceEncoder:
             if p:
                 p[0] += " "
             places.append(np.fromiter(map(get, p), np.int64, len(p)))
-        new, self.place.new = self.place.new, []
+        new = [*islice(reversed(self.place), len(self.place) - known)][::-1]
         if new:
             self._learn(new)
         for t, at in zip(texts, places):
