@@ -75,6 +75,9 @@ def _tail_classes() -> np.ndarray:
 
 
 _TAIL_OF = _tail_classes()
+#: The class of every id, in one byte (sorted by radix), and the member of every frequent word.
+_CLASS_OF = np.r_[np.arange(HEAD) // MEMBERS, HEAD // MEMBERS + np.arange(TAILS)].astype(np.uint8)
+_MEMBER_OF = np.arange(HEAD + TAILS) % MEMBERS
 END = np.uint64(0x5E17_AB1E_0000_0000)  # key of a text's end
 
 
@@ -110,7 +113,7 @@ class Chunk:
         every, self.sizes = keys_of([r[1] for r in rows])
         distinct, place = np.unique(every, return_inverse=True)
         bucket = (distinct ^ (distinct >> np.uint64(29))) % np.uint64(buckets)
-        order = np.argsort(bucket, kind="stable")
+        order = np.argsort(bucket.astype(np.uint16) if buckets <= 1 << 16 else bucket, kind="stable")
         rank = np.empty(len(order), np.int32)
         rank[order] = np.arange(len(order))
         self.keys, self.bucket, self.word = distinct[order], bucket[order], rank[place]
@@ -181,11 +184,23 @@ class Gru:
             at += x.size
         return self
 
-    def step(self, h: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, ...]:
+    def halved(self) -> tuple[np.ndarray, np.ndarray]:
+        """Weights of inputs and states, those of the gates halved: what the logistic function asks for, and exact."""
+        half = np.where(np.arange(3 * HIDDEN) < 2 * HIDDEN, np.float32(0.5), np.float32(1))
+        return self.inputs * half, self.recurrent * half
+
+    def calm(self) -> bool:
+        """Whether no state (between -1 and 1) can give a logit of 80."""
+        most = lambda w, b: float((np.abs(w).sum(-2) + b).max(initial=0))
+        return max(most(self.class_w, self.class_b), most(self.member_w, self.member_b)) < 79
+
+    def step(self, h: np.ndarray, ids: np.ndarray, halved: tuple[np.ndarray, np.ndarray] | None = None) -> tuple[np.ndarray, ...]:
         """The next state after reading ``ids``, and what the backward pass needs."""
-        x, g = self.inputs[ids], h @ self.recurrent
+        inputs, recurrent = halved or (self.inputs, self.recurrent)
+        x, g = inputs[ids], h @ recurrent
         zr = x[:, :2 * HIDDEN] + g[:, :2 * HIDDEN]
-        zr *= np.float32(0.5)
+        if not halved:
+            zr *= np.float32(0.5)
         np.tanh(zr, out=zr)  # the logistic function by way of tanh
         zr *= np.float32(0.5)
         zr += np.float32(0.5)
@@ -196,10 +211,10 @@ class Gru:
         return n + z * (h - n), z, r, n, g[:, 2 * HIDDEN:]
 
     @staticmethod
-    def _softmax(e: np.ndarray, rows: np.ndarray, want: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def _softmax(e: np.ndarray, rows: np.ndarray, want: np.ndarray, calm: bool = False) -> tuple[np.ndarray, np.ndarray]:
         """Log-probability of ``want`` in each row of logits, which become exponents in place, and their sums."""
         picked = e[rows, want]
-        if e.max(initial=0) > 80:  # exponents of float32 end soon after
+        if not calm and e.max(initial=0) > 80:  # exponents of float32 end soon after
             top = e.max(1, keepdims=True)
             e -= top
             picked = picked - top[:, 0]
@@ -207,18 +222,17 @@ class Gru:
         total = e.sum(1)
         return picked - np.log(total), total
 
-    def log_probs(self, h: np.ndarray, ids: np.ndarray, grads: dict | None = None) -> np.ndarray:
+    def log_probs(self, h: np.ndarray, ids: np.ndarray, grads: dict | None = None, calm: bool = False) -> np.ndarray:
         """Natural log-probability of class and member of ``ids`` from states ``h``.
 
         With ``grads`` it adds the gradients of the mean loss and leaves that of
         ``h`` under "h".
         """
-        head = ids < HEAD
-        cls = np.where(head, ids // MEMBERS, ids - HEAD + HEAD // MEMBERS)
+        cls = _CLASS_OF[ids]
         rows = np.arange(len(ids))
         e = h @ self.class_w
         e += self.class_b
-        out, total = self._softmax(e, rows, cls)
+        out, total = self._softmax(e, rows, cls, calm)
         if grads is not None:
             e /= total[:, None]
             e[rows, cls] -= 1
@@ -226,15 +240,15 @@ class Gru:
             grads["class_w"], grads["class_b"] = h.T @ e, e.sum(0)
             grads["h"] = e @ self.class_w.T
             grads["member_w"], grads["member_b"] = np.zeros_like(self.member_w), np.zeros_like(self.member_b)
-        at = np.flatnonzero(head)
-        at = at[np.argsort(cls[at], kind="stable")]
-        bounds = np.searchsorted(cls[at], np.arange(HEAD // MEMBERS + 1))
+        at = np.argsort(cls, kind="stable")  # those of tail classes come last
+        bounds = np.r_[0, np.cumsum(np.bincount(cls, minlength=HEAD // MEMBERS)[:HEAD // MEMBERS])]
+        member = _MEMBER_OF[ids]
         for c in np.flatnonzero(np.diff(bounds)):
             own = at[bounds[c]:bounds[c + 1]]
-            hc, want, k = h[own], ids[own] % MEMBERS, np.arange(len(own))
+            hc, want, k = h[own], member[own], rows[:len(own)]
             e = hc @ self.member_w[c]
             e += self.member_b[c]
-            more, total = self._softmax(e, k, want)
+            more, total = self._softmax(e, k, want, calm)
             out[own] += more
             if grads is not None:
                 e /= total[:, None]
@@ -264,22 +278,25 @@ class Gru:
             grads["recurrent"] = np.zeros_like(self.recurrent)
             d_in = np.empty((len(ids), ids.shape[1], 3 * HIDDEN), np.float32)
             dh = np.zeros_like(h)
+            z, r, n, gn = (np.stack(x) for x in zip(*kept))
+            hb = np.stack(before)
+            by_n, by_z, by_r = (1 - z, 1 - n * n), (hb - n, z * (1 - z)), r * (1 - r)
             for t in reversed(range(len(ids))):
-                z, r, n, gn = kept[t]
-                hb = before[t]
                 dz, dr, dn = d_in[t, :, :HIDDEN], d_in[t, :, HIDDEN:2 * HIDDEN], d_in[t, :, 2 * HIDDEN:]
-                np.multiply(dh * (1 - z), 1 - n * n, out=dn)
-                np.multiply(dh * (hb - n), z * (1 - z), out=dz)
-                np.multiply(dn * gn, r * (1 - r), out=dr)
+                np.multiply(dh * by_n[0][t], by_n[1][t], out=dn)
+                np.multiply(dh * by_z[0][t], by_z[1][t], out=dz)
+                np.multiply(dn * gn[t], by_r[t], out=dr)
                 d_g = d_in[t].copy()
-                d_g[:, 2 * HIDDEN:] *= r
-                grads["recurrent"] += hb.T @ d_g
-                dh = dh * z + d_g @ self.recurrent.T + d_out[t]
+                d_g[:, 2 * HIDDEN:] *= r[t]
+                grads["recurrent"] += hb[t].T @ d_g
+                dh = dh * z[t] + d_g @ self.recurrent.T + d_out[t]
                 if resets[t]:
                     dh = np.where(new[t][:, None], np.float32(0), dh)
-            seen, place = np.unique(ids.ravel(), return_inverse=True)
-            order = np.argsort(place, kind="stable")
-            at = np.searchsorted(place[order], np.arange(len(seen)))
+            flat = ids.ravel().astype(np.uint16)
+            order = np.argsort(flat, kind="stable")
+            flat = flat[order]
+            at = np.flatnonzero(np.r_[True, flat[1:] != flat[:-1]])
+            seen = flat[at]
             rows = np.add.reduceat(d_in.reshape(-1, 3 * HIDDEN)[order], at, axis=0)
             memory["inputs"][seen] += rows * rows
             self.inputs[seen] -= RATE * rows / np.sqrt(memory["inputs"][seen])
@@ -307,6 +324,7 @@ class Gru:
         active = np.searchsorted(-length, -np.arange(length[0]), side="left")
         total = np.zeros(len(sizes))
         h = np.zeros((len(lanes), HIDDEN), np.float32)
+        halved, calm = self.halved(), self.calm()
         for t0 in range(0, int(length[0]), STEPS):
             states, places = [], []
             for t in range(t0, min(t0 + STEPS, int(length[0]))):
@@ -317,9 +335,9 @@ class Gru:
                     h = np.where(new[:, None], np.float32(0), h)
                 states.append(h)
                 places.append(at)
-                h = self.step(h, flat[at])[0]
+                h = self.step(h, flat[at], halved)[0]
             at = np.concatenate(places)
-            got = self.log_probs(np.concatenate(states), flat[at])
+            got = self.log_probs(np.concatenate(states), flat[at], calm=calm)
             total += np.bincount(flat_doc[at], got, minlength=len(sizes))
         return total
 

@@ -243,3 +243,17 @@ def test_lanes_score_as_one_text_at_a_time():
             total += model.log_probs(h, np.array([i]))[0]
             h = model.step(h, np.array([i]))[0]
         assert math.isclose(total, s, rel_tol=1e-4)
+
+
+def test_shortcuts_of_scoring_change_no_bit():
+    rng = np.random.default_rng(3)
+    model = M.Gru(vocabulary())
+    model.load(model.flat() + rng.normal(0, 0.5, model.flat().size).astype(np.float32))
+    h, ids = rng.uniform(-1, 1, (300, M.HIDDEN)).astype(np.float32), rng.integers(0, 8, 300)
+    for one, other in zip(model.step(h, ids), model.step(h, ids, model.halved())):
+        assert (one == other).all()
+    assert model.calm()
+    assert (model.log_probs(h, ids) == model.log_probs(h, ids, calm=True)).all()
+    model.class_w[:, 1] += 100
+    assert not model.calm()
+    assert np.isfinite(model.log_probs(np.ones_like(h), ids)).all()
