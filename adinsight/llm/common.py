@@ -56,7 +56,7 @@ def crc_fold(doc_id: Column, folds: int) -> Column:
 
 
 #: Bytes hashed at once, and the place in a word from which the factors repeat.
-_BLOCK, _FACTORS = 1 << 19, np.random.default_rng(11).integers(1, 1 << 63, 4096, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_BLOCK, _FACTORS = 1 << 17, np.random.default_rng(11).integers(1, 1 << 63, 4096, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _INSIDE = np.array([b not in b" \t\n\x0b\x0c\r" for b in range(256)])
 
 

@@ -53,7 +53,7 @@ ROW_SHARE = 8
 #: Texts whose terms are counted at once.
 TEXTS_AT_ONCE = 500
 #: Texts are encoded this many characters at a time.
-CHARS_AT_ONCE = 500_000
+CHARS_AT_ONCE = 2_000_000
 K1, B = 1.2, 0.75
 
 RESULT = ("doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")

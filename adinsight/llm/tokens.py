@@ -3,7 +3,8 @@
 The vocabulary file is a parameter.  A text is cut at its single blanks; what
 such a piece encodes to does not depend on its neighbours (unless white space
 stands on both sides of a blank, when the whole text is encoded in one go), so
-a task encodes each distinct piece once and looks the rest up.  The strings of
+a task encodes each distinct piece once and looks the rest up, the distinct
+pieces of many texts at a time.  The strings of
 special tokens are ordinary text.
 """
 
@@ -12,11 +13,12 @@ from __future__ import annotations
 import base64
 import re
 from collections import defaultdict
-from collections.abc import Iterator
 from functools import lru_cache
-from itertools import count, islice
+from itertools import compress, count, islice
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import tiktoken
 
 #: Distinct pieces and ids a task remembers; beyond that it forgets those it met once.
@@ -49,8 +51,10 @@ class PieceEncoder:
 
     def _forget(self) -> None:
         """Keep the pieces met more than once, at most half of what is remembered."""
-        kept = [k for k, p in self.place.items() if self.hits[p] > 1][:MEMO_PIECES // 2]
-        at = np.array([self.place[k] for k in kept], np.int64)
+        at = np.fromiter(self.place.values(), np.int64, len(self.place))
+        often = self.hits[at] > 1
+        kept = [*islice(compress(self.place, often), MEMO_PIECES // 2)]
+        at = at[often][:len(kept)]
         lengths, ids = self.lengths[at], self._gather(at)
         self._clear()
         if len(ids) <= MEMO_IDS // 2:
@@ -93,43 +97,67 @@ class PieceEncoder:
         every[of_plain], every[~of_plain] = ids, [i for x in more for i in x]
         self._add(lengths, every)
 
-    def _places(self, texts: list[str | None]) -> Iterator[tuple[str, np.ndarray | None]]:
-        """Each text and the places of its pieces in the memory; None where it must be encoded whole."""
+    def _pieces(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the pieces of ``texts``, one after the other, and their number by text; new ones get theirs.
+
+        Pieces after the first are looked up once for each distinct one.
+        """
+        get, cuts = self.place.__getitem__, [t.partition(" ") for t in texts]
+        rest = pa.array([r if blank else None for _, blank, r in cuts], pa.large_string())
+        parts = pc.split_pattern(rest, " ")
+        sizes = pc.fill_null(pc.list_value_length(parts), 0).to_numpy().astype(np.int64)
+        each = parts.flatten().dictionary_encode()
+        distinct = each.dictionary.to_numpy(zero_copy_only=False)
+        found = np.fromiter(map(get, distinct), np.int64, len(distinct))
+        places = np.empty(len(texts) + len(each), np.int64)
+        first = np.zeros(len(places), bool)
+        first[np.cumsum(sizes + 1) - sizes - 1] = True
+        places[first] = np.fromiter((get(f + " ") for f, _, _ in cuts), np.int64, len(cuts))
+        places[~first] = found[each.indices.to_numpy()]
+        return places, sizes + 1
+
+    def _places(self, texts: list[str | None]) -> list[np.ndarray | None]:
+        """The places of the pieces of each text in the memory; None where it must be encoded whole."""
         if len(self.place) > MEMO_PIECES or len(self.ids) > MEMO_IDS:
             self._forget()
-        get, known, places = self.place.__getitem__, len(self.place), []
-        for t in texts:
+        known, out = len(self.place), [np.empty(0, np.int64)] * len(texts)
+        cut = []
+        for i, t in enumerate(texts):
             if t and _TIED.search(t):
-                places.append(None)
-                continue
-            p = t.split(" ") if t else []
-            if p:
-                p[0] += " "
-            places.append(np.fromiter(map(get, p), np.int64, len(p)))
+                out[i] = None
+            elif t:
+                cut.append(i)
+        if cut:
+            places, sizes = self._pieces([texts[i] for i in cut])
+            for i, at in zip(cut, np.split(places, np.cumsum(sizes)[:-1])):
+                out[i] = at
         new = [*islice(reversed(self.place), len(self.place) - known)][::-1]
         if new:
             self._learn(new)
-        for t, at in zip(texts, places):
-            if at is not None:
-                self.hits[at] += 1  # once a text
-            yield t or "", at
+        for i in cut:
+            self.hits[out[i]] += 1  # once a text
         for k in new:
             if len(k) > MEMO_CHARS:
                 del self.place[k]
+        return out
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """Ids (int32) of each text; a null text has none."""
-        out = []
-        for text, at in self._places(texts):
-            if at is None or not len(at):
+        places = self._places(texts)
+        at = np.concatenate([np.empty(0, np.int64), *(p for p in places if p is not None)])
+        ids, ends = self._gather(at).astype(np.int32), np.r_[0, np.cumsum(self.lengths[at])]
+        out, done = [], 0
+        for text, p in zip(texts, places):
+            if p is None:
                 out.append(np.array(self._encode(text), np.int32))
-                continue
-            out.append(self._gather(at).astype(np.int32))
+            else:
+                out.append(ids[ends[done]:ends[done + len(p)]])
+                done += len(p)
         return out
 
     def counts(self, texts: list[str | None]) -> list[np.ndarray | None]:
         """Number of ids of each blank-separated piece of each text; None where pieces depend on each other."""
-        return [None if at is None else self.lengths[at] for _, at in self._places(texts)]
+        return [None if at is None else self.lengths[at] for at in self._places(texts)]
 
 
 _encoders: dict[str, PieceEncoder] = {}

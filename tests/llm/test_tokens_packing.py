@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 from collections import defaultdict
+from itertools import count
 
 import numpy as np
 import public_tokenizers
@@ -190,3 +191,29 @@ def test_word_hashes_tell_words_apart(monkeypatch, edge_docs):
             assert len(h) == len(data.split())
             assert all(seen.setdefault(w, x) == x for w, x in zip(data.split(), h))
         assert len(set(seen.values())) == len(seen)
+
+
+def test_a_piece_that_repeats_is_looked_up_once():
+    class Counted(defaultdict):
+        lookups = 0
+
+        def __getitem__(self, key):
+            Counted.lookups += 1
+            return super().__getitem__(key)
+
+    enc = PieceEncoder(ranks_path())
+    enc._remember = lambda kept: setattr(enc, "place", Counted(count(len(kept)).__next__, zip(kept, range(len(kept)))))
+    enc._clear()
+    texts = ["to be or not to be " + "to be " * 200 + "é", None, "", "be", " be", "tied  one"] * 20
+    for _ in range(2):
+        assert [x.tolist() for x in enc.encode(texts)] == [enc.encoding.encode_ordinary(t or "") for t in texts]
+    assert Counted.lookups < 2 * (len(texts) + 20)
+
+
+def test_what_is_forgotten_is_learned_again(monkeypatch):
+    monkeypatch.setattr("adinsight.llm.tokens.MEMO_PIECES", 8)
+    enc = PieceEncoder(ranks_path())
+    for i in range(12):
+        texts = [f"again w{i} x{i} {'long' * 20}{i}", f"again and w{i // 2} y{i}", f"z{i}"]
+        assert [x.tolist() for x in enc.encode(texts)] == [enc.encoding.encode_ordinary(t) for t in texts]
+    assert "again " in enc.place and len(enc.place) < 24
