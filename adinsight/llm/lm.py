@@ -26,7 +26,8 @@ time; the copies are averaged, weighted by their words, in groups of
 on how files or tasks are cut.
 
 Scoring.  Documents run side by side in lanes; a document's state is carried
-from its first word to its end, whatever its length.
+from its first word to its end, whatever its length.  The softmax takes the states
+of many steps at once, more of them where few lanes are left.
 
 Defined results: a null or empty text is its end alone; equal rows are separate
 documents and both count; without training documents all words are unseen; an
@@ -57,8 +58,8 @@ HIDDEN = 16
 LANES, STEPS = 512, 16
 TRAIN_LANES, TRAIN_STEPS = 512, 16
 ROUNDS, GROUP_TOKENS = 2, 2_000_000
-#: Words trained on, or scored, at once.
-SEGMENT_TOKENS = 400_000
+#: Words trained on, and words scored, at once: of many documents the longest holds few lanes up.
+SEGMENT_TOKENS, SCORED_TOKENS = 400_000, 4_000_000
 RATE = 0.15
 AVERAGED = 64
 LOG10 = float(np.log(10.0))
@@ -197,7 +198,7 @@ class Gru:
     def step(self, h: np.ndarray, ids: np.ndarray, halved: tuple[np.ndarray, np.ndarray] | None = None) -> tuple[np.ndarray, ...]:
         """The next state after reading ``ids``, and what the backward pass needs."""
         inputs, recurrent = halved or (self.inputs, self.recurrent)
-        x, g = inputs[ids], h @ recurrent
+        x, g = inputs.take(ids, 0), h @ recurrent
         zr = x[:, :2 * HIDDEN] + g[:, :2 * HIDDEN]
         if not halved:
             zr *= np.float32(0.5)
@@ -245,7 +246,7 @@ class Gru:
         member = _MEMBER_OF[ids]
         for c in np.flatnonzero(np.diff(bounds)):
             own = at[bounds[c]:bounds[c + 1]]
-            hc, want, k = h[own], member[own], rows[:len(own)]
+            hc, want, k = h.take(own, 0), member[own], rows[:len(own)]
             e = hc @ self.member_w[c]
             e += self.member_b[c]
             more, total = self._softmax(e, k, want, calm)
@@ -297,7 +298,7 @@ class Gru:
             flat = flat[order]
             at = np.flatnonzero(np.r_[True, flat[1:] != flat[:-1]])
             seen = flat[at]
-            rows = np.add.reduceat(d_in.reshape(-1, 3 * HIDDEN)[order], at, axis=0)
+            rows = np.add.reduceat(d_in.reshape(-1, 3 * HIDDEN).take(order, 0), at, axis=0)
             memory["inputs"][seen] += rows * rows
             self.inputs[seen] -= RATE * rows / np.sqrt(memory["inputs"][seen])
             for n, g in grads.items():
@@ -315,30 +316,33 @@ class Gru:
             heapq.heappush(lanes, (length + int(sizes[d]), b, docs))
         lanes.sort(key=lambda x: (-x[0], x[1]))
         order = np.array([d for _, _, docs in lanes for d in docs])
-        flat_doc = np.repeat(order, sizes[order])
-        flat = ids[np.repeat(first[order], sizes[order]) + np.arange(len(flat_doc))
-                   - np.repeat(np.cumsum(sizes[order]) - sizes[order], sizes[order])]
+        small = np.int32 if len(ids) < 1 << 31 else np.int64
+        flat_doc = np.repeat(order.astype(small), sizes[order])
+        shift = first[order] - (np.cumsum(sizes[order]) - sizes[order])
+        flat = ids[np.repeat(shift.astype(small), sizes[order]) + np.arange(len(flat_doc), dtype=small)]
         begins = np.r_[True, flat_doc[1:] != flat_doc[:-1]]
         length = np.array([x[0] for x in lanes])
         at0 = np.cumsum(length) - length
-        active = np.searchsorted(-length, -np.arange(length[0]), side="left")
+        active = np.searchsorted(-length, -np.arange(length[0]), side="left").tolist()
         total = np.zeros(len(sizes))
         h = np.zeros((len(lanes), HIDDEN), np.float32)
         halved, calm = self.halved(), self.calm()
-        for t0 in range(0, int(length[0]), STEPS):
-            states, places = [], []
-            for t in range(t0, min(t0 + STEPS, int(length[0]))):
-                at = at0[:active[t]] + t
-                h = h[:active[t]]
-                new = begins[at]
-                if new.any():
-                    h = np.where(new[:, None], np.float32(0), h)
-                states.append(h)
-                places.append(at)
-                h = self.step(h, flat[at], halved)[0]
-            at = np.concatenate(places)
-            got = self.log_probs(np.concatenate(states), flat[at], calm=calm)
-            total += np.bincount(flat_doc[at], got, minlength=len(sizes))
+        states, places, held = [], [], 0
+        for t, n in enumerate(active):
+            at = at0[:n] + t
+            h = h[:n]
+            new = begins[at]
+            if new.any():
+                h = np.where(new[:, None], np.float32(0), h)
+            states.append(h)
+            places.append(at)
+            held += n
+            h = self.step(h, flat[at], halved)[0]
+            if held >= LANES * STEPS or t + 1 == len(active):  # few lanes wait for more steps
+                at = np.concatenate(places)
+                got = self.log_probs(np.concatenate(states), flat[at], calm=calm)
+                total += np.bincount(flat_doc[at], got, minlength=len(sizes))
+                states, places, held = [], [], 0
         return total
 
 
@@ -509,7 +513,7 @@ def score_texts(docs: DataFrame, is_training: Column) -> DataFrame:
         model = Gru(v).load(w)
         for b in batches:
             sizes = b["n_tokens"].to_numpy()
-            part = (np.cumsum(sizes) - sizes) // SEGMENT_TOKENS
+            part = (np.cumsum(sizes) - sizes) // SCORED_TOKENS
             edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(sizes)]
             for a, z in zip(edges, edges[1:]):
                 if a == z:

@@ -257,3 +257,17 @@ def test_shortcuts_of_scoring_change_no_bit():
     model.class_w[:, 1] += 100
     assert not model.calm()
     assert np.isfinite(model.log_probs(np.ones_like(h), ids)).all()
+
+
+def test_few_lanes_wait_for_more_steps(monkeypatch):
+    """A long text beside short ones is scored in full blocks, not in one for every few steps."""
+    model = M.Gru(vocabulary())
+    texts = [np.arange(n) % 300 for n in (5000, 40, 3)]
+    sizes, calls = np.array([len(t) for t in texts]), []
+    log_probs = M.Gru.log_probs
+    monkeypatch.setattr(M.Gru, "log_probs", lambda self, h, ids, *a, **k: calls.append(len(ids)) or log_probs(self, h, ids, *a, **k))
+    got = model.score(np.concatenate(texts), sizes)
+    assert sum(calls) == sizes.sum() and len(calls) <= 2
+    monkeypatch.setattr(M, "STEPS", 1)
+    monkeypatch.setattr(M, "LANES", 1)  # a block for every word
+    assert np.allclose(got, model.score(np.concatenate(texts), sizes), rtol=1e-6)
