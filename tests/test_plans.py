@@ -274,6 +274,11 @@ def test_sums_are_dealt_to_tasks_by_the_rows_they_come_from(spark, monkeypatch):
     assert "REPARTITION_BY_NUM" in plan(got)
 
 
+def test_dealing_the_sums_of_216_million_rows_sorts_nothing(spark):
+    from adinsight.operators.scope import TASK_ROWS
+    assert -(-216_000_000 // TASK_ROWS) <= int(spark.conf.get("spark.shuffle.sort.bypassMergeThreshold", "200"))
+
+
 def test_long_lists_are_not_carried_by_the_keys(spark):
     from adinsight.operators.scope import request_keys
     keys = request_keys(requests_of(spark, [request(io="|".join(map(str, range(5_000))))]))
